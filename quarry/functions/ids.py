@@ -20,5 +20,5 @@ def hash23(c: Column | str) -> Column:
     chars = F.filter(F.split(s, ""), lambda ch: ch != "")
     codes = F.transform(chars, lambda ch: F.ascii(ch).cast("bigint"))
     return F.aggregate(codes, F.lit(0).cast("bigint"),
-                       lambda h, x: F.bitwise_and(h * 31 + x, F.lit(HASH23_MASK).cast("bigint"))
+                       lambda h, x: (h * 31 + x).bitwiseAND(F.lit(HASH23_MASK).cast("bigint"))
                        ).cast("int")
