@@ -3,14 +3,13 @@
 BFS is a frontier loop of DataFrame joins.  Per round:
 
 * ``frontier ⋈ edges`` on ``src`` – the edges are hash-partitioned on ``src``
-  once and checkpointed, so each round shuffles only the (small) frontier;
-* the touch count of the target is an aggregate over that expansion (exact
-  under task retries, unlike an accumulator in a transformation);
-* newly reached vertices = distinct destinations ``left_anti`` the visited set;
-  the visited set is kept hash-partitioned on ``vertex`` so only the new
-  frontier moves;
-* both are checkpointed into ``spark.checkpoint.dir`` every round, which cuts
-  the lineage and lets a lost executor recompute from the last round.
+  once and cached, so each round shuffles only the frontier;
+* newly reached vertices = destinations aggregated with their multiplicity,
+  ``left_anti`` the visited set (the union of earlier frontiers);
+* the new frontier is checkpointed into ``spark.checkpoint.dir`` every round,
+  which cuts the lineage: a lost executor recomputes from the last round;
+* the target's touch count is read from that checkpoint as an aggregate
+  (exact under task retries, unlike an accumulator in a transformation).
 
 A vertex gets the round it is first reached (true BFS; the reference's colour
 merge could lose a doubly-reached vertex, which is not reproduced).
@@ -34,37 +33,59 @@ class BfsResult:
     hits: int = 0                 # edges into the target expanded in that round
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir``, computed once (the
+    frame is cached while the checkpoint job writes it)."""
+    df = df.persist()
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
+
+
 def bfs(edges: DataFrame, start, max_rounds: int = 10, target=None,
         stop_at_target: bool = True, partitions: int | None = None) -> BfsResult:
+    """Breadth-first distances from ``start`` over directed edges, at most
+    ``max_rounds`` rounds.  With ``target``, also the first round that expands an
+    edge into it and how many such edges (duplicates count) that round had."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     p = partitions or default_parallelism(spark)
+    # Cached (not checkpointed) so the plan keeps its hash partitioning on src:
+    # every round then shuffles only the frontier.  Its lineage is one scan and
+    # one shuffle, cheap to recompute if an executor is lost.
     e = (edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
-         .repartition(p, "src").checkpoint())
-    start_df = spark.range(1).select(F.lit(start).cast("bigint").alias("vertex"),
+         .repartition(p, "src").persist())
+    e.count()
+    frontier = spark.range(1).select(F.lit(start).cast("bigint").alias("vertex"),
                                      F.lit(0).alias("distance"))
-    visited = start_df.repartition(p, "vertex").checkpoint()
-    frontier = start_df
+    visited = frontier
     result = BfsResult(distances=visited, rounds=0)
+    tgt = F.lit(target).cast("bigint") if target is not None else None
     for r in range(1, max_rounds + 1):
-        expanded = frontier.join(e, frontier.vertex == e.src).select("dst")
-        if target is not None:
-            touch = expanded.agg(F.count_if(F.col("dst") == F.lit(target)).alias("h")).first()["h"]
-            if touch and result.hit_round is None:
-                result.hit_round, result.hits = r, int(touch)
-        new = (expanded.select(F.col("dst").alias("vertex")).distinct()
-               .join(visited.select("vertex"), "vertex", "left_anti")
-               .withColumn("distance", F.lit(r))
-               .checkpoint())
+        # multiplicity of each reached vertex = edges expanded into it this round
+        reached = (frontier.join(e, frontier.vertex == e.src)
+                   .groupBy(F.col("dst").alias("vertex")).agg(F.count(F.lit(1)).alias("mult")))
+        cached = (reached.join(visited.select("vertex"), "vertex", "left_anti")
+                  .select("vertex", F.lit(r).alias("distance"), "mult").persist())
+        # lazy checkpoint: the stats job below computes (and caches) the frame,
+        # then Spark writes the checkpoint from the cache
+        new = cached.checkpoint(eager=False)
+        stats = new.agg(F.count(F.lit(1)).alias("n"),
+                        F.sum(F.when(F.col("vertex") == tgt, F.col("mult")) if tgt is not None
+                              else F.lit(0)).alias("h")).first()
+        cached.unpersist()
         result.rounds = r
-        if result.hit_round is not None and stop_at_target:
-            visited = visited.unionByName(new).repartition(p, "vertex").checkpoint()
-            break
-        if new.isEmpty():
+        if stats["n"] == 0:
             break
-        visited = visited.unionByName(new).repartition(p, "vertex").checkpoint()
+        new = new.select("vertex", "distance")
+        visited = visited.unionByName(new)
         frontier = new
+        if stats["h"]:
+            result.hit_round, result.hits = r, int(stats["h"])
+            if stop_at_target:
+                break
     result.distances = visited
+    e.unpersist()
     return result
 
 

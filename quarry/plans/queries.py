@@ -556,8 +556,8 @@ def q39(spark, d):
 def q40(spark, d):
     schema = table(spark, d, "events").schema
     stream = windows.file_stream(spark, d, schema, glob="events.parquet")
-    agg = windows.stream_sliding_counts(stream, "ts", ["event_type"])
-    return windows.run_to_table(agg, ["event_type"], "q40")
+    panes = windows.run_to_table(windows.stream_pane_counts(stream, "ts", ["event_type"]), ["event_type"], "q40")
+    return windows.panes_to_windows(panes, ["event_type"], windows.COUNT_WINDOW_S, windows.COUNT_SLIDE_S)
 
 
 # ---------------------------------------------------------------------------

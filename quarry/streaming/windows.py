@@ -7,9 +7,12 @@ fanned out to the ``window / slide`` windows that contain them.  On dense
 data this replaces ``rows x 150`` expanded rows (300 s / 2 s) with
 ``panes x 150``; on sparse data it costs the same as ``window()``.
 
-Streaming form: ``window()`` with a watermark, written per micro-batch to
-``batch_id=N`` folders by ``foreachBatch`` (idempotent on retry) in update mode;
-reading back keeps each window's row from the latest batch.
+Streaming form: the stateful aggregate keeps slide-wide tumbling panes with a
+watermark (``stream_pane_counts``), written per micro-batch to ``batch_id=N``
+folders by ``foreachBatch`` (idempotent on retry) in update mode; reading back
+keeps each pane's row from the latest batch and fans panes out to sliding
+windows.  ``stream_sliding_counts`` is the direct ``window()`` form (150 state
+rows per event at 300 s / 2 s), kept for comparison.
 
 Windows are aligned to the epoch (the reference's processing-time windows were
 aligned to job start); a key whose count drops to zero simply has no row.
@@ -116,6 +119,28 @@ def stream_sliding_counts(stream: DataFrame, ts: str, keys: Sequence[str], windo
     return ev.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def stream_pane_counts(stream: DataFrame, ts: str, keys: Sequence[str], slide_s: int = COUNT_SLIDE_S,
+                       watermark: str = "10 minutes", name: str = "n") -> DataFrame:
+    """Pane form of W2/W3 for streams: the stateful part keeps one count per
+    slide-wide tumbling pane and key (``window / slide`` times less state than
+    sliding windows); :func:`panes_to_windows` fans the panes out to sliding
+    windows when the result is read."""
+    ev = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
+    w = F.window("_ts", f"{slide_s} seconds")
+    return ev.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def panes_to_windows(panes: DataFrame, keys: Sequence[str], window_s: int = COUNT_WINDOW_S,
+                     slide_s: int = COUNT_SLIDE_S, name: str = "n") -> DataFrame:
+    """Sliding-window counts from pane counts ``(window_start, window_end, *keys, n)``."""
+    keys = list(keys)
+    slide_us = slide_s * 1_000_000
+    p = panes.select(F.floor(_micros("window_start") / slide_us).alias("_pane"), *keys, F.col(name).alias("_c"))
+    return (_fan_out(p, window_s, slide_s)
+            .groupBy("window_start", "window_end", *keys)
+            .agg(F.sum("_c").cast("bigint").alias(name)))
+
+
 def run_to_table(agg: DataFrame, keys: Sequence[str], label: str, trigger_s: int | None = None,
                  output_mode: str = "update") -> DataFrame:
     """Run a windowed streaming aggregate to completion.
