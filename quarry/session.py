@@ -17,7 +17,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "quarry") -> SparkSession:
+                  app_name: str = "quarry", driver_memory: str | None = None) -> SparkSession:
     """Session with the settings every query here assumes.
 
     * UTC session time zone (zone-less timestamps are read as wall-clock UTC);
@@ -40,6 +40,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:  # only effective before the JVM starts (local mode)
+        conf["spark.driver.memory"] = driver_memory
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

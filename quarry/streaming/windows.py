@@ -48,11 +48,16 @@ def _ntz(micros: Column) -> Column:
 
 
 def _fan_out(panes: DataFrame, window_s: int, slide_s: int) -> DataFrame:
+    """Copy each pane row to the ``window / slide`` windows holding it; ``_w`` is
+    the window's start expressed in slides (a bigint: a narrow shuffle key)."""
     k = window_s // slide_s
+    return panes.withColumn("_w", F.explode(F.sequence(F.col("_pane") - (k - 1), F.col("_pane"))))
+
+
+def _window_bounds(df: DataFrame, window_s: int, slide_s: int) -> list[Column]:
     slide_us = slide_s * 1_000_000
-    return (panes.withColumn("_w", F.explode(F.sequence(F.col("_pane") - (k - 1), F.col("_pane"))))
-            .withColumn("window_start", _ntz(F.col("_w") * slide_us))
-            .withColumn("window_end", _ntz(F.col("_w") * slide_us + window_s * 1_000_000)))
+    return [_ntz(F.col("_w") * slide_us).alias("window_start"),
+            _ntz(F.col("_w") * slide_us + window_s * 1_000_000).alias("window_end")]
 
 
 def sliding_counts(df: DataFrame, ts: str, keys: Sequence[str], window_s: int = COUNT_WINDOW_S,
@@ -68,9 +73,8 @@ def sliding_counts(df: DataFrame, ts: str, keys: Sequence[str], window_s: int =
     slide_us = slide_s * 1_000_000
     panes = (df.withColumn("_pane", F.floor(_micros(ts) / slide_us))
              .groupBy("_pane", *keys).agg(F.count(F.lit(1)).alias("_c")))
-    return (_fan_out(panes, window_s, slide_s)
-            .groupBy("window_start", "window_end", *keys)
-            .agg(F.sum("_c").cast("bigint").alias(name)))
+    agg = _fan_out(panes, window_s, slide_s).groupBy("_w", *keys).agg(F.sum("_c").cast("bigint").alias(name))
+    return agg.select(*_window_bounds(agg, window_s, slide_s), *keys, name)
 
 
 def sliding_int_mean(df: DataFrame, ts: str, value: Column, window_s: int = MEAN_WINDOW_S,
@@ -81,10 +85,10 @@ def sliding_int_mean(df: DataFrame, ts: str, value: Column, window_s: int = MEAN
     slide_us = slide_s * 1_000_000
     panes = (df.withColumn("_pane", F.floor(_micros(ts) / slide_us)).withColumn("_v", value)
              .groupBy("_pane", *keys).agg(F.sum("_v").alias("_s"), F.count(F.lit(1)).alias("_c")))
-    agg = (_fan_out(panes, window_s, slide_s)
-           .groupBy("window_start", "window_end", *keys)
+    agg = (_fan_out(panes, window_s, slide_s).groupBy("_w", *keys)
            .agg(F.sum("_s").cast("bigint").alias("total"), F.sum("_c").cast("bigint").alias("n")))
-    return agg.withColumn("int_mean", int_div_mean(F.col("total"), F.col("n")))
+    return agg.select(*_window_bounds(agg, window_s, slide_s), *keys, "total", "n",
+                      int_div_mean(F.col("total"), F.col("n")).alias("int_mean"))
 
 
 def window_top_k(counts: DataFrame, k: int, key: str, name: str = "n",
@@ -136,9 +140,8 @@ def panes_to_windows(panes: DataFrame, keys: Sequence[str], window_s: int = COUN
     keys = list(keys)
     slide_us = slide_s * 1_000_000
     p = panes.select(F.floor(_micros("window_start") / slide_us).alias("_pane"), *keys, F.col(name).alias("_c"))
-    return (_fan_out(p, window_s, slide_s)
-            .groupBy("window_start", "window_end", *keys)
-            .agg(F.sum("_c").cast("bigint").alias(name)))
+    agg = _fan_out(p, window_s, slide_s).groupBy("_w", *keys).agg(F.sum("_c").cast("bigint").alias(name))
+    return agg.select(*_window_bounds(agg, window_s, slide_s), *keys, name)
 
 
 def run_to_table(agg: DataFrame, keys: Sequence[str], label: str, trigger_s: int | None = None,
