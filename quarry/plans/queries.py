@@ -720,13 +720,15 @@ FROM {_pane_sql('1', DOC_STREAM_WINDOW_S, DOC_STREAM_SLIDE_S, keys='kind, word',
                            WHERE contains(word, '#') OR lower(word) NOT IN ({BANNED_SQL}))''')}
 GROUP BY ALL""")
 def q48(spark, d):
-    docs = table(spark, d, "documents").select(
-        (F.timestamp_micros(F.lit(1704067200000000) + F.col("doc_id") * 1_000_000)).cast("timestamp_ntz").alias("ts"),
-        "text")
-    w = docs.select("ts", F.explode(F.split("text", " ")).alias("word"))
-    tagged = (w.where(T.hashtag_filter("word") | T.stream_word_filter("word"))
-              .withColumn("kind", F.when(T.hashtag_filter("word"), "hashtag").otherwise("word")))
-    return windows.sliding_counts(tagged, "ts", ["kind", "word"], DOC_STREAM_WINDOW_S, DOC_STREAM_SLIDE_S)
+    schema = table(spark, d, "documents").schema
+    docs = windows.file_stream(spark, d, schema, glob="documents.parquet")
+    stamped = docs.select(F.timestamp_micros(F.lit(1704067200000000) + F.col("doc_id") * 1_000_000).alias("ts"),
+                          "text")
+    words = windows.stream_words(stamped, "text", "ts")
+    panes = windows.run_to_table(
+        windows.stream_pane_counts(words, "ts", ["kind", "word"], slide_s=DOC_STREAM_SLIDE_S),
+        ["kind", "word"], "q48")
+    return windows.panes_to_windows(panes, ["kind", "word"], DOC_STREAM_WINDOW_S, DOC_STREAM_SLIDE_S)
 
 
 @query("q49_id_lookup", f"""

@@ -166,4 +166,31 @@ def run_to_table(agg: DataFrame, keys: Sequence[str], label: str, trigger_s: int
         writer.trigger(processingTime=f"{trigger_s} seconds")
     q = writer.start()
     q.awaitTermination()
+    if not _exists(spark, f"{base}/out"):   # no micro-batch ran: empty result
+        return spark.createDataFrame([], flat.schema)
     return read_batch_dirs(spark, f"{base}/out", ["window_start", "window_end", *keys])
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def stream_words(stream: DataFrame, text: str, ts: str) -> DataFrame:
+    """W8 + F2 + P18/P19 on a stream: split each message on single blanks
+    (flatMap), keep hashtags and non-banned words (filter), tag the kind (map).
+    Stateless, so each micro-batch is processed on its own."""
+    from quarry.functions.text import hashtag_filter, stream_word_filter
+    w = stream.select(F.col(ts).alias("ts"), F.explode(F.split(F.col(text), " ")).alias("word"))
+    return (w.where(hashtag_filter("word") | stream_word_filter("word"))
+            .withColumn("kind", F.when(hashtag_filter("word"), "hashtag").otherwise("word")))
+
+
+def start_console(df: DataFrame, rows: int = 10, trigger_s: int = BATCH_INTERVAL_S,
+                  output_mode: str = "update"):
+    """Print the first ``rows`` rows of every micro-batch (the reference's
+    ``print``); returns the running query.  For inspection, not for results."""
+    return (df.writeStream.outputMode(output_mode).format("console")
+            .option("numRows", rows).option("truncate", "false")
+            .trigger(processingTime=f"{trigger_s} seconds").start())

@@ -71,7 +71,10 @@ def test_similarity_string_ids_and_single_item_mode(spark):
     target = "it_3%"
     single = similarity.similar_to_item(df, "u", "i", "r", target, -1.0, 0, k=1000)
     got = {r.other: (r.score, r.n) for r in single.collect()}
-    want = {(b if a == target else a): v for (a, b), v in full.items() if target in (a, b)}
+    filtered = (similarity.item_similarity(df, "u", "i", "r")
+                .where((F.col("item1") == target) | (F.col("item2") == target))
+                .select(similarity.other_of_pair("item1", "item2", target).alias("other"), "score", "n"))
+    want = {r.other: (r.score, r.n) for r in filtered.collect()}
     assert set(got) == set(want)
     assert all(abs(got[k][0] - want[k][0]) < 1e-12 and got[k][1] == want[k][1] for k in got)
 

@@ -140,3 +140,11 @@ def test_als_repeatable_and_better_than_mean(spark):
     assert rmse < base
     none = recommend.recommend_for_users(m1, spark.createDataFrame([(10 ** 8,)], "user_id int"), 10)
     assert none.count() == 0
+
+
+def test_stream_without_input_gives_empty_table(spark, tmp_path):
+    folder = tmp_path / "empty"
+    folder.mkdir()
+    stream = windows.file_stream(spark, str(folder), table(spark, SF_SMALL, "events").schema)
+    out = windows.run_to_table(windows.stream_pane_counts(stream, "ts", ["event_type"]), ["event_type"], "e")
+    assert out.count() == 0 and "n" in out.columns
