@@ -40,9 +40,13 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Java's \s: blank, tab, newline, vertical tab, form feed, carriage return.
+WHITESPACE = " \t\n\u000b\f\r"
+
+
 def strip_ws(c: Column | str) -> Column:
-    """Trim all leading/trailing whitespace (``trim`` only removes spaces)."""
-    return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
+    """Trim all leading/trailing whitespace (``trim`` only removes blanks)."""
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def tokens(c: Column | str, sep: str = r"\s+") -> Column:
@@ -125,35 +129,46 @@ def first_time(c: Column | str, pattern: str = TIME_PATTERN, default: str | None
     return hit if default is None else F.coalesce(hit, F.lit(default))
 
 
-def drop_tokens(c: Column | str, n: int, sep: str = r"\s+") -> Column:
+# The shaping functions below take a line, or (``toks=``) its tokens already
+# computed with :func:`tokens`, so several shapes of one line split it once.
+
+def _toks(c, toks):
+    return toks if toks is not None else tokens(c)
+
+
+def _tail(t: Column, n: int) -> Column:
+    return F.slice(t, n + 1, F.greatest(F.size(t) - n, F.lit(0)))
+
+
+def drop_tokens(c: Column | str | None, n: int, toks: Column | None = None) -> Column:
     """F8: tokens after the first ``n``, re-joined by single blanks ('' when short)."""
-    t = tokens(c, sep)
-    return F.array_join(F.slice(t, n + 1, F.greatest(F.size(t) - n, F.lit(0))), " ")
+    return F.array_join(_tail(_toks(c, toks), n), " ")
 
 
-def stamp_prefix(c: Column | str, min_tokens: int = 4) -> Column:
+def stamp_prefix(c: Column | str | None, min_tokens: int = 4, toks: Column | None = None) -> Column:
     """token 1 when the line has at least ``min_tokens`` tokens, else ''."""
-    t = tokens(c)
+    t = _toks(c, toks)
     return F.when(F.size(t) >= min_tokens, F.get(t, 1)).otherwise(F.lit(""))
 
 
-def shape_severity_line(c: Column | str, drop: int = 6) -> Column:
+def shape_severity_line(c: Column | str | None, drop: int = 6, toks: Column | None = None) -> Column:
     """F10 + F8: ``stamp + "> " + tokens[drop:]``."""
-    return F.concat(stamp_prefix(c), F.lit("> "), drop_tokens(c, drop))
+    t = _toks(c, toks)
+    return F.concat(stamp_prefix(None, toks=t), F.lit("> "), drop_tokens(None, drop, toks=t))
 
 
-def shape_memory_line(c: Column | str, drop: int = 5) -> Column:
+def shape_memory_line(c: Column | str | None, drop: int = 5, toks: Column | None = None) -> Column:
     """F10 + F8: ``stamp + " " + tokens[drop:]``."""
-    return F.concat(stamp_prefix(c), F.lit(" "), drop_tokens(c, drop))
+    t = _toks(c, toks)
+    return F.concat(stamp_prefix(None, toks=t), F.lit(" "), drop_tokens(None, drop, toks=t))
 
 
-def stamp_and_tail(c: Column | str, first_kept: int = 9) -> Column:
+def stamp_and_tail(c: Column | str | None, first_kept: int = 9, toks: Column | None = None) -> Column:
     """token 1, a blank, then every token from index ``first_kept`` on, each
     followed by one blank."""
-    t = tokens(c)
-    tail = F.slice(t, first_kept + 1, F.greatest(F.size(t) - first_kept, F.lit(0)))
+    t = _toks(c, toks)
     return F.concat(F.coalesce(F.get(t, 1), F.lit("")), F.lit(" "),
-                    F.array_join(F.transform(tail, lambda x: F.concat(x, F.lit(" "))), ""))
+                    F.array_join(F.transform(_tail(t, first_kept), lambda x: F.concat(x, F.lit(" "))), ""))
 
 
 def clean_message(c: Column | str) -> Column:

@@ -332,11 +332,12 @@ SELECT doc_id, line_no,
        coalesce(t[2], '') || ' ' || array_to_string(list_transform(t[10:], lambda x: x || ' '), '') AS stamp_tail
 FROM (SELECT doc_id, line_no, {_toks_sql('line')} AS t FROM {DOC_LINES_SQL})""")
 def q26(spark, d):
-    return doc_lines(spark, d).select(
-        "doc_id", "line_no",
-        T.shape_severity_line("line").alias("severity_shape"),
-        T.shape_memory_line("line").alias("memory_shape"),
-        T.stamp_and_tail("line").alias("stamp_tail"))
+    t = F.col("t")
+    return (doc_lines(spark, d).select("doc_id", "line_no", T.tokens("line").alias("t"))
+            .select("doc_id", "line_no",
+                    T.shape_severity_line(None, toks=t).alias("severity_shape"),
+                    T.shape_memory_line(None, toks=t).alias("memory_shape"),
+                    T.stamp_and_tail(None, toks=t).alias("stamp_tail")))
 
 
 @query("q27_nth_line", f"""
