@@ -42,19 +42,40 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+EDGES_PER_PARTITION = 2_000_000
+
+
 def bfs(edges: DataFrame, start, max_rounds: int = 10, target=None,
         stop_at_target: bool = True, partitions: int | None = None) -> BfsResult:
     """Breadth-first distances from ``start`` over directed edges, at most
     ``max_rounds`` rounds.  With ``target``, also the first round that expands an
-    edge into it and how many such edges (duplicates count) that round had."""
+    edge into it and how many such edges (duplicates count) that round had.
+
+    The loop's partition count is ``partitions`` or one per
+    ``EDGES_PER_PARTITION`` edges (capped by ``spark.sql.shuffle.partitions``),
+    and the loop's shuffles use it, so a small graph does not pay for hundreds
+    of near-empty tasks and checkpoint files per round."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    p = partitions or default_parallelism(spark)
+    raw = edges.select(F.col("src").cast("bigint").alias("src"),
+                       F.col("dst").cast("bigint").alias("dst")).persist()
+    n_edges = raw.count()
+    p = partitions or max(1, min(default_parallelism(spark), -(-n_edges // EDGES_PER_PARTITION)))
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(p))
+    try:
+        return _bfs_rounds(spark, raw, p, start, max_rounds, target, stop_at_target)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
+        raw.unpersist()
+
+
+def _bfs_rounds(spark, raw: DataFrame, p: int, start, max_rounds: int, target,
+                stop_at_target: bool) -> BfsResult:
     # Cached (not checkpointed) so the plan keeps its hash partitioning on src:
     # every round then shuffles only the frontier.  Its lineage is one scan and
     # one shuffle, cheap to recompute if an executor is lost.
-    e = (edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"))
-         .repartition(p, "src").persist())
+    e = raw.repartition(p, "src").persist()
     e.count()
     frontier = spark.range(1).select(F.lit(start).cast("bigint").alias("vertex"),
                                      F.lit(0).alias("distance"))
@@ -66,7 +87,7 @@ def bfs(edges: DataFrame, start, max_rounds: int = 10, target=None,
         reached = (frontier.join(e, frontier.vertex == e.src)
                    .groupBy(F.col("dst").alias("vertex")).agg(F.count(F.lit(1)).alias("mult")))
         cached = (reached.join(visited.select("vertex"), "vertex", "left_anti")
-                  .select("vertex", F.lit(r).alias("distance"), "mult").persist())
+                  .select("vertex", F.lit(r).alias("distance"), "mult").coalesce(p).persist())
         # lazy checkpoint: the stats job below computes (and caches) the frame,
         # then Spark writes the checkpoint from the cache
         new = cached.checkpoint(eager=False)
@@ -78,7 +99,8 @@ def bfs(edges: DataFrame, start, max_rounds: int = 10, target=None,
         if stats["n"] == 0:
             break
         new = new.select("vertex", "distance")
-        visited = visited.unionByName(new)
+        # earlier frontiers are checkpoints; coalescing keeps the union at p partitions
+        visited = visited.unionByName(new).coalesce(p)
         frontier = new
         if stats["h"]:
             result.hit_round, result.hits = r, int(stats["h"])

@@ -77,7 +77,15 @@ def main(argv):
     keys = argv[2:]
     from quarry.session import build_session
     import __spark_entry__ as E
-    spark = build_session("local[8]", 8)
+    if os.environ.get("ORACLE_PLAIN_SESSION"):
+        # a session as a caller might bring it: default partitions, another zone
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.sql.session.timeZone", "America/New_York")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session("local[8]", 8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
