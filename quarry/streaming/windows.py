@@ -2,10 +2,11 @@
 
 Batch form (``sliding_counts``, ``sliding_int_mean``): when the window is a
 multiple of the slide, rows are first aggregated into slide-wide *panes*
-(one partial aggregate per pane and key), and only the pane aggregates are
-fanned out to the ``window / slide`` windows that contain them.  On dense
-data this replaces ``rows x 150`` expanded rows (300 s / 2 s) with
-``panes x 150``; on sparse data it costs the same as ``window()``.
+(one partial aggregate per pane and key).  Each pane then becomes two change
+points (enter / leave), and a running sum over the ordered change points of a
+key, split into time buckets, yields every non-empty window exactly once
+(``_windows_from_panes``).  ``window()`` instead copies each row into
+``window / slide`` windows (150 at 300 s / 2 s) and aggregates the copies.
 
 Streaming form: the stateful aggregate keeps slide-wide tumbling panes with a
 watermark (``stream_pane_counts``), written per micro-batch to ``batch_id=N``
@@ -47,14 +48,65 @@ def _ntz(micros: Column) -> Column:
     return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 
-def _fan_out(panes: DataFrame, window_s: int, slide_s: int) -> DataFrame:
-    """Copy each pane row to the ``window / slide`` windows holding it; ``_w`` is
-    the window's start expressed in slides (a bigint: a narrow shuffle key)."""
-    k = window_s // slide_s
-    return panes.withColumn("_w", F.explode(F.sequence(F.col("_pane") - (k - 1), F.col("_pane"))))
-
+# Up to this many windows per pane, panes are simply copied to their windows.
+FAN_OUT_MAX = 16
+# Width, in slides, of the time buckets the change-point pass is split into.
+# Must be at least window/slide (checked below).
+BUCKET_SLIDES = 4096
+
+
+def _windows_from_panes(panes: DataFrame, keys: list[str], window_s: int, slide_s: int,
+                        measures: list[str]) -> DataFrame:
+    """Sliding-window sums of integral pane ``measures`` (the first one is a
+    positive row count) without copying every pane to every window.
+
+    A pane ``p`` adds its measures to windows ``p-k+1 .. p`` (``k`` =
+    window/slide): a ``+m`` change at ``p-k+1`` and a ``-m`` change at ``p+1``.
+    Change points are summed per key and time, split into buckets of
+    ``BUCKET_SLIDES`` slides (each bucket gets a zero change at its start, and
+    the sum of all earlier buckets as carry-in), and within a bucket a running
+    sum over the ordered change points gives the value of every window up to
+    the next change point.  Windows with a positive count are emitted once
+    each, so there is no aggregation over ``panes x k`` rows, and no task holds
+    more than one bucket of one key.  For ``k <= FAN_OUT_MAX`` the panes are
+    copied to their windows and summed instead (cheaper with many sparse keys).
+    """
+    from pyspark.sql import Window
 
-def _window_bounds(df: DataFrame, window_s: int, slide_s: int) -> list[Column]:
+    k = window_s // slide_s
+    if k <= FAN_OUT_MAX:
+        # few windows per pane: copying each pane k times and summing is cheaper
+        fanned = panes.withColumn("_w", F.explode(F.sequence(F.col("_pane") - (k - 1), F.col("_pane"))))
+        return fanned.groupBy(*keys, "_w").agg(*[F.sum(m).alias(m) for m in measures])
+    bw = max(BUCKET_SLIDES, k)
+    sums = [F.col(m) for m in measures]
+    changes = (panes.select(*keys, F.explode(F.array(
+        F.struct((F.col("_pane") - (k - 1)).alias("t"), *[c.alias(m) for c, m in zip(sums, measures)]),
+        F.struct((F.col("_pane") + 1).alias("t"), *[(-c).alias(m) for c, m in zip(sums, measures)]),
+    )).alias("d")).select(*keys, "d.*")
+        .groupBy(*keys, "t").agg(*[F.sum(m).alias(m) for m in measures])
+        .withColumn("_b", F.floor(F.col("t") / bw)))
+    # carry-in per (key, bucket): everything that changed in earlier buckets
+    totals = changes.groupBy(*keys, "_b").agg(*[F.sum(m).alias(m) for m in measures])
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*keys, "_b", *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_carry_{m}")
+                                         for m in measures])
+    starts = carry.select(*keys, "_b", (F.col("_b") * bw).alias("t"), *[F.lit(0).cast("bigint").alias(m)
+                                                                          for m in measures])
+    points = (changes.unionByName(starts)
+              .groupBy(*keys, "_b", "t").agg(*[F.sum(m).alias(m) for m in measures])
+              .join(carry, [*keys, "_b"]))
+    w = Window.partitionBy(*keys, "_b").orderBy("t")
+    running = points.select(
+        *keys, "t",
+        F.coalesce(F.lead("t").over(w), (F.col("_b") + 1) * bw).alias("_next"),
+        *[(F.col(f"_carry_{m}") + F.sum(m).over(w.rowsBetween(Window.unboundedPreceding, 0))).alias(m)
+          for m in measures])
+    return (running.where(F.col(measures[0]) > 0)
+            .select(*keys, *measures, F.explode(F.sequence("t", F.col("_next") - 1)).alias("_w")))
+
+
+def _window_bounds(window_s: int, slide_s: int) -> list[Column]:
     slide_us = slide_s * 1_000_000
     return [_ntz(F.col("_w") * slide_us).alias("window_start"),
             _ntz(F.col("_w") * slide_us + window_s * 1_000_000).alias("window_end")]
@@ -73,22 +125,22 @@ def sliding_counts(df: DataFrame, ts: str, keys: Sequence[str], window_s: int =
     slide_us = slide_s * 1_000_000
     panes = (df.withColumn("_pane", F.floor(_micros(ts) / slide_us))
              .groupBy("_pane", *keys).agg(F.count(F.lit(1)).alias("_c")))
-    agg = _fan_out(panes, window_s, slide_s).groupBy("_w", *keys).agg(F.sum("_c").cast("bigint").alias(name))
-    return agg.select(*_window_bounds(agg, window_s, slide_s), *keys, name)
+    out = _windows_from_panes(panes, keys, window_s, slide_s, ["_c"])
+    return out.select(*_window_bounds(window_s, slide_s), *keys, F.col("_c").cast("bigint").alias(name))
 
 
 def sliding_int_mean(df: DataFrame, ts: str, value: Column, window_s: int = MEAN_WINDOW_S,
                      slide_s: int = MEAN_SLIDE_S, keys: Sequence[str] = ()) -> DataFrame:
-    """W4 + F21: integer mean of ``value`` per sliding window
+    """W4 + F21: integer mean of an integral ``value`` per sliding window
     ``(window_start, window_end, *keys, total, n, int_mean)``."""
     keys = list(keys)
     slide_us = slide_s * 1_000_000
-    panes = (df.withColumn("_pane", F.floor(_micros(ts) / slide_us)).withColumn("_v", value)
-             .groupBy("_pane", *keys).agg(F.sum("_v").alias("_s"), F.count(F.lit(1)).alias("_c")))
-    agg = (_fan_out(panes, window_s, slide_s).groupBy("_w", *keys)
-           .agg(F.sum("_s").cast("bigint").alias("total"), F.sum("_c").cast("bigint").alias("n")))
-    return agg.select(*_window_bounds(agg, window_s, slide_s), *keys, "total", "n",
-                      int_div_mean(F.col("total"), F.col("n")).alias("int_mean"))
+    panes = (df.withColumn("_pane", F.floor(_micros(ts) / slide_us)).withColumn("_v", value.cast("bigint"))
+             .groupBy("_pane", *keys).agg(F.count(F.lit(1)).alias("_c"), F.sum("_v").alias("_s")))
+    out = _windows_from_panes(panes, keys, window_s, slide_s, ["_c", "_s"])
+    return out.select(*_window_bounds(window_s, slide_s), *keys,
+                      F.col("_s").cast("bigint").alias("total"), F.col("_c").cast("bigint").alias("n"),
+                      int_div_mean(F.col("_s"), F.col("_c")).alias("int_mean"))
 
 
 def window_top_k(counts: DataFrame, k: int, key: str, name: str = "n",
@@ -140,8 +192,8 @@ def panes_to_windows(panes: DataFrame, keys: Sequence[str], window_s: int = COUN
     keys = list(keys)
     slide_us = slide_s * 1_000_000
     p = panes.select(F.floor(_micros("window_start") / slide_us).alias("_pane"), *keys, F.col(name).alias("_c"))
-    agg = _fan_out(p, window_s, slide_s).groupBy("_w", *keys).agg(F.sum("_c").cast("bigint").alias(name))
-    return agg.select(*_window_bounds(agg, window_s, slide_s), *keys, name)
+    out = _windows_from_panes(p, keys, window_s, slide_s, ["_c"])
+    return out.select(*_window_bounds(window_s, slide_s), *keys, F.col("_c").cast("bigint").alias(name))
 
 
 def run_to_table(agg: DataFrame, keys: Sequence[str], label: str, trigger_s: int | None = None,

@@ -148,3 +148,20 @@ def test_stream_without_input_gives_empty_table(spark, tmp_path):
     stream = windows.file_stream(spark, str(folder), table(spark, SF_SMALL, "events").schema)
     out = windows.run_to_table(windows.stream_pane_counts(stream, "ts", ["event_type"]), ["event_type"], "e")
     assert out.count() == 0 and "n" in out.columns
+
+
+def test_change_points_match_fan_out_with_tiny_buckets(spark, monkeypatch):
+    """Exercise bucket carry-over: buckets as narrow as the window."""
+    ev = table(spark, SF_SMALL, "events")
+    cols = ["window_start", "window_end", "event_type", "n"]
+    monkeypatch.setattr(windows, "FAN_OUT_MAX", 10 ** 6)
+    fanned = rows_of(windows.sliding_counts(ev, "ts", ["event_type"], 600, 20), cols)
+    monkeypatch.setattr(windows, "FAN_OUT_MAX", 1)
+    monkeypatch.setattr(windows, "BUCKET_SLIDES", 1)         # raised to k = 30 inside
+    bucketed = rows_of(windows.sliding_counts(ev, "ts", ["event_type"], 600, 20), cols)
+    assert fanned == bucketed
+    m_cols = ["window_start", "total", "n", "int_mean"]
+    a = rows_of(windows.sliding_int_mean(ev, "ts", F.length("props"), 300, 4), m_cols)
+    monkeypatch.setattr(windows, "FAN_OUT_MAX", 10 ** 6)
+    b = rows_of(windows.sliding_int_mean(ev, "ts", F.length("props"), 300, 4), m_cols)
+    assert a == b
