@@ -167,17 +167,22 @@ def stamp_and_tail(c: Column | str | None, first_kept: int = 9, toks: Column | N
     """token 1, a blank, then every token from index ``first_kept`` on, each
     followed by one blank."""
     t = _toks(c, toks)
-    return F.concat(F.coalesce(F.get(t, 1), F.lit("")), F.lit(" "),
-                    F.array_join(F.transform(_tail(t, first_kept), lambda x: F.concat(x, F.lit(" "))), ""))
+    tail = _tail(t, first_kept)
+    return F.concat(F.coalesce(F.get(t, 1), F.lit("")), F.lit(" "), F.array_join(tail, " "),
+                    F.when(F.size(tail) > 0, F.lit(" ")).otherwise(F.lit("")))
+
+
+# A blank-delimited token made only of ASCII letters and not holding "RT"
+# (an alphabetic token can hold neither "#" nor "@"); possessive, so a
+# failing token is given up without backtracking.
+CLEAN_TOKEN = r"(?<![^ ])(?:[a-zA-QS-Z]|R(?!T))++(?![^ ])"
 
 
 def clean_message(c: Column | str) -> Column:
     """split on single blanks, drop tokens holding ``#``, ``@`` or ``RT``,
-    keep purely alphabetic tokens, join with blanks."""
-    toks = F.split(_c(c), " ")
-    kept = F.filter(toks, lambda x: ~(x.contains("#") | x.contains("@") | x.contains("RT"))
-                    & x.rlike("^[a-zA-Z]+$"))
-    return F.array_join(kept, " ")
+    keep purely alphabetic tokens, join with blanks.  One regex pass over the
+    text (no per-token lambda, so it stays in generated code)."""
+    return F.array_join(F.regexp_extract_all(_c(c), F.lit(CLEAN_TOKEN), 0), " ")
 
 
 def like_pieces_pattern(pieces: Iterable[str], escape: str = "\\", raw: bool = False) -> str:

@@ -55,6 +55,10 @@ def test_severity_filter_length_edge(spark):
 def test_clean_message(spark):
     msg = "RT @a good morning #sun Friday x1 ok"
     assert one(spark, msg, T.clean_message("v")) == "good morning Friday ok"
+    edge = "ART R TR aRTb  two\nlines end. Rx RRT ok"
+    want = " ".join(w for w in edge.split(" ")
+                    if w.isascii() and w.isalpha() and "RT" not in w)
+    assert one(spark, edge, T.clean_message("v")) == want == "R TR Rx ok"
 
 
 def test_like_pieces_escape(spark):
