@@ -63,10 +63,10 @@ def _windows_from_panes(panes: DataFrame, keys: list[str], window_s: int, slide_
     A pane ``p`` adds its measures to windows ``p-k+1 .. p`` (``k`` =
     window/slide): a ``+m`` change at ``p-k+1`` and a ``-m`` change at ``p+1``.
     Change points are summed per key and time, split into buckets of
-    ``BUCKET_SLIDES`` slides (each bucket gets a zero change at its start, and
-    the sum of all earlier buckets as carry-in), and within a bucket a running
-    sum over the ordered change points gives the value of every window up to
-    the next change point.  Windows with a positive count are emitted once
+    ``BUCKET_SLIDES`` slides (each bucket gets the sum of all earlier buckets as
+    carry-in, which also covers the stretch before its first change point), and
+    within a bucket a running sum over the ordered change points gives the value
+    of every window up to the next change point.  Windows with a positive count are emitted once
     each, so there is no aggregation over ``panes x k`` rows, and no task holds
     more than one bucket of one key.  For ``k <= FAN_OUT_MAX`` the panes are
     copied to their windows and summed instead (cheaper with many sparse keys).
@@ -80,30 +80,39 @@ def _windows_from_panes(panes: DataFrame, keys: list[str], window_s: int, slide_
         return fanned.groupBy(*keys, "_w").agg(*[F.sum(m).alias(m) for m in measures])
     bw = max(BUCKET_SLIDES, k)
     sums = [F.col(m) for m in measures]
+    # Change points, shuffled once on (key, bucket): the aggregate and the
+    # running-sum window below both reuse that partitioning.
     changes = (panes.select(*keys, F.explode(F.array(
         F.struct((F.col("_pane") - (k - 1)).alias("t"), *[c.alias(m) for c, m in zip(sums, measures)]),
         F.struct((F.col("_pane") + 1).alias("t"), *[(-c).alias(m) for c, m in zip(sums, measures)]),
     )).alias("d")).select(*keys, "d.*")
-        .groupBy(*keys, "t").agg(*[F.sum(m).alias(m) for m in measures])
-        .withColumn("_b", F.floor(F.col("t") / bw)))
+        .withColumn("_b", F.floor(F.col("t") / bw))
+        .repartition(*keys, "_b")
+        .groupBy(*keys, "_b", "t").agg(*[F.sum(m).alias(m) for m in measures]))
     # carry-in per (key, bucket): everything that changed in earlier buckets
+    # (one row per bucket and key: small, joined back by broadcast when AQE sees it is)
     totals = changes.groupBy(*keys, "_b").agg(*[F.sum(m).alias(m) for m in measures])
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(*keys, "_b", *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_carry_{m}")
                                          for m in measures])
-    starts = carry.select(*keys, "_b", (F.col("_b") * bw).alias("t"), *[F.lit(0).cast("bigint").alias(m)
-                                                                          for m in measures])
-    points = (changes.unionByName(starts)
-              .groupBy(*keys, "_b", "t").agg(*[F.sum(m).alias(m) for m in measures])
-              .join(carry, [*keys, "_b"]))
     w = Window.partitionBy(*keys, "_b").orderBy("t")
-    running = points.select(
-        *keys, "t",
+    running = changes.join(carry, [*keys, "_b"]).select(
+        *keys, "_b", "t",
+        F.lag("t").over(w).alias("_prev"),
         F.coalesce(F.lead("t").over(w), (F.col("_b") + 1) * bw).alias("_next"),
+        *[F.col(f"_carry_{m}").alias(f"_carry_{m}") for m in measures],
         *[(F.col(f"_carry_{m}") + F.sum(m).over(w.rowsBetween(Window.unboundedPreceding, 0))).alias(m)
           for m in measures])
-    return (running.where(F.col(measures[0]) > 0)
-            .select(*keys, *measures, F.explode(F.sequence("t", F.col("_next") - 1)).alias("_w")))
+    # each change point covers [t, next); the first one of a bucket also covers
+    # [bucket start, t) with the carried-in value
+    segs = running.select(*keys, F.explode(F.array(
+        F.struct(F.col("t").alias("a"), F.col("_next").alias("z"), *[F.col(m).alias(m) for m in measures]),
+        F.struct((F.col("_b") * bw).alias("a"),
+                 F.when(F.col("_prev").isNull(), F.col("t")).otherwise(F.col("_b") * bw).alias("z"),
+                 *[F.col(f"_carry_{m}").alias(m) for m in measures]),
+    )).alias("s")).select(*keys, "s.*")
+    return (segs.where((F.col(measures[0]) > 0) & (F.col("z") > F.col("a")))
+            .select(*keys, *measures, F.explode(F.sequence("a", F.col("z") - 1)).alias("_w")))
 
 
 def _window_bounds(window_s: int, slide_s: int) -> list[Column]:
