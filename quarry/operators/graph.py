@@ -3,7 +3,9 @@
 BFS is a frontier loop of DataFrame joins.  Per round:
 
 * ``frontier ⋈ edges`` on ``src`` – the edges are hash-partitioned on ``src``
-  once and cached, so each round shuffles only the frontier;
+  (plus a salt on ``dst`` sized from the largest out-degree, so a hub vertex
+  spreads over several tasks) once and cached; each round shuffles only the
+  frontier, copied once per salt value;
 * newly reached vertices = destinations aggregated with their multiplicity,
   ``left_anti`` the visited set (the union of earlier frontiers);
 * the new frontier is checkpointed into ``spark.checkpoint.dir`` every round,
@@ -59,23 +61,30 @@ def bfs(edges: DataFrame, start, max_rounds: int = 10, target=None,
     ensure_checkpoint_dir(spark)
     raw = edges.select(F.col("src").cast("bigint").alias("src"),
                        F.col("dst").cast("bigint").alias("dst")).persist()
-    n_edges = raw.count()
+    stats = (raw.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+             .agg(F.sum("deg").alias("n"), F.max("deg").alias("top")).first())
+    n_edges, top = int(stats["n"] or 0), int(stats["top"] or 0)
     p = partitions or max(1, min(default_parallelism(spark), -(-n_edges // EDGES_PER_PARTITION)))
+    # a hub vertex's edges are spread over `salt` partitions, so that no task
+    # expands more than about one partition's share of the edges
+    salt = max(1, min(p, -(-top * p // max(n_edges, 1))))
     saved = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(p))
     try:
-        return _bfs_rounds(spark, raw, p, start, max_rounds, target, stop_at_target)
+        return _bfs_rounds(spark, raw, p, salt, start, max_rounds, target, stop_at_target)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", saved)
         raw.unpersist()
 
 
-def _bfs_rounds(spark, raw: DataFrame, p: int, start, max_rounds: int, target,
+def _bfs_rounds(spark, raw: DataFrame, p: int, salt: int, start, max_rounds: int, target,
                 stop_at_target: bool) -> BfsResult:
-    # Cached (not checkpointed) so the plan keeps its hash partitioning on src:
-    # every round then shuffles only the frontier.  Its lineage is one scan and
-    # one shuffle, cheap to recompute if an executor is lost.
-    e = raw.repartition(p, "src").persist()
+    # Cached (not checkpointed) so the plan keeps its hash partitioning on
+    # (src, salt): every round then shuffles only the frontier, copied once per
+    # salt value.  Its lineage is one scan and one shuffle, cheap to recompute
+    # if an executor is lost.
+    e = (raw.withColumn("_s", F.pmod(F.xxhash64("dst"), F.lit(salt)).cast("int"))
+         .repartition(p, "src", "_s").persist())
     e.count()
     frontier = spark.range(1).select(F.lit(start).cast("bigint").alias("vertex"),
                                      F.lit(0).alias("distance"))
@@ -84,7 +93,8 @@ def _bfs_rounds(spark, raw: DataFrame, p: int, start, max_rounds: int, target,
     tgt = F.lit(target).cast("bigint") if target is not None else None
     for r in range(1, max_rounds + 1):
         # multiplicity of each reached vertex = edges expanded into it this round
-        reached = (frontier.join(e, frontier.vertex == e.src)
+        salted = frontier.withColumn("_fs", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        reached = (salted.join(e, (salted.vertex == e.src) & (salted._fs == e._s))
                    .groupBy(F.col("dst").alias("vertex")).agg(F.count(F.lit(1)).alias("mult")))
         cached = (reached.join(visited.select("vertex"), "vertex", "left_anti")
                   .select("vertex", F.lit(r).alias("distance"), "mult").coalesce(p).persist())

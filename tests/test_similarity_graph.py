@@ -152,3 +152,15 @@ def test_global_index_and_nth(spark, monkeypatch):
     names = spark.createDataFrame([("b",), ("a",), ("b",), (None,), ("c",)], "s string")
     ids = {r.s: r.id for r in positional.dense_ids(names, "s").collect()}
     assert ids == {"a": 0, "b": 1, "c": 2}
+
+
+def test_bfs_hub_vertex_is_salted_and_exact(spark):
+    # vertex 0 holds most edges (salt = 8 with 8 partitions); results stay exact
+    edges = [(0, d) for d in range(1, 400)] + [(d, d + 1000) for d in range(1, 50)] + [(1007, 0), (7, 1007)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    res = graph.bfs(df, 7, max_rounds=10, target=0, stop_at_target=False, partitions=8)
+    got = {r.vertex: r.distance for r in res.distances.collect()}
+    assert got == bfs_brute(edges, 7, 10)
+    assert (res.hit_round, res.hits) == (2, 1)
+    hub = graph.bfs(df, 0, max_rounds=3, target=1005, partitions=8)
+    assert (hub.hit_round, hub.hits) == (2, 1)
