@@ -33,8 +33,10 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, cols: Sequence
     else:
         out = df.join(d, df[key] == F.col("_dk"), "left")
     if strict:
-        out = out.withColumn("_dk", F.assert_true(F.col("_dk").isNotNull(),
-                                                  F.lit(f"no dimension row for {key}")))
+        # the check lives in the output columns, so column pruning cannot drop it
+        missing = F.raise_error(F.concat(F.lit(f"no dimension row for {key}="), df[key].cast("string")))
+        return out.select(*df.columns, *[F.when(F.col("_dk").isNull(), missing).otherwise(F.col(c)).alias(c)
+                                         for c in cols])
     return out.select(*df.columns, *cols)
 
 

@@ -155,7 +155,9 @@ def sliding_int_mean(df: DataFrame, ts: str, value: Column, window_s: int = MEAN
 def window_top_k(counts: DataFrame, k: int, key: str, name: str = "n",
                  rank_col: str = "rank") -> DataFrame:
     """The ``k`` largest keys of each window (ties by key), numbered.  The
-    ranking window is partitioned by window start, so windows rank in parallel."""
+    ranking window is partitioned by window start, so windows rank in parallel,
+    and Spark plans a partial ``WindowGroupLimit`` before the shuffle: each map
+    task forwards at most ``k`` rows per window, however many keys it holds."""
     from pyspark.sql import Window
     w = Window.partitionBy("window_start").orderBy(F.desc(name), F.asc(key))
     return counts.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)

@@ -30,8 +30,7 @@ def test_people_and_purchases(spark, write_file):
     assert people.where("age >= 13 AND age <= 19").count() == 2
     q = write_file("purchases.csv", "44,8602,37.19\n44,1,0.01\n3,2,10.50\n")
     pur = readers.read_purchases(spark, q)
-    assert dict(pur.schema.simpleString() and [(f.name, f.dataType.simpleString()) for f in pur.schema.fields])[
-        "amount"] == "decimal(18,2)"
+    assert dict(pur.dtypes)["amount"] == "decimal(18,2)"
     tot = {r.customer_id: r.t for r in pur.groupBy("customer_id").agg(F.sum("amount").alias("t")).collect()}
     assert str(tot[44]) == "37.20" and str(tot[3]) == "10.50"
 
@@ -109,3 +108,17 @@ def test_batch_dirs_upsert(spark, tmp_path):
     w(spark.createDataFrame([("a", 5)], "k string, n int"), 1)   # retried batch: idempotent
     got = {r.k: r.n for r in sinks.read_batch_dirs(spark, base, ["k"]).collect()}
     assert got == {"a": 5, "b": 2}
+
+
+def test_strict_lookup_fails_on_missing_key(spark):
+    from quarry.operators.joins import lookup
+    facts = spark.createDataFrame([(1, 5), (2, 7)], "item_id long, n long")
+    dim = spark.createDataFrame([(1, "one")], "id long, name string")
+    loose = {r.item_id: r.name for r in lookup(facts, dim, "item_id", "id", ["name"]).collect()}
+    assert loose == {1: "one", 2: None}
+    bounded = lookup(facts, dim, "item_id", "id", ["name"], df_is_bounded=True)
+    assert {r.item_id: r.name for r in bounded.collect()} == loose
+    with pytest.raises(Exception, match="no dimension row"):
+        lookup(facts, dim, "item_id", "id", ["name"], strict=True).collect()
+    ok = lookup(facts.where("item_id = 1"), dim, "item_id", "id", ["name"], strict=True).collect()
+    assert ok[0].name == "one"
