@@ -35,15 +35,6 @@ class BfsResult:
     hits: int = 0                 # edges into the target expanded in that round
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir``, computed once (the
-    frame is cached while the checkpoint job writes it)."""
-    df = df.persist()
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
-
-
 EDGES_PER_PARTITION = 2_000_000
 
 
