@@ -384,7 +384,7 @@ WHERE length(cleaned) > 0""")
 def q30(spark, d):
     docs = table(spark, d, "documents").select("doc_id", T.clean_message("text").alias("cleaned"))
     return (docs.where(F.length("cleaned") > 0)
-            .select("doc_id", "cleaned", F.length("cleaned").alias("clean_len")))
+            .select("doc_id", "cleaned", F.length("cleaned").cast("bigint").alias("clean_len")))
 
 
 # ---------------------------------------------------------------------------

@@ -42,6 +42,23 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "date": "DATE"}
+
+
+def type_mismatches(spark_dtypes, duck_columns, duck_types):
+    """Columns whose Spark type does not correspond to the DuckDB type."""
+    s = dict(spark_dtypes)
+    d = {n: str(t) for n, t in zip(duck_columns, duck_types)}
+    out = []
+    for n in sorted(set(s) | set(d)):
+        st = s.get(n)
+        want = SPARK_TO_DUCK.get(st, st.upper() if st else None)
+        if want != d.get(n):
+            out.append((n, st, d.get(n)))
+    return out
+
+
 def canon(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     names = [columns[i] for i in order]
@@ -60,10 +77,13 @@ def compare(spark, con, sf_dir, key, fn, sql):
         return dict(key=key, ok=None, rows=len(s_rows), spark_s=round(t_spark, 2))
     rel = con.sql(sql)
     d_cols = [c for c in rel.columns]
+    types_bad = type_mismatches(df.dtypes, d_cols, rel.types)
     d_rows = rel.fetchall()
     d_names, d_rows = canon(d_cols, d_rows)
-    ok = s_names == d_names and s_rows == d_rows
+    ok = s_names == d_names and s_rows == d_rows and not types_bad
     info = dict(key=key, ok=ok, rows=len(s_rows), oracle_rows=len(d_rows), spark_s=round(t_spark, 2))
+    if types_bad:
+        info["type_mismatches"] = types_bad
     if not ok:
         info["spark_cols"], info["oracle_cols"] = s_names, d_names
         diff_s = [r for r in s_rows if r not in set(d_rows)][:3]
