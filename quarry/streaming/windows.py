@@ -207,31 +207,47 @@ def panes_to_windows(panes: DataFrame, keys: Sequence[str], window_s: int = COUN
     return out.select(*_window_bounds(window_s, slide_s), *keys, F.col("_c").cast("bigint").alias(name))
 
 
-def run_to_table(agg: DataFrame, keys: Sequence[str], label: str, trigger_s: int | None = None,
-                 output_mode: str = "update") -> DataFrame:
-    """Run a windowed streaming aggregate to completion.
-
-    ``trigger_s=None`` processes what is available and stops (tests, batch
-    back-fill); otherwise it runs on a processing-time trigger until stopped.
-    State and progress live in a checkpoint folder under
-    ``spark.checkpoint.dir``; results go to one folder per micro-batch and are
-    read back with a latest-batch-wins upsert.
-    """
-    spark = agg.sparkSession
-    base = scratch_path(spark, label)
-    flat = agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+def _flat(agg: DataFrame) -> DataFrame:
+    return agg.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                       F.col("w.end").cast("timestamp_ntz").alias("window_end"),
                       *[c for c in agg.columns if c != "w"])
-    writer = (flat.writeStream.outputMode(output_mode)
+
+
+def start_to_folder(agg: DataFrame, label: str, trigger_s: int | None = BATCH_INTERVAL_S,
+                    output_mode: str = "update"):
+    """Start a windowed streaming aggregate that writes every
+    micro-batch to ``<folder>/out/batch_id=N``; returns ``(query, folder)``.
+
+    ``trigger_s`` seconds per micro-batch (2 s in the reference); ``None``
+    processes what is available and stops.  State and progress live in
+    ``<folder>/checkpoint`` under ``spark.checkpoint.dir``, so a restarted query
+    resumes where it stopped.  Read results at any time with :func:`read_folder`.
+    """
+    base = scratch_path(agg.sparkSession, label)
+    writer = (_flat(agg).writeStream.outputMode(output_mode)
               .option("checkpointLocation", f"{base}/checkpoint")
               .foreachBatch(batch_dirs_writer(f"{base}/out")))
     writer = writer.trigger(availableNow=True) if trigger_s is None else \
         writer.trigger(processingTime=f"{trigger_s} seconds")
-    q = writer.start()
+    return writer.start(), base
+
+
+def read_folder(spark: SparkSession, folder: str, keys: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """Current result of a :func:`start_to_folder` query (latest batch wins per
+    window and key); empty when no micro-batch has finished yet."""
+    if not _exists(spark, f"{folder}/out"):
+        if schema is None:
+            raise ValueError("no micro-batch yet; pass the schema to get an empty frame")
+        return spark.createDataFrame([], schema)
+    return read_batch_dirs(spark, f"{folder}/out", ["window_start", "window_end", *keys])
+
+
+def run_to_table(agg: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """Run a windowed streaming aggregate over what is available, wait for it,
+    and return its result (tests, batch back-fill, the registered queries)."""
+    q, base = start_to_folder(agg, label, trigger_s=None)
     q.awaitTermination()
-    if not _exists(spark, f"{base}/out"):   # no micro-batch ran: empty result
-        return spark.createDataFrame([], flat.schema)
-    return read_batch_dirs(spark, f"{base}/out", ["window_start", "window_end", *keys])
+    return read_folder(agg.sparkSession, base, keys, _flat(agg).schema)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -165,3 +165,32 @@ def test_change_points_match_fan_out_with_tiny_buckets(spark, monkeypatch):
     monkeypatch.setattr(windows, "FAN_OUT_MAX", 10 ** 6)
     b = rows_of(windows.sliding_int_mean(ev, "ts", F.length("props"), 300, 4), m_cols)
     assert a == b
+
+
+def test_processing_time_trigger_and_console(spark, tmp_path):
+    import time as _time
+    folder = tmp_path / "live"
+    folder.mkdir()
+    ev = table(spark, SF_SMALL, "events")
+    ev.where("event_id < 200").write.parquet(str(folder / "f0"))
+    stream = windows.file_stream(spark, str(folder / "*"), ev.schema)
+    q, base = windows.start_to_folder(windows.stream_pane_counts(stream, "ts", ["event_type"]), "live", trigger_s=1)
+    try:
+        q.processAllAvailable()
+        first = windows.read_folder(spark, base, ["event_type"]).agg(F.sum("n")).first()[0]
+        ev.where("event_id >= 200 AND event_id < 500").write.parquet(str(folder / "f1"))   # later rows
+        deadline = _time.time() + 60
+        total = first
+        while total != 500 and _time.time() < deadline:
+            q.processAllAvailable()
+            total = windows.read_folder(spark, base, ["event_type"]).agg(F.sum("n")).first()[0]
+        assert first == 200 and total == 500
+    finally:
+        q.stop()
+    stream2 = windows.file_stream(spark, str(folder / "*"), ev.schema)
+    c = windows.start_console(windows.stream_pane_counts(stream2, "ts", ["event_type"]), rows=3, trigger_s=1)
+    try:
+        c.processAllAvailable()
+        assert c.isActive
+    finally:
+        c.stop()
