@@ -194,3 +194,20 @@ def test_processing_time_trigger_and_console(spark, tmp_path):
         assert c.isActive
     finally:
         c.stop()
+
+
+def test_sgd_equals_mllib_sgd(spark):
+    """Moments form vs Spark's own full-batch SGD with the squared-L2 updater
+    (the RDD API appears only here, as the reference implementation)."""
+    import warnings
+
+    from pyspark.mllib.regression import LabeledPoint, LinearRegressionWithSGD
+    li = table(spark, SF_SMALL, "lineitem").select((F.col("l_tax") * 10).alias("x"),
+                                                  F.col("l_quantity").alias("y"))
+    w, _ = regression.sgd_ridge(li, ["x"], "y")
+    points = li.rdd.map(lambda r: LabeledPoint(r.y, [r.x]))
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        model = LinearRegressionWithSGD.train(points, iterations=100, step=1.0, miniBatchFraction=1.0,
+                                              regParam=0.01, regType="l2", intercept=False)
+    assert abs(model.weights[0] - w[0]) < 1e-9 * max(1.0, abs(w[0]))
