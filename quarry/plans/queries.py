@@ -86,8 +86,8 @@ def q01(spark, d):
 SELECT item_id, n FROM (SELECT l_partkey AS item_id, count(*) AS n FROM lineitem GROUP BY l_partkey)
 WHERE n < 30 ORDER BY n DESC, item_id LIMIT 10""")
 def q02(spark, d):
-    _item_counts(spark, d).createOrReplaceTempView("item_counts")
-    return spark.sql("SELECT item_id, n FROM item_counts WHERE n < :cap ORDER BY n DESC, item_id LIMIT 10",
+    _item_counts(spark, d).createOrReplaceTempView("quarry_item_counts")
+    return spark.sql("SELECT item_id, n FROM quarry_item_counts WHERE n < :cap ORDER BY n DESC, item_id LIMIT 10",
                      args={"cap": 30})
 
 
@@ -165,8 +165,8 @@ def q10(spark, d):
 @query("q11_sql_range", """
 SELECT p_partkey, p_name, p_size FROM part WHERE p_size >= 13 AND p_size <= 19 AND p_size <> 19""")
 def q11(spark, d):
-    table(spark, d, "part").createOrReplaceTempView("people")
-    teens = spark.sql("SELECT p_partkey, p_name, p_size FROM people WHERE p_size >= :lo AND p_size <= :hi",
+    table(spark, d, "part").createOrReplaceTempView("quarry_people")
+    teens = spark.sql("SELECT p_partkey, p_name, p_size FROM quarry_people WHERE p_size >= :lo AND p_size <= :hi",
                       args={"lo": 13, "hi": 19})
     return teens.filter("p_size != 19")
 
@@ -183,8 +183,8 @@ def q12(spark, d):
 SELECT l_suppkey AS supp_id, CAST(sum(l_quantity) AS BIGINT) AS sum_qty
 FROM lineitem GROUP BY l_suppkey ORDER BY sum(l_quantity) DESC, supp_id""")
 def q13(spark, d):
-    table(spark, d, "lineitem").createOrReplaceTempView("lines")
-    return spark.sql("SELECT l_suppkey AS supp_id, CAST(SUM(l_quantity) AS BIGINT) AS sum_qty FROM lines "
+    table(spark, d, "lineitem").createOrReplaceTempView("quarry_lines")
+    return spark.sql("SELECT l_suppkey AS supp_id, CAST(SUM(l_quantity) AS BIGINT) AS sum_qty FROM quarry_lines "
                      "GROUP BY l_suppkey ORDER BY SUM(l_quantity) DESC, supp_id")
 
 
