@@ -62,3 +62,25 @@ def within_seconds(a: DataFrame, b: DataFrame, a_ts: str, b_ts: str, delta_s: in
     bb = b.withColumn("_tb", eb).withColumn("_bk", F.floor(F.col("_tb") / width))
     joined = aa.join(bb, "_bk").where(F.abs(F.col("_tb") - F.col("_ta")) <= width)
     return joined.select(*select) if select is not None else joined.drop("_bk", "_ta", "_tb")
+
+
+def substring_matches(haystack: DataFrame, text: str, needles: DataFrame, needle: str,
+                      name: str = "matches") -> DataFrame:
+    """For each needle, how many haystack rows hold it as a substring
+    (``text LIKE '%' || needle || '%'`` for needles without ``%`` / ``_``).
+
+    Each haystack value is expanded to its distinct substrings (L(L+1)/2 for
+    a value of length L: linear in the rows for short keys such as ids) and
+    equi-joined with the needles, so no nested-loop join compares every pair.
+    Needles matching nothing get 0.
+    """
+    t = F.col(text).cast("string")
+    subs = F.array_distinct(F.flatten(F.transform(
+        F.sequence(F.lit(1), F.length(t)),
+        lambda i: F.transform(F.sequence(F.lit(1), F.length(t) - i + 1), lambda n: F.substring(t, i, n)))))
+    exploded = (haystack.where(F.length(t) > 0)
+                .select(F.explode(subs).alias("_sub")))
+    wanted = needles.select(F.col(needle).alias("_needle"), F.col(needle).cast("string").alias("_sub")).distinct()
+    hits = exploded.join(wanted, "_sub").groupBy("_needle").agg(F.count(F.lit(1)).alias(name))
+    return (wanted.join(hits, "_needle", "left")
+            .select(F.col("_needle").alias(needle), F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name)))

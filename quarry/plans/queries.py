@@ -741,13 +741,9 @@ def q49(spark, d):
     ids = _top_items(spark, d).select("item_id")
     part = table(spark, d, "part")
     named = joins.lookup(ids, part, "item_id", "p_partkey", ["p_name"], df_is_bounded=True)
-    legacy = (part.select(F.col("p_partkey").cast("string").alias("pk"))
-              .join(F.broadcast(ids.select(F.col("item_id").alias("qid"))),
-                    F.expr("pk LIKE concat('%', CAST(qid AS STRING), '%')"))
-              .groupBy("qid").agg(F.count(F.lit(1)).alias("like_matches")))
-    return (named.join(F.broadcast(legacy), named.item_id == legacy.qid, "left")
-            .select("item_id", F.col("p_name").alias("name"),
-                    F.coalesce("like_matches", F.lit(0)).cast("bigint").alias("like_matches")))
+    legacy = joins.substring_matches(part, "p_partkey", ids, "item_id", "like_matches")
+    return (named.join(F.broadcast(legacy), "item_id", "left")
+            .select("item_id", F.col("p_name").alias("name"), "like_matches"))
 
 
 @query("q50_numbered_topk", f"""

@@ -36,7 +36,7 @@ def test_top_k_is_take_ordered(spark, key):
 
 
 @pytest.mark.parametrize("key", ["q31_similarity_all", "q33_similarity_string_ids", "q29_time_window_correlate",
-                                 "q34_degree_rank", "q37_sliding_counts", "q42_hash_ids"])
+                                 "q34_degree_rank", "q37_sliding_counts", "q42_hash_ids", "q49_id_lookup"])
 def test_no_nested_loop_or_cartesian(spark, key):
     tree = plan(spark, key).split("\n\n")[0]
     assert "CartesianProduct" not in tree

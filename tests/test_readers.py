@@ -122,3 +122,12 @@ def test_strict_lookup_fails_on_missing_key(spark):
         lookup(facts, dim, "item_id", "id", ["name"], strict=True).collect()
     ok = lookup(facts.where("item_id = 1"), dim, "item_id", "id", ["name"], strict=True).collect()
     assert ok[0].name == "one"
+
+
+def test_substring_matches_equals_like(spark):
+    from quarry.operators.joins import substring_matches
+    hay = spark.createDataFrame([(3124,), (12,), (312,), (7,), (1212,)], "k long")
+    needles = spark.createDataFrame([(12,), (3,), (99,)], "id long")
+    got = {r.id: r.m for r in substring_matches(hay, "k", needles, "id", "m").collect()}
+    want = {n: sum(1 for (h,) in [(3124,), (12,), (312,), (7,), (1212,)] if str(n) in str(h)) for n in (12, 3, 99)}
+    assert got == want == {12: 4, 3: 2, 99: 0}
