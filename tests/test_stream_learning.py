@@ -1,10 +1,7 @@
 """Stream = batch, window semantics, and the learning operators."""
 
 import math
-import os
 
-import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import recommend, regression
