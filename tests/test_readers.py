@@ -131,3 +131,23 @@ def test_substring_matches_equals_like(spark):
     got = {r.id: r.m for r in substring_matches(hay, "k", needles, "id", "m").collect()}
     want = {n: sum(1 for (h,) in [(3124,), (12,), (312,), (7,), (1212,)] if str(n) in str(h)) for n in (12, 3, 99)}
     assert got == want == {12: 4, 3: 2, 99: 0}
+
+
+def test_within_seconds_matches_brute_force(spark):
+    import datetime as dt
+    import random
+
+    from quarry.operators.joins import within_seconds
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    a = [(i, base + dt.timedelta(seconds=rnd.randint(0, 3000), microseconds=rnd.randint(0, 999999)))
+         for i in range(120)]
+    b = [(j, base + dt.timedelta(seconds=rnd.randint(0, 3000))) for j in range(150)]
+    b += [(1000, a[0][1] + dt.timedelta(seconds=60)), (1001, a[0][1] - dt.timedelta(seconds=60)),
+          (1002, a[0][1] + dt.timedelta(seconds=60, microseconds=1))]     # both edges in, just past out
+    A = spark.createDataFrame(a, "a_id long, a_ts timestamp_ntz")
+    B = spark.createDataFrame(b, "b_id long, b_ts timestamp_ntz")
+    got = {(r.a_id, r.b_id) for r in within_seconds(A, B, "a_ts", "b_ts", 60, [F.col("a_id"), F.col("b_id")]).collect()}
+    want = {(i, j) for i, ta in a for j, tb in b if abs((tb - ta).total_seconds()) <= 60}
+    assert got == want
+    assert (0, 1000) in got and (0, 1001) in got and (0, 1002) not in got
