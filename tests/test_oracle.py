@@ -17,7 +17,7 @@ def con():
 
 
 def test_every_key_has_sql_or_is_learning():
-    missing = set(KEYS) - set(SQL)
+    missing = {k for k in KEYS if k.startswith("q")} - set(SQL)
     assert missing == {"q41_als_recommend", "q45_elastic_net"}
 
 
