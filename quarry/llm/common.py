@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import ensure_checkpoint_dir, scratch_path
 
 #: Text bytes handled at once inside a task; bounds the numpy buffers of the operators.
 SLICE_BYTES = 4 << 20
@@ -71,6 +71,14 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Cut the lineage with a table in the shared scratch folder: several times smaller than a
+    checkpoint.  ``quarry.session.clean_scratch`` deletes what a session has stored."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of ``links(a, b)`` (longs) by large-star / small-star rounds.
 
@@ -100,4 +108,4 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-__all__ = ["SLICE_BYTES", "components", "let", "map_arrow", "mix64", "pinned", "read_table", "slices", "utf8"]
+__all__ = ["SLICE_BYTES", "components", "let", "map_arrow", "mix64", "pinned", "read_table", "slices", "stored", "utf8"]

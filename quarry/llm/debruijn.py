@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.anchors import merged, pieces
-from quarry.llm.common import mix64, slices, utf8
+from quarry.llm.common import mix64, slices, stored, utf8
 
 #: Words of an anchor.
 GRAM = 5
@@ -129,7 +129,7 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     """``(id, spans array<struct<start, end>>)`` in words, for documents ``(id, text)`` with any."""
     counts = _anchors(docs, window).groupBy("anchor").agg(F.count("*").alias("n"))
     often = counts.where(F.col("n") > 1).select("anchor")
-    found = _pieces(docs, window).join(often, "anchor")
+    found = stored(_pieces(docs, window).join(often, "anchor"), "pieces")
     source = found.groupBy("anchor", "k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("first"))
     # occurrences of a piece that are not its source
     again = source.where(F.col("n") > 1).select("anchor", "k1", "k2", "first")
@@ -140,7 +140,7 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     branch = source.groupBy("anchor").agg(F.count("*").alias("pieces")).where(F.col("pieces") > 1).select("anchor")
     sources = source.join(branch, "anchor").select(F.col("first")["id"].alias("_id"), F.col("first")["at"].alias("at"))
     asked = sources.groupBy("_id").agg(F.collect_list("at").alias("at"))
-    edges = _edges(docs.join(asked, F.col("id") == F.col("_id")).select("id", "text", "at"), window)
+    edges = stored(_edges(docs.join(asked, F.col("id") == F.col("_id")).select("id", "text", "at"), window), "edges")
     first = edges.groupBy("e1", "e2").agg(F.count("*").alias("n"), F.min(F.struct("id", "start")).alias("first")).where(F.col("n") > 1)
     later = edges.join(first.select("e1", "e2", "first"), ["e1", "e2"]).where(
         ~((F.col("id") == F.col("first")["id"]) & (F.col("start") == F.col("first")["start"])))

@@ -33,12 +33,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import mix64
+from quarry.llm.common import mix64, slices
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _CUT = re.compile(r" *[^ \n]+| +|\n")
 _MASK = (1 << 64) - 1
+_SLOTS = (1 << 20) - 1
+_NEVER = np.int64(1 << 60)
+_K1, _K2 = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
+
+
+def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    h = (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (right.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    return ((h ^ (h >> np.uint64(29))) >> np.uint64(12)).astype(np.int64) & _SLOTS
 
 
 def read_vocabulary(path: str) -> list[tuple[str, float, str]]:
@@ -67,6 +75,25 @@ class Codec:
         self.seed, self.variants, self.limit = seed, variants, cache
         self.cut_off = int(dropout * 2**32)
         self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        # symbol of every code point (negative: bytes), and an open-addressing table of the pairs
+        self.symbol = np.full(0x110000, -1, np.int64)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.symbol[ord(p)] = i
+        self.symbol[ord(" ")], self.symbol[ord(MARK)] = self.ids.get(MARK, -1), -1
+        scores = {x: k for k, x in enumerate(sorted({r for r, _ in self.rank.values()}))}
+        pairs = [(self.ids[p[:k]], self.ids[p[k:]], scores[self.rank[p][0]], i) for p, i in self.ids.items()
+                 for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids]
+        left, right, rank, into = (np.array(x, np.int64) for x in zip(*pairs))
+        self.pair_key, self.pair_rank, self.pair_id = np.full(_SLOTS + 1, -1, np.int64), np.zeros(_SLOTS + 1, np.int64), np.zeros(_SLOTS + 1, np.int64)
+        key, slot, probe, rows = (left << 32) | right, _slot(left, right), 0, np.arange(len(left))
+        while len(rows):  # of the pairs that want a free slot the first gets it, the others probe on
+            s = (slot[rows] + probe) & _SLOTS
+            free = np.flatnonzero(self.pair_key[s] < 0)
+            won = free[np.unique(s[free], return_index=True)[1]]
+            self.pair_key[s[won]], self.pair_rank[s[won]], self.pair_id[s[won]] = key[rows[won]], rank[rows[won]], into[rows[won]]
+            rows, probe = np.delete(rows, won), probe + 1
+        self.probes = probe
 
     def merged(self, cut: str, variant: int) -> list[int]:
         """Ids of one cut (spaces as spaces)."""
@@ -86,8 +113,8 @@ class Codec:
             if j >= n or after[i] != j or symbols[i] is None or symbols[j] is None or symbols[i] + symbols[j] != piece:
                 continue
             if cut_off:
-                h = (key ^ (number * 0xD6E8FEB86659FD93) ^ ((i + 1) * 0xA0761D6478BD642F)) & _MASK
-                h = ((h ^ (h >> 32)) * 0xD6E8FEB86659FD93) & _MASK
+                h = (key ^ (number * _K1) ^ ((i + 1) * _K2)) & _MASK
+                h = ((h ^ (h >> 32)) * _K1) & _MASK
                 if ((h ^ (h >> 29)) >> 16) & 0xFFFFFFFF < cut_off:
                     continue
             symbols[i], symbols[j] = piece, None
@@ -113,23 +140,94 @@ class Codec:
             i = after[i]
         return out
 
-    def _miss(self, cut: str, variant: int) -> bytes:
-        ids = np.array(self.merged(cut, variant), np.int32).tobytes()
-        known = self.known[variant]
-        if len(known) >= self.limit:
-            known.clear()
-        known[cut] = ids
-        return ids
+    def _pairs(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, merged id) of symbol pairs; pairs that are no piece, or are skipped, have rank ``_NEVER``."""
+        slot = _slot(left, right)
+        want = np.where((left >= 0) & (right >= 0), (left.astype(np.int64) << 32) | right, -2)  # -1 is a free slot
+        at = np.full(left.shape, -1, np.int64)
+        for probe in range(self.probes):
+            s = (slot + probe) & _SLOTS
+            at = np.where(self.pair_key[s] == want, s, at)
+        merged_id = self.pair_id[at]
+        rank = np.where(at >= 0, self.pair_rank[at], _NEVER)
+        if self.cut_off:
+            h = key ^ (merged_id.astype(np.uint64) * np.uint64(_K1)) ^ ((place + 1).astype(np.uint64) * np.uint64(_K2))
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(_K1)
+            skipped = ((h ^ (h >> np.uint64(29))) >> np.uint64(16)) & np.uint64(0xFFFFFFFF) < np.uint64(self.cut_off)
+            rank = np.where(skipped, _NEVER, rank)
+        return rank, merged_id
+
+    def merged_many(self, cuts: list[tuple[str, int]]) -> list[bytes]:
+        """Ids (int32 bytes) of many (cut, variant): the agendas of all cuts advance together, one
+        merge each per step; gives exactly what ``merged`` gives one by one."""
+        out: list[bytes] = [b""] * len(cuts)
+        size = np.array([len(c) for c, _ in cuts], np.int64)
+        codes = np.frombuffer("".join([c for c, _ in cuts]).encode("utf-32-le"), np.uint32)
+        symbols = self.symbol[codes]
+        start = np.cumsum(size) - size
+        odd = np.zeros(len(cuts), bool)
+        odd[np.repeat(np.arange(len(cuts)), size)[symbols < 0]] = True
+        odd |= size > 64
+        for i in np.flatnonzero(odd):
+            out[i] = np.array(self.merged(*cuts[i]), np.int32).tobytes()
+        variant = np.array([v for _, v in cuts], np.uint64)
+        keys = np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MASK) + variant * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9)
+        for low, high in ((0, 4), (4, 8), (8, 12), (12, 20), (20, 64)):
+            row = np.flatnonzero(~odd & (size > low) & (size <= high))
+            if not len(row):
+                continue
+            width = int(size[row].max())
+            column = np.arange(width)
+            inside = column < size[row][:, None]
+            a = np.where(inside, symbols[np.minimum(start[row][:, None] + column, len(symbols) - 1)], -1)
+            place = np.broadcast_to(column, a.shape)
+            key = keys[row]
+            rank, into = self._pairs(a[:, :-1], a[:, 1:], place[:, :-1], key[:, None]) if width > 1 else (np.zeros((len(row), 0), np.int64),) * 2
+            while True:
+                best = rank.argmin(1) if rank.shape[1] else np.zeros(len(row), np.int64)
+                every = np.arange(len(row))
+                going = rank[every, best] < _NEVER if rank.shape[1] else np.zeros(len(row), bool)
+                done = np.flatnonzero(~going)
+                if len(done):
+                    left, count = a[done].astype(np.int32), (a[done] >= 0).sum(1).tolist()
+                    for i, r, n in zip(row[done].tolist(), left, count):
+                        out[i] = r[:n].tobytes()
+                    if len(done) == len(row):
+                        break
+                    row, key, best, a, place, rank, into = (x[going] for x in (row, key, best, a, place, rank, into))
+                    every = np.arange(len(row))
+                a[every, best] = into[every, best]
+                here, cols = best[:, None], np.arange(a.shape[1] - 1)[None, :]
+                shift = cols + (cols > here)
+                a, place = np.take_along_axis(a, shift, 1), np.take_along_axis(place, shift, 1)
+                cols = np.arange(rank.shape[1] - 1)[None, :]
+                shift = cols + (cols >= here)
+                rank, into = np.take_along_axis(rank, shift, 1), np.take_along_axis(into, shift, 1)
+                for k in (best - 1, best):  # the pairs beside the new piece
+                    ok = np.flatnonzero((k >= 0) & (k < rank.shape[1]))
+                    if len(ok):
+                        c = k[ok]
+                        rank[ok, c], into[ok, c] = self._pairs(a[ok, c], a[ok, c + 1], place[ok, c], key[ok])
+        return out
+
+    def encode_many(self, texts: list[str], keys: list[object]) -> list[np.ndarray]:
+        """Ids of the texts; a text's key (the row id) picks its variants."""
+        if any(len(k) > self.limit for k in self.known):
+            self.known = [{} for _ in range(self.variants)]
+        plans, missing = [], {}
+        for text, key in zip(texts, keys):
+            cuts = (_CUT.findall(" " + text) if self.splits else [" " + text]) if text else []
+            own = xxhash.xxh64_intdigest(repr(key).encode(), self.seed & _MASK)
+            chosen = (mix64(np.arange(len(cuts), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(own)) % np.uint64(self.variants)).tolist()
+            plans.append((cuts, chosen))
+            missing.update([((c, v), None) for c, v in zip(cuts, chosen) if c not in self.known[v]])
+        todo = list(missing)
+        for (cut, variant), ids in zip(todo, self.merged_many(todo) if todo else ()):
+            self.known[variant][cut] = ids
+        return [np.frombuffer(b"".join([self.known[v][c] for c, v in zip(cuts, chosen)]), np.int32) for cuts, chosen in plans]
 
     def encode(self, text: str, key: object = None) -> np.ndarray:
-        """Ids of a text; ``key`` (the row id) picks the variants."""
-        if not text:
-            return np.zeros(0, np.int32)
-        cuts = _CUT.findall(" " + text) if self.splits else [" " + text]
-        own = xxhash.xxh64_intdigest(repr(key).encode(), self.seed & _MASK)
-        chosen = (mix64(np.arange(len(cuts), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(own)) % np.uint64(self.variants)).tolist()
-        get, miss = [k.get for k in self.known], self._miss
-        return np.frombuffer(b"".join([get[v](c) or miss(c, v) for c, v in zip(cuts, chosen)]), np.int32)
+        return self.encode_many([text], [key])[0]
 
     def decode(self, ids: Iterable[int] | np.ndarray) -> bytes:
         """The UTF-8 bytes that ids stand for."""
@@ -153,10 +251,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     def run(batches):
         codec = Codec(held.value, dropout, seed, variants)
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at, end in slices([len(t) if t else 0 for t in whole.column("_text").to_pylist()], 1 << 20):
+                batch = whole.slice(at, end - at)
                 texts = batch.column("_text").to_pylist()
-                ids = [codec.encode(t or "", k) for k, t in zip(batch.column("_id").to_pylist(), texts)]
+                ids = codec.encode_many([t or "" for t in texts], batch.column("_id").to_pylist())
                 raw = [(t or "").encode() for t in texts]
                 n = np.array([len(i) for i in ids], np.int64)
                 lists = pa.ListArray.from_arrays(

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import pinned
 from quarry.llm.url_rules import host_of
 
 _TOKEN = re.compile(
@@ -216,12 +217,12 @@ def parse(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     return cut.mapInArrow(run, f"id {kind}, url string, host string, blocks array<string>, under array<array<bigint>>, sig bigint")
 
 
-def recurring(parsed: DataFrame, min_pages: int = 10, min_share: float = 0.02) -> DataFrame:
-    """``(host, subtree)`` that recur on many distinct pages of their host."""
-    pages = parsed.groupBy("host", "sig").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("pages"))
-    counted = parsed.where(F.size(F.flatten("under")) > 0).select("host", "sig", F.explode(F.array_distinct(F.flatten("under"))).alias("subtree"))
-    counted = counted.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    return counted.join(pages, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "subtree")
+def recurring(seen: DataFrame, min_pages: int = 10, min_share: float = 0.02) -> DataFrame:
+    """``(host, subtree)`` that recur on many distinct pages of their host, from ``(host, sig, subtrees)`` rows."""
+    distinct = seen.groupBy("host", "sig").agg(F.first("subtrees").alias("subtrees"))
+    pages = distinct.groupBy("host").agg(F.count("*").alias("pages"))
+    counted = distinct.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    return counted.where(F.col("n") >= min_pages).join(pages, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "subtree")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 10,
@@ -232,8 +233,9 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     whole = parsed.where(~tagged).select("id", "url", F.array_join("blocks", "\n").alias("text"), F.lit(0).cast("long").alias("n_removed_blocks"))
     # only pages with a container around some of their text need their host's counts
     open_ = parsed.where(tagged)
-    seen = open_.select("host", "sig", F.explode(F.array_distinct(F.flatten("under"))).alias("subtree")).distinct()
-    bad = seen.join(recurring(parsed, min_pages, min_share), ["host", "subtree"]).groupBy("host", "sig").agg(F.collect_set("subtree").alias("bad"))
+    seen = pinned(parsed.select("host", "sig", F.array_distinct(F.flatten("under")).alias("subtrees")))
+    own = seen.select("host", "sig", F.explode("subtrees").alias("subtree")).distinct()
+    bad = own.join(recurring(seen, min_pages, min_share), ["host", "subtree"]).groupBy("host", "sig").agg(F.collect_set("subtree").alias("bad"))
     joined = open_.join(bad, ["host", "sig"], "left").withColumn("bad", F.coalesce("bad", F.array().cast("array<bigint>")))
     kept = F.filter(F.arrays_zip("blocks", "under"), lambda x: ~F.arrays_overlap(x["under"], F.col("bad")))
     cleaned = joined.withColumn("kept", kept).select(

@@ -35,7 +35,6 @@ table gives no rows; only id and text are read.
 from __future__ import annotations
 
 import hashlib
-from functools import cmp_to_key
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.anchors import merged, pieces
-from quarry.llm.common import mix64, pinned, slices, utf8
+from quarry.llm.common import mix64, pinned, slices, stored, utf8
 
 #: Bytes of an anchor.
 GRAM = 16
@@ -101,25 +100,27 @@ def _pieces(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _contexts(asked: DataFrame, length: int) -> DataFrame:
-    """``(id, at, anchor, right, left)`` of the anchors asked for; ``left`` is reversed."""
+    """``(id, at, anchor, single, right, left)`` of the pieces asked for: the bytes of the piece's
+    windows from the anchor on, and, reversed, those before it."""
     def run(batches):
         for whole in batches:
             for k in range(0, whole.num_rows, 128):
                 batch = whole.slice(k, 128)
-                rows, ats, anchors, rights, lefts = [], [], [], [], []
+                rows, ats, anchors, singles, rights, lefts = [], [], [], [], [], []
                 for row, (raw, wanted) in enumerate(zip(utf8(batch.column("text")), batch.column("wanted").to_pylist())):
                     for w in wanted:
                         at = w["at"]
                         rows.append(row)
                         ats.append(at)
                         anchors.append(w["anchor"])
-                        rights.append(raw[at:at + length])
-                        lefts.append(raw[max(0, at - length + GRAM):at][::-1])
+                        singles.append(w["single"])
+                        rights.append(raw[at:w["start"] + w["windows"] + length - 1])
+                        lefts.append(raw[w["start"]:at][::-1])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(pa.array(rows, pa.int64())), pa.array(ats, pa.int64()), pa.array(anchors, pa.int64()),
-                     pa.array(rights, pa.binary()), pa.array(lefts, pa.binary())], names=["id", "at", "anchor", "right", "left"])
+                     pa.array(singles, pa.bool_()), pa.array(rights, pa.binary()), pa.array(lefts, pa.binary())], names=["id", "at", "anchor", "single", "right", "left"])
 
-    return asked.mapInArrow(run, f"id {asked.schema['id'].dataType.simpleString()}, at bigint, anchor bigint, right binary, left binary")
+    return asked.mapInArrow(run, f"id {asked.schema['id'].dataType.simpleString()}, at bigint, anchor bigint, single boolean, right binary, left binary")
 
 
 class HashedStrings:
@@ -134,7 +135,9 @@ class HashedStrings:
         # the value of a byte is a fixed random odd number; powers of an odd base can be inverted modulo 2^64
         value = mix64(np.arange(1, 257, dtype=np.uint64) * _C2) | np.uint64(1)
         longest = int(self.size.max(initial=0))
-        self.power = np.cumprod(np.concatenate([[1], np.full(longest, _C1, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+        steps = np.full(longest + 1, _C1, np.uint64)
+        steps[0] = 1
+        self.power = np.cumprod(steps, dtype=np.uint64)
         place = np.arange(n) - np.repeat(self.start, self.size)
         self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value[self.data] * self.power[place], dtype=np.uint64)])
 
@@ -160,21 +163,24 @@ class HashedStrings:
         return np.where(end_i, ~end_j, ~end_j & (x < y)), end_i & end_j
 
 
-def merge_sort(first: HashedStrings, second: HashedStrings) -> np.ndarray:
-    """Order by ``first``, then ``second``: bottom-up mergesort, all merges of a level at once.
+def merge_sort(group: np.ndarray, first: HashedStrings, second: HashedStrings) -> np.ndarray:
+    """Order by ``group`` (integers), then ``first``, then ``second``: bottom-up mergesort, all
+    merges of a level at once; strings are only compared within a group.
 
     The place of a row in a merged pair of runs is its place in its own run plus the number
     of rows of the other run before it, found by binary search."""
     n = len(first.strings)
-    order = np.arange(n)
+    order = np.argsort(group, kind="stable")
 
     def before(x: np.ndarray, y: np.ndarray, ties: np.ndarray) -> np.ndarray:
         """Whether row y sorts before row x; ``ties``: also when equal."""
-        less, equal = first.less(y, x)
-        at = np.flatnonzero(equal)
-        if len(at):
-            less2, equal2 = second.less(y[at], x[at])
-            less[at] = less2 | (equal2 & ties[at])
+        less = group[y] < group[x]
+        for strings in (first, second):
+            at = np.flatnonzero(group[y] == group[x]) if strings is first else at[equal]
+            if not len(at):
+                return less
+            less[at], equal = strings.less(y[at], x[at])
+        less[at[equal]] = ties[at[equal]]
         return less
 
     width = 1
@@ -193,17 +199,13 @@ def merge_sort(first: HashedStrings, second: HashedStrings) -> np.ndarray:
             ahead = before(order[open_], order[mid], ~is_left[open_])
             low[open_] = np.where(ahead, mid + 1, low[open_])
             high[open_] = np.where(ahead, high[open_], mid)
-        out = np.empty_like(order)
+        out = np.zeros_like(order)
         own = place - np.where(is_left, block, block + width)
         out[block + own + (low - other)] = order
         order, width = out, 2 * width
     return order
 
 
-def _plain_order(rows: list[tuple]) -> np.ndarray:
-    return np.array(sorted(range(len(rows)), key=cmp_to_key(lambda i, j: (rows[i] > rows[j]) - (rows[i] < rows[j]))), np.int64)
-
-
 def _common(a: bytes, b: bytes) -> int:
     """Length of the common prefix, on the bytes themselves."""
     n = min(len(a), len(b))
@@ -237,14 +239,11 @@ def _neighbours(contexts: DataFrame, side: str) -> DataFrame:
         table = pa.Table.from_batches(batches).combine_chunks()
         table = table.take(pa.array(_distinct(table))).combine_chunks()
         anchor = table.column("anchor").to_numpy()
-        head = [int(a).to_bytes(8, "big", signed=True) for a in anchor]
         own, rest = table.column(side).to_pylist(), table.column(other).to_pylist()
-        # anchors are range-partitioned as signed numbers; flipping the sign bit makes bytes sort alike
-        keyed = [bytes([h[0] ^ 128]) + h[1:] + s for h, s in zip(head, own)]
-        order = merge_sort(HashedStrings(keyed), HashedStrings(rest))
-        rows = list(zip(keyed, rest))
-        if any(rows[a] > rows[b] for a, b in zip(order[:-1].tolist(), order[1:].tolist())):
-            order = _plain_order(rows)
+        order = merge_sort(anchor, HashedStrings(own), HashedStrings(rest))
+        rows = list(zip(anchor.tolist(), own, rest))
+        if (np.bincount(order, minlength=len(rows)) != 1).any() or any(rows[a] > rows[b] for a, b in zip(order[:-1].tolist(), order[1:].tolist())):
+            order = np.array(sorted(range(len(rows)), key=rows.__getitem__), np.int64)
         i, j = order[:-1], order[1:]
         pair = np.flatnonzero(anchor[i] == anchor[j])
         i, j = i[pair].tolist(), j[pair].tolist()
@@ -288,6 +287,7 @@ def _branch_spans(contexts: DataFrame, length: int) -> DataFrame:
     hits = F.collect_list(F.when(F.col("l") + F.col("r") >= length, F.struct("l", "r")))
     reach = pinned(pairs.groupBy("id", "at", "anchor").agg(F.max("l").alias("l"), F.max("r").alias("r"), hits.alias("hits")).where(
         F.col("l") + F.col("r") >= length))
+    single = contexts.where("single").select(F.col("id").alias("_id"), F.col("at").alias("_at")).distinct()
     # bytes -l..r are settled when the windows of the pairs follow one another without a gap
     inside = F.aggregate(
         F.array_sort(F.transform("hits", lambda h: F.struct((-h["l"]).alias("a"), h["r"].alias("b")))),
@@ -295,9 +295,11 @@ def _branch_spans(contexts: DataFrame, length: int) -> DataFrame:
         lambda acc, h: F.struct(F.greatest(acc["to"], h["b"]).alias("to"), (acc["ok"] & (h["a"] + (length - 1) <= acc["to"])).alias("ok")),
         lambda acc: acc["ok"] & (acc["to"] >= F.col("r")))
     judged = reach.withColumn("settled", F.coalesce(inside, F.lit(False)))
-    spans = judged.select("id", "at", F.explode("hits").alias("h")).select(
+    spans = reach.select("id", "at", F.explode("hits").alias("h")).select(
         "id", (F.col("at") - F.col("h")["l"]).alias("start"), (F.col("at") + F.col("h")["r"]).alias("end"))
-    open_ = judged.where(~F.col("settled")).select("anchor").distinct()
+    # a piece that occurs twice is repeated as a whole and needs no settling
+    open_ = judged.where(~F.col("settled")).join(single, (F.col("id") == F.col("_id")) & (F.col("at") == F.col("_at")), "left_semi")
+    open_ = open_.select("anchor").distinct()
     wanted = reach.select("id", "at", "anchor", "l", "r").join(open_, "anchor")
     source = contexts.select(F.col("id").alias("_id"), F.col("at").alias("_at"), "right", "left")
     windows = wanted.join(source, (F.col("id") == F.col("_id")) & (F.col("at") == F.col("_at"))).select("id", "at", "l", "r", "right", "left")
@@ -327,15 +329,15 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """``(id, spans array<struct<start, end>>)`` in bytes, for documents ``(id, text)`` with any."""
     counts = _anchors(docs, length).groupBy("anchor").agg(F.count("*").alias("n"))
     often = counts.where(F.col("n") > 1).select("anchor")
-    found = pinned(_pieces(docs, length).join(often, "anchor"))
-    place = F.struct("id", "at")
+    found = stored(_pieces(docs, length).join(often, "anchor"), "pieces")
+    place = F.struct("id", "at", "start", "windows")
     source = found.groupBy("anchor", "k1", "k2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     twice = source.where("first <> last").select("anchor", "k1", "k2")
     copied = found.join(twice, ["anchor", "k1", "k2"]).select("id", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
     branch = source.groupBy("anchor").agg(F.count("*").alias("pieces")).where(F.col("pieces") > 1).select("anchor")
-    wanted = source.join(branch, "anchor").select(F.col("first")["id"].alias("_id"), F.struct(F.col("first")["at"].alias("at"), "anchor").alias("w"))
+    wanted = source.join(branch, "anchor").select(F.col("first")["id"].alias("_id"), F.struct("first.at", "first.start", "first.windows", "anchor", F.expr("first = last").alias("single")).alias("w"))
     asked = docs.join(wanted.groupBy("_id").agg(F.collect_list("w").alias("wanted")), F.col("id") == F.col("_id")).select("id", "text", "wanted")
-    contexts = pinned(_contexts(asked, length))
+    contexts = stored(_contexts(asked, length), "contexts")
     spans = copied.unionByName(_branch_spans(contexts, length))
     return spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
