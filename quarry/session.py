@@ -61,15 +61,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+#: Folders handed out by ``scratch_path`` and not deleted yet.
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder name under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quarry-{label}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(f"{base}/quarry-{label}-{uuid.uuid4().hex[:12]}")
+    return _scratch[-1]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system its path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain Python can look at a local path (tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this process; call it when the results that read them are
+    no longer needed.  Returns their number."""
+    n = len(_scratch)
+    while _scratch:
+        delete_path(spark, _scratch.pop())
+    return n
 
 
 def default_parallelism(spark: SparkSession) -> int:
