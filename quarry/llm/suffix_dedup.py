@@ -48,6 +48,8 @@ from quarry.llm.common import mix64, pinned, slices, stored, utf8
 
 #: Bytes of an anchor.
 GRAM = 16
+#: Contexts sorted by one task; each has at most twice ``length`` bytes, each byte a hash of eight.
+ROWS_PER_TASK = 8192
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -230,7 +232,8 @@ def _neighbours(contexts: DataFrame, side: str) -> DataFrame:
 
     The last columns (``edge``, ``right``, ``left``) are set on copies of the first and last row of a partition."""
     other = "left" if side == "right" else "right"
-    dealt = contexts.repartitionByRange("anchor", side, other, "id", "at")
+    tasks = max(contexts.count() // ROWS_PER_TASK + 1, int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = contexts.repartitionByRange(tasks, "anchor", side, other, "id", "at")
 
     def run(batches):
         batches = [b for b in batches if b.num_rows]
@@ -328,7 +331,7 @@ def _branch_spans(contexts: DataFrame, length: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """``(id, spans array<struct<start, end>>)`` in bytes, for documents ``(id, text)`` with any."""
     counts = _anchors(docs, length).groupBy("anchor").agg(F.count("*").alias("n"))
-    often = counts.where(F.col("n") > 1).select("anchor")
+    often = stored(counts.where(F.col("n") > 1).select("anchor"), "anchors")  # apart, so that Spark can split a hot anchor's join
     found = stored(_pieces(docs, length).join(often, "anchor"), "pieces")
     place = F.struct("id", "at", "start", "windows")
     source = found.groupBy("anchor", "k1", "k2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
