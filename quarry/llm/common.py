@@ -68,7 +68,15 @@ def pinned(df: DataFrame) -> DataFrame:
     Spark deletes it once nothing refers to it when
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    _release(df.sparkSession)
+    return out
+
+
+def _release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished jobs now: it acts when the
+    driver's JVM collects garbage, by default every half hour."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -76,6 +84,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     checkpoint.  ``quarry.session.clean_scratch`` deletes what a session has stored."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    _release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

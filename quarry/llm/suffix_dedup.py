@@ -337,7 +337,8 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     source = found.groupBy("anchor", "k1", "k2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     twice = source.where("first <> last").select("anchor", "k1", "k2")
     copied = found.join(twice, ["anchor", "k1", "k2"]).select("id", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
-    branch = source.groupBy("anchor").agg(F.count("*").alias("pieces")).where(F.col("pieces") > 1).select("anchor")
+    # anchors with several pieces, one at least of which occurs once (the others are settled)
+    branch = source.groupBy("anchor").agg(F.count("*").alias("pieces"), F.max(F.expr("first = last")).alias("any")).where("pieces > 1 AND any").select("anchor")
     wanted = source.join(branch, "anchor").select(F.col("first")["id"].alias("_id"), F.struct("first.at", "first.start", "first.windows", "anchor", F.expr("first = last").alias("single")).alias("w"))
     asked = docs.join(wanted.groupBy("_id").agg(F.collect_list("w").alias("wanted")), F.col("id") == F.col("_id")).select("id", "text", "wanted")
     contexts = stored(_contexts(asked, length), "contexts")
