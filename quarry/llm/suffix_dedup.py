@@ -321,7 +321,7 @@ def _branch_spans(contexts: DataFrame, length: int) -> DataFrame:
                 [pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), batch.column("id").take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64())],
                 names=["k1", "k2", "id", "start"])
 
-    each = windows.mapInArrow(digests, f"k1 bigint, k2 bigint, id {contexts.schema['id'].dataType.simpleString()}, start bigint")
+    each = stored(windows.mapInArrow(digests, f"k1 bigint, k2 bigint, id {contexts.schema['id'].dataType.simpleString()}, start bigint"), "windows")
     place = F.struct("id", "start")
     twice = each.groupBy("k1", "k2").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("k1", "k2")
     rest = each.join(twice, ["k1", "k2"]).select("id", "start", (F.col("start") + length).alias("end"))
@@ -342,7 +342,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     wanted = source.join(branch, "anchor").select(F.col("first")["id"].alias("_id"), F.struct("first.at", "first.start", "first.windows", "anchor", F.expr("first = last").alias("single")).alias("w"))
     asked = docs.join(wanted.groupBy("_id").agg(F.collect_list("w").alias("wanted")), F.col("id") == F.col("_id")).select("id", "text", "wanted")
     contexts = stored(_contexts(asked, length), "contexts")
-    spans = copied.unionByName(_branch_spans(contexts, length))
+    spans = copied.unionByName(stored(_branch_spans(contexts, length), "spans"))
     return spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
