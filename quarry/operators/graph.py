@@ -20,11 +20,12 @@ merge could lose a doubly-reached vertex, which is not reproduced).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import default_parallelism, ensure_checkpoint_dir
+from quarry.session import ensure_checkpoint_dir
 
 
 @dataclass
@@ -38,14 +39,14 @@ class BfsResult:
 EDGES_PER_PARTITION = 2_000_000
 
 
-def bfs(edges: DataFrame, start, max_rounds: int = 10, target=None,
+def bfs(edges: DataFrame, start, max_rounds: int | None = None, target=None,
         stop_at_target: bool = True, partitions: int | None = None) -> BfsResult:
-    """Breadth-first distances from ``start`` over directed edges, at most
-    ``max_rounds`` rounds.  With ``target``, also the first round that expands an
+    """Breadth-first distances from ``start`` over directed edges, until no new
+    vertex is reached or, if given, for at most ``max_rounds`` rounds.  With ``target``, also the first round that expands an
     edge into it and how many such edges (duplicates count) that round had.
 
     The loop's partition count is ``partitions`` or one per
-    ``EDGES_PER_PARTITION`` edges (capped by ``spark.sql.shuffle.partitions``),
+    ``EDGES_PER_PARTITION`` edges,
     and the loop's shuffles use it, so a small graph does not pay for hundreds
     of near-empty tasks and checkpoint files per round."""
     spark = edges.sparkSession
@@ -55,7 +56,7 @@ def bfs(edges: DataFrame, start, max_rounds: int = 10, target=None,
     stats = (raw.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
              .agg(F.sum("deg").alias("n"), F.max("deg").alias("top")).first())
     n_edges, top = int(stats["n"] or 0), int(stats["top"] or 0)
-    p = partitions or max(1, min(default_parallelism(spark), -(-n_edges // EDGES_PER_PARTITION)))
+    p = partitions or max(1, -(-n_edges // EDGES_PER_PARTITION))
     # a hub vertex's edges are spread over `salt` partitions, so that no task
     # expands more than about one partition's share of the edges
     salt = max(1, min(p, -(-top * p // max(n_edges, 1))))
@@ -82,7 +83,7 @@ def _bfs_rounds(spark, raw: DataFrame, p: int, salt: int, start, max_rounds: int
     visited = frontier
     result = BfsResult(distances=visited, rounds=0)
     tgt = F.lit(target).cast("bigint") if target is not None else None
-    for r in range(1, max_rounds + 1):
+    for r in count(1) if max_rounds is None else range(1, max_rounds + 1):
         # multiplicity of each reached vertex = edges expanded into it this round
         salted = frontier.withColumn("_fs", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         reached = (salted.join(e, (salted.vertex == e.src) & (salted._fs == e._s))
@@ -118,11 +119,6 @@ def target_report(spark, result: BfsResult, target) -> DataFrame:
     return spark.createDataFrame(rows, "target bigint, hit_round int, hits bigint")
 
 
-def degrees_from_edges(edges: DataFrame) -> DataFrame:
-    """M5 degree: listed neighbours per vertex (sum of ``tokens - 1`` over its lines)."""
-    return edges.groupBy(F.col("src").alias("vertex")).agg(F.count(F.lit(1)).alias("degree"))
-
-
 def adjacency_lines(edges: DataFrame, order_key: list[str], max_neighbours: int = 1000) -> DataFrame:
     """Edge table -> adjacency text lines ``"src n1 n2 ..."``.
 

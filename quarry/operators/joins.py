@@ -21,15 +21,19 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, cols: Sequence
            df_is_bounded: bool = False, strict: bool = False) -> DataFrame:
     """Add dimension columns to ``df`` by key (a left lookup).
 
-    ``df_is_bounded=True`` (``df`` is a top-k or similar) broadcasts ``df`` and
-    streams the dimension past it: one scan of the dimension, no shuffle.
+    ``df_is_bounded=True`` (``df`` is a top-k or similar): the keys of ``df`` are
+    broadcast and the dimension is streamed past them (a left-semi join: one scan,
+    no shuffle); the few rows that stay are then broadcast to ``df``.  The
+    dimension key must be unique, so that they are at most as many as ``df`` has.
     Otherwise it is a plain left join and AQE picks the strategy from sizes.
     ``strict=True`` fails the query when a key has no dimension row, like the
     reference's map lookup.
     """
     d = dim.select(F.col(dim_key).alias("_dk"), *cols)
     if df_is_bounded:
-        out = d.join(F.broadcast(df), F.col("_dk") == df[key], "right")
+        wanted = F.broadcast(df.select(F.col(key).alias("_wk")))
+        found = d.join(wanted, F.col("_dk") == F.col("_wk"), "left_semi")
+        out = df.join(F.broadcast(found), df[key] == F.col("_dk"), "left")
     else:
         out = df.join(d, df[key] == F.col("_dk"), "left")
     if strict:

@@ -31,11 +31,17 @@ def sum_by(df: DataFrame, keys, value: str | Column, name: str = "total") -> Dat
 
 
 def sum_all_numeric(df: DataFrame, key: str, prefix: str = "sum_") -> DataFrame:
-    """A3: ``groupBy(key).sum()`` over every integral column, key included,
-    with named (``sum_<col>``) bigint outputs."""
+    """A3: ``groupBy(key).sum()`` over every numeric column, key included, with named
+    (``sum_<col>``) outputs: bigint for integers, double for float and double,
+    decimal for decimal."""
     integral = {"tinyint", "smallint", "int", "bigint"}
-    cols = [c for c, t in df.dtypes if t in integral]
-    return df.groupBy(key).agg(*[F.sum(c).cast("bigint").alias(prefix + c) for c in cols])
+    sums = []
+    for c, t in df.dtypes:
+        if t in integral:
+            sums.append(F.sum(c).cast("bigint").alias(prefix + c))
+        elif t in ("float", "double") or t.startswith("decimal"):
+            sums.append(F.sum(c).alias(prefix + c))
+    return df.groupBy(key).agg(*sums)
 
 
 def extremes_by(df: DataFrame, keys, value: str | Column,

@@ -140,11 +140,13 @@ def q06(spark, d):
 
 
 @query("q07_sum_all_numeric", """
-SELECT p_size, CAST(sum(p_partkey) AS BIGINT) AS sum_p_partkey, CAST(sum(p_size) AS BIGINT) AS sum_p_size
+SELECT p_size, CAST(sum(p_partkey) AS BIGINT) AS sum_p_partkey, CAST(sum(p_size) AS BIGINT) AS sum_p_size,
+       round(sum(p_retailprice), 2) AS sum_p_retailprice
 FROM part GROUP BY p_size""")
 def q07(spark, d):
     part = table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice")
-    return relational.sum_all_numeric(part, "p_size")
+    return (relational.sum_all_numeric(part, "p_size")
+            .withColumn("sum_p_retailprice", F.round("sum_p_retailprice", 2)))
 
 
 @query("q08_group_count", "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment")
@@ -470,12 +472,16 @@ BFS_SQL = f"""WITH RECURSIVE e AS {CHAIN_EDGES_SQL},
 bfs(vertex, d) AS (
   SELECT (SELECT * FROM {START_SQL}), 0
   UNION
-  SELECT e.dst, bfs.d + 1 FROM bfs JOIN e ON e.src = bfs.vertex WHERE bfs.d < 10),
+  SELECT e.dst, bfs.d + 1 FROM bfs JOIN e ON e.src = bfs.vertex WHERE bfs.d < 40),
 dist AS (SELECT vertex, CAST(min(d) AS INTEGER) AS distance FROM bfs GROUP BY vertex)"""
 
 
-def _bfs_start_target(spark, d, edges):
-    start = (edges.groupBy("src").count().orderBy(desc("count"), asc("src")).limit(1).first()["src"])
+def _bfs_start(edges):
+    return edges.groupBy("src").count().orderBy(desc("count"), asc("src")).limit(1).first()["src"]
+
+
+def _bfs_start_target(edges):
+    start = _bfs_start(edges)
     tgt = (edges.where(F.col("dst") != start).groupBy("dst").count()
            .orderBy(desc("count"), asc("dst")).limit(1).first())
     return start, (tgt["dst"] if tgt else None)
@@ -484,8 +490,7 @@ def _bfs_start_target(spark, d, edges):
 @query("q35_bfs_distances", f"{BFS_SQL}\nSELECT vertex, distance FROM dist")
 def q35(spark, d):
     edges = chain_edges(spark, d).select("src", "dst")
-    start, _ = _bfs_start_target(spark, d, edges)
-    return graph.bfs(edges, start, max_rounds=10).distances
+    return graph.bfs(edges, _bfs_start(edges)).distances
 
 
 @query("q36_bfs_target", f"""{BFS_SQL}
@@ -496,8 +501,8 @@ WHERE t.vertex = (SELECT * FROM {TARGET_SQL}) AND t.distance > 0
 GROUP BY t.vertex, t.distance""")
 def q36(spark, d):
     edges = chain_edges(spark, d).select("src", "dst")
-    start, target = _bfs_start_target(spark, d, edges)
-    res = graph.bfs(edges, start, max_rounds=10, target=target)
+    start, target = _bfs_start_target(edges)
+    res = graph.bfs(edges, start, target=target)
     return graph.target_report(spark, res, target)
 
 
@@ -553,11 +558,16 @@ def q39(spark, d):
     return windows.window_top_k(counts, 3, "event_type")
 
 
+# Files of a table that one micro-batch of a back-fill reads.
+STREAM_FILES = 1000
+
+
 @query("q40_stream_vs_batch", SLIDING_COUNTS_SQL)
 def q40(spark, d):
     schema = table(spark, d, "events").schema
-    stream = windows.file_stream(spark, d, schema, glob="events.parquet")
-    panes = windows.run_to_table(windows.stream_pane_counts(stream, "ts", ["event_type"]), ["event_type"], "q40")
+    stream = windows.table_stream(spark, f"{d.rstrip('/')}/events.parquet", schema, files_per_trigger=STREAM_FILES)
+    panes = windows.run_to_table(windows.stream_pane_counts(stream, "ts", ["event_type"], watermark=None),
+                                 ["event_type"], "q40")
     return windows.panes_to_windows(panes, ["event_type"], windows.COUNT_WINDOW_S, windows.COUNT_SLIDE_S)
 
 
@@ -722,12 +732,12 @@ FROM {_pane_sql('1', DOC_STREAM_WINDOW_S, DOC_STREAM_SLIDE_S, keys='kind, word',
 GROUP BY ALL""")
 def q48(spark, d):
     schema = table(spark, d, "documents").schema
-    docs = windows.file_stream(spark, d, schema, glob="documents.parquet")
+    docs = windows.table_stream(spark, f"{d.rstrip('/')}/documents.parquet", schema, files_per_trigger=STREAM_FILES)
     stamped = docs.select(F.timestamp_micros(F.lit(1704067200000000) + F.col("doc_id") * 1_000_000).alias("ts"),
                           "text")
     words = windows.stream_words(stamped, "text", "ts")
     panes = windows.run_to_table(
-        windows.stream_pane_counts(words, "ts", ["kind", "word"], slide_s=DOC_STREAM_SLIDE_S),
+        windows.stream_pane_counts(words, "ts", ["kind", "word"], slide_s=DOC_STREAM_SLIDE_S, watermark=None),
         ["kind", "word"], "q48")
     return windows.panes_to_windows(panes, ["kind", "word"], DOC_STREAM_WINDOW_S, DOC_STREAM_SLIDE_S)
 

@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
-EDGE_MIN_QUANTITY = 35
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -61,11 +59,10 @@ RATINGS_SQL = """(SELECT o.o_custkey AS u, l.l_suppkey AS i, l.l_quantity AS x
   FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey)"""
 
 
-def chain_edges(spark: SparkSession, sf_dir: str, min_qty: int = EDGE_MIN_QUANTITY) -> DataFrame:
+def chain_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edge per pair of consecutive order lines.  The join key includes the line
     number, so even a huge order spreads over many join keys."""
-    li = (table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= min_qty)
-          .select("l_orderkey", "l_linenumber", "l_partkey"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     a = li.select(F.col("l_orderkey").alias("o"), (F.col("l_linenumber") + 1).alias("ln"),
                   F.col("l_partkey").alias("src"), F.col("l_linenumber").alias("src_line"))
     b = li.select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("ln"),
@@ -73,7 +70,6 @@ def chain_edges(spark: SparkSession, sf_dir: str, min_qty: int = EDGE_MIN_QUANTI
     return a.join(b, ["o", "ln"]).select("src", "dst", "o", "src_line")
 
 
-CHAIN_EDGES_SQL = f"""(SELECT a.l_partkey AS src, b.l_partkey AS dst
+CHAIN_EDGES_SQL = """(SELECT a.l_partkey AS src, b.l_partkey AS dst
   FROM lineitem a JOIN lineitem b
-    ON b.l_orderkey = a.l_orderkey AND b.l_linenumber = a.l_linenumber + 1
-  WHERE a.l_quantity >= {EDGE_MIN_QUANTITY} AND b.l_quantity >= {EDGE_MIN_QUANTITY})"""
+    ON b.l_orderkey = a.l_orderkey AND b.l_linenumber = a.l_linenumber + 1)"""

@@ -36,6 +36,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:
@@ -54,6 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a local one only when unset."""
     current = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if not current:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -86,7 +90,3 @@ def clean_scratch(spark: SparkSession) -> int:
         delete_path(spark, _scratch.pop())
     return n
 
-
-def default_parallelism(spark: SparkSession) -> int:
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions", "8")), 1)
-

@@ -108,19 +108,34 @@ def _last_wins(df: DataFrame, key: str, value: str) -> DataFrame:
             .agg(F.max_by(value, F.struct("file", "line_order")).alias(value)))
 
 
-def read_pipe_names(spark: SparkSession, path: str, last_wins: bool = True) -> DataFrame:
-    """``id|name|...``; rows with fewer than two fields are skipped,
-    malformed UTF-8 is replaced, a repeated id keeps its last name."""
+def read_pipe_names(spark: SparkSession, path: str, last_wins: bool = True, mode: str = "permissive") -> DataFrame:
+    """``id|name|...`` with bigint ids; rows with fewer than two fields (closing empty
+    ones do not count) are skipped, malformed UTF-8 is replaced, a repeated id keeps its
+    last name.  An id that is no number fails the query in ``strict`` mode; ``permissive``
+    leaves the row out, and :func:`pipe_name_rejects` gives those rows."""
     lines = read_lines(spark, path, with_order=True)
-    parts = F.split(F.col("value"), r"\|")
+    parts = _pipe_fields()
+    number = strip_ws(F.get(parts, 0))
+    bad = F.raise_error(F.concat(F.lit("no id in line: "), F.col("value"))).cast("bigint")
     df = (lines.where(F.size(parts) > 1)
           .select("file", "line_order",
-                  strip_ws(F.get(parts, 0)).try_cast("int").alias("item_id"),
+                  (F.coalesce(number.try_cast("bigint"), bad) if mode == "strict" else number.try_cast("bigint")).alias("item_id"),
                   F.get(parts, 1).alias("name"))
           .where(F.col("item_id").isNotNull()))
     return _last_wins(df, "item_id", "name") if last_wins else df.drop("file", "line_order")
 
 
+def pipe_name_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The lines whose id is no number, which a permissive :func:`read_pipe_names` leaves out."""
+    parts = _pipe_fields()
+    return read_lines(spark, path, with_order=True).where(
+        (F.size(parts) > 1) & strip_ws(F.get(parts, 0)).try_cast("bigint").isNull()).select("file", "value")
+
+
+def _pipe_fields():
+    return F.split(F.regexp_replace(F.col("value"), r"\|+$", ""), r"\|")
+
+
 QUOTED_NAME = r'^\s*(\d+)\s*"([^"]*)'
 
 

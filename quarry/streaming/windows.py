@@ -177,6 +177,25 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, fmt: str
     return r.load(folder)
 
 
+def table_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+                 files_per_trigger: int | None = None) -> DataFrame:
+    """A file stream over one table: a folder of part files, or a single file (the
+    stream then watches its parent for that name).  Fails when nothing is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        raise FileNotFoundError(f"no table at {path}")
+    if fs.getFileStatus(p).isDirectory():
+        return file_stream(spark, path, schema, fmt, files_per_trigger=files_per_trigger)
+    return file_stream(spark, p.getParent().toString(), schema, fmt, glob=p.getName(), files_per_trigger=files_per_trigger)
+
+
+def dropped_rows(query) -> int:
+    """Rows a live query has dropped as later than its watermark (from its recent progress)."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress
+               for op in p["stateOperators"])
+
+
 def stream_sliding_counts(stream: DataFrame, ts: str, keys: Sequence[str], window_s: int = COUNT_WINDOW_S,
                           slide_s: int = COUNT_SLIDE_S, watermark: str = "10 minutes",
                           name: str = "n") -> DataFrame:
@@ -187,12 +206,18 @@ def stream_sliding_counts(stream: DataFrame, ts: str, keys: Sequence[str], windo
 
 
 def stream_pane_counts(stream: DataFrame, ts: str, keys: Sequence[str], slide_s: int = COUNT_SLIDE_S,
-                       watermark: str = "10 minutes", name: str = "n") -> DataFrame:
+                       watermark: str | None = "10 minutes", name: str = "n") -> DataFrame:
     """Pane form of W2/W3 for streams: the stateful part keeps one count per
     slide-wide tumbling pane and key (``window / slide`` times less state than
     sliding windows); :func:`panes_to_windows` fans the panes out to sliding
-    windows when the result is read."""
-    ev = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
+    windows when the result is read.
+
+    A live stream needs a watermark to bound its state and drops rows later than that
+    (:func:`dropped_rows` reports them).  A back-fill reads files in any order and takes
+    ``watermark=None``: no row is late, and the state is one count per pane and key."""
+    ev = stream.withColumn("_ts", F.col(ts).cast("timestamp"))
+    if watermark is not None:
+        ev = ev.withWatermark("_ts", watermark)
     w = F.window("_ts", f"{slide_s} seconds")
     return ev.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias(name))
 

@@ -50,7 +50,14 @@ def test_no_python_udf_in_hot_paths(spark):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, key
 
 
-def test_bounded_side_is_broadcast(spark):
-    # the 10-row top-k is the build side; the dimension is streamed past it
-    tree = plan(spark, "q01_popular_items").split("\n\n")[0]
-    assert "BroadcastHashJoin RightOuter BuildLeft" in tree
+@pytest.mark.parametrize("key", ["q01_popular_items", "q50_numbered_topk"])
+def test_dimension_is_streamed_past_the_bounded_side(spark, key):
+    # without any automatic broadcast, only the top-k's keys and the rows found for them are sent
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = plan(spark, key).split("\n\n")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    assert "BroadcastHashJoin LeftSemi BuildRight" in tree
+    assert "SortMergeJoin" not in tree
