@@ -154,7 +154,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, id_col: str = "doc_id", te
         raise ValueError(f"window must be {GRAM} words or more")
     cut = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     known = cut.where("id is not null")
-    spans = repeated_spans(known, window).select(F.col("id").alias("_id"), "spans")
+    # stored, so that its shuffles and that of the documents do not use disk at once
+    spans = stored(repeated_spans(known, window).select(F.col("id").alias("_id"), "spans"), "spans")
     joined = known.join(spans, F.col("id") == F.col("_id"), "left").select("id", "text", "spans")
     joined = joined.unionByName(cut.where("id is null"), allowMissingColumns=True)
 
