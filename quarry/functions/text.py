@@ -4,8 +4,8 @@ All of these are built-in Spark expressions, so they run inside whole-stage
 codegen on the executors; none is a Python UDF.
 
 Tokenising follows Java ``String.split`` where it matters: Spark's ``split``
-keeps trailing empty strings, Java drops them.  Callers that need the Java count
-(e.g. degree = tokens - 1) use :func:`tokens`, which trims first.
+keeps trailing empty strings, Java drops them and keeps a leading one.
+:func:`tokens` does the same; readers that skip leading blanks trim first.
 """
 
 from __future__ import annotations
@@ -50,16 +50,9 @@ def strip_ws(c: Column | str) -> Column:
 
 
 def tokens(c: Column | str, sep: str = r"\s+") -> Column:
-    """Whitespace tokens of a line, with no empty token at either end."""
-    return F.split(strip_ws(c), sep)
-
-
-def words(c: Column | str) -> Column:
-    """Lower-cased words split on runs of non-word characters.
-
-    Empty strings (from leading/trailing punctuation) are removed.
-    """
-    return F.filter(F.split(F.lower(_c(c)), r"\W+"), lambda w: w != "")
+    """Tokens of a line as Java splits it: no empty token at the end, an empty first one
+    when the line starts with a separator.  ``sep`` is a run of white space or one blank."""
+    return F.split(F.rtrim(_c(c), F.lit(" " if sep == " " else WHITESPACE)), sep)
 
 
 def word_tokens(c: Column | str) -> Column:

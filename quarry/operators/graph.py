@@ -25,7 +25,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import scratch_path
 
 
 @dataclass
@@ -42,17 +42,20 @@ EDGES_PER_PARTITION = 2_000_000
 def bfs(edges: DataFrame, start, max_rounds: int | None = None, target=None,
         stop_at_target: bool = True, partitions: int | None = None) -> BfsResult:
     """Breadth-first distances from ``start`` over directed edges, until no new
-    vertex is reached or, if given, for at most ``max_rounds`` rounds.  With ``target``, also the first round that expands an
-    edge into it and how many such edges (duplicates count) that round had.
-
-    The loop's partition count is ``partitions`` or one per
-    ``EDGES_PER_PARTITION`` edges,
-    and the loop's shuffles use it, so a small graph does not pay for hundreds
-    of near-empty tasks and checkpoint files per round."""
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    raw = edges.select(F.col("src").cast("bigint").alias("src"),
-                       F.col("dst").cast("bigint").alias("dst")).persist()
+    vertex is reached or, if given, for at most ``max_rounds`` rounds.  With ``target``,
+    also the first round that expands an edge into it and how many such edges
+    (duplicates count) that round had.
+
+    The loop's partition count is ``partitions`` or one per ``EDGES_PER_PARTITION``
+    edges, and the loop's shuffles use it, so a small graph does not pay for hundreds
+    of near-empty tasks and checkpoint files per round.  The edges are evaluated once
+    (written to the shared folder) and the rounds run in a session of their own, so
+    that no setting of the caller's session changes."""
+    caller, base = edges.sparkSession, scratch_path(edges.sparkSession, "bfs")
+    edges.select(F.col("src").cast("bigint").alias("src"),
+                 F.col("dst").cast("bigint").alias("dst")).write.parquet(f"{base}/edges")
+    spark = caller.newSession()
+    raw = spark.read.parquet(f"{base}/edges")
     stats = (raw.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
              .agg(F.sum("deg").alias("n"), F.max("deg").alias("top")).first())
     n_edges, top = int(stats["n"] or 0), int(stats["top"] or 0)
@@ -60,13 +63,11 @@ def bfs(edges: DataFrame, start, max_rounds: int | None = None, target=None,
     # a hub vertex's edges are spread over `salt` partitions, so that no task
     # expands more than about one partition's share of the edges
     salt = max(1, min(p, -(-top * p // max(n_edges, 1))))
-    saved = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(p))
-    try:
-        return _bfs_rounds(spark, raw, p, salt, start, max_rounds, target, stop_at_target)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", saved)
-        raw.unpersist()
+    result = _bfs_rounds(spark, raw, p, salt, start, max_rounds, target, stop_at_target)
+    result.distances.write.parquet(f"{base}/distances")
+    result.distances = caller.read.parquet(f"{base}/distances")
+    return result
 
 
 def _bfs_rounds(spark, raw: DataFrame, p: int, salt: int, start, max_rounds: int, target,

@@ -68,23 +68,34 @@ def within_seconds(a: DataFrame, b: DataFrame, a_ts: str, b_ts: str, delta_s: in
     return joined.select(*select) if select is not None else joined.drop("_bk", "_ta", "_tb")
 
 
+def around(df: DataFrame, one_row: DataFrame, ts: str, anchor_ts: str, delta_s: int) -> DataFrame:
+    """J8 for one anchor: the rows of ``df`` within ``delta_s`` seconds of the time in a one-row
+    frame.  The anchor is a scalar subquery, so this is a filter of one scan; without an
+    anchor there are no rows."""
+    anchor = one_row.select(F.unix_micros(F.col(anchor_ts).cast("timestamp"))).limit(1).scalar()
+    here = F.unix_micros(F.col(ts).cast("timestamp"))
+    return df.where(F.abs(here - anchor) <= delta_s * 1_000_000)
+
+
 def substring_matches(haystack: DataFrame, text: str, needles: DataFrame, needle: str,
-                      name: str = "matches") -> DataFrame:
+                      name: str = "matches", needles_are_bounded: bool = False) -> DataFrame:
     """For each needle, how many haystack rows hold it as a substring
-    (``text LIKE '%' || needle || '%'`` for needles without ``%`` / ``_``).
+    (``text LIKE '%' || needle || '%'``; ``%`` and ``_`` in a needle stand for themselves).
 
-    Each haystack value is expanded to its distinct substrings (L(L+1)/2 for
-    a value of length L: linear in the rows for short keys such as ids) and
+    Each haystack value is expanded to its distinct substrings of the lengths
+    that needles have (one pass over the needles finds those lengths) and
     equi-joined with the needles, so no nested-loop join compares every pair.
-    Needles matching nothing get 0.
+    ``needles_are_bounded=True`` (a top-k or similar) broadcasts the needles, so the
+    substrings are not shuffled.  Needles matching nothing get 0, an empty one matches all.
     """
     t = F.col(text).cast("string")
-    subs = F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), F.length(t)),
-        lambda i: F.transform(F.sequence(F.lit(1), F.length(t) - i + 1), lambda n: F.substring(t, i, n)))))
-    exploded = (haystack.where(F.length(t) > 0)
-                .select(F.explode(subs).alias("_sub")))
     wanted = needles.select(F.col(needle).alias("_needle"), F.col(needle).cast("string").alias("_sub")).distinct()
-    hits = exploded.join(wanted, "_sub").groupBy("_needle").agg(F.count(F.lit(1)).alias(name))
+    sizes = wanted.agg(F.collect_set(F.length("_sub"))).first()[0]
+    of_size = [F.when(F.length(t) >= n, F.transform(F.sequence(F.lit(1), F.length(t) - n + 1), lambda i: F.substring(t, i, F.lit(n))))
+               if n else F.when(t.isNotNull(), F.array(F.lit(""))) for n in sorted(sizes)]
+    subs = F.array_distinct(F.flatten(F.array_compact(F.array(*of_size)))) if of_size else F.array().cast("array<string>")
+    exploded = haystack.select(F.explode(subs).alias("_sub"))
+    side = F.broadcast(wanted) if needles_are_bounded else wanted
+    hits = exploded.join(side, "_sub").groupBy("_needle").agg(F.count(F.lit(1)).alias(name))
     return (wanted.join(hits, "_needle", "left")
             .select(F.col("_needle").alias(needle), F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name)))

@@ -17,14 +17,21 @@ ALS_RANK = 8
 ALS_ITERATIONS = 20
 ALS_LAMBDA = 0.01
 
+# Ratings that one factor block holds when the number of blocks is not given.
+RATINGS_PER_BLOCK = 5_000_000
+
 
 def train_als(ratings: DataFrame, user: str, item: str, rating: str, rank: int = ALS_RANK,
               max_iter: int = ALS_ITERATIONS, reg: float = ALS_LAMBDA, seed: int = 42,
-              checkpoint_interval: int = 10) -> ALSModel:
+              checkpoint_interval: int = 10, blocks: int | None = None) -> ALSModel:
     """M6: explicit-feedback ALS.  Ids must fit in int (use ``dense_ids`` or
     ``hash23`` for string ids).  The factor lineage is checkpointed into
-    ``spark.checkpoint.dir`` every ``checkpoint_interval`` iterations."""
-    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed,
+    ``spark.checkpoint.dir`` every ``checkpoint_interval`` iterations.  ``blocks`` is the
+    number of factor blocks on each side: one per ``RATINGS_PER_BLOCK`` ratings, 10 or more,
+    when not given."""
+    if blocks is None:
+        blocks = max(10, -(-ratings.count() // RATINGS_PER_BLOCK))
+    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, numUserBlocks=blocks, numItemBlocks=blocks,
               userCol=user, itemCol=item, ratingCol=rating,
               coldStartStrategy="drop", checkpointInterval=checkpoint_interval)
     return als.fit(ratings.select(F.col(user).cast("int").alias(user),

@@ -85,6 +85,12 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], train_pct: int = 50,
     return df.where(bucket < train_pct), df.where(bucket >= train_pct)
 
 
+def modulo_split(df: DataFrame, key: str, train_pct: int = 50) -> tuple[DataFrame, DataFrame]:
+    """M12 on an integer key whose last two digits are spread evenly; any SQL engine can repeat it."""
+    bucket = F.pmod(F.col(key), F.lit(100))
+    return df.where(bucket < train_pct), df.where(bucket >= train_pct)
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
 

@@ -270,15 +270,15 @@ def q20(spark, d):
 
 
 def _toks_sql(col: str) -> str:
-    return f"string_split_regex(regexp_replace({col}, '^\\s+|\\s+$', '', 'g'), '\\s+')"
+    return f"string_split_regex(regexp_replace({col}, '\\s+$', '', 'g'), '\\s+')"
 
 
 @query("q21_message_counts", f"""
 SELECT msg, count(*) AS n
-FROM (SELECT array_to_string(list_slice({_toks_sql('line')}, 4, 1000000), ' ') AS msg FROM {EVENT_LINES_SQL})
+FROM (SELECT array_to_string(list_slice(string_split(rtrim(line, ' '), ' '), 4, 1000000), ' ') AS msg FROM {EVENT_LINES_SQL})
 GROUP BY msg ORDER BY n DESC, msg LIMIT 10""")
 def q21(spark, d):
-    msgs = event_lines(spark, d).select(T.drop_tokens("line", 3).alias("msg"))
+    msgs = event_lines(spark, d).select(T.drop_tokens(None, 3, toks=T.tokens("line", " ")).alias("msg"))
     return relational.top_k(relational.count_by(msgs, "msg"), 10, [desc("n"), asc("msg")])
 
 
@@ -434,15 +434,25 @@ GROUP BY a.i, b.i""")
 def q33(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
     od = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    cu = table(spark, d, "customer").select("c_custkey", "c_name")
-    su = table(spark, d, "supplier").select("s_suppkey", "s_name")
+    cu = _numbered(table(spark, d, "customer"), "c_custkey", "c_name", "user_no")
+    su = _numbered(table(spark, d, "supplier"), "s_suppkey", "s_name", "business_no")
+    # ids in the order of the names stand for them until the pairs are aggregated
     r = (li.join(od, li.l_orderkey == od.o_orderkey)
          .join(cu, F.col("o_custkey") == cu.c_custkey)
          .join(su, F.col("l_suppkey") == su.s_suppkey)
-         .select(F.trim("c_name").alias("user_id"), F.trim("s_name").alias("business_id"),
-                 F.col("l_quantity").alias("stars")))
-    sims = similarity.item_similarity(r, "user_id", "business_id", "stars")
-    return sims.select("item1", "item2", F.round("score", 9).alias("score"), "n")
+         .select("user_no", "business_no", F.col("l_quantity").alias("stars")))
+    sims = similarity.item_similarity(r, "user_no", "business_no", "stars")
+    names = su.select("business_no", "name").distinct()
+    first = names.select(F.col("business_no").alias("item1"), F.col("name").alias("name1"))
+    second = names.select(F.col("business_no").alias("item2"), F.col("name").alias("name2"))
+    return (sims.join(first, "item1").join(second, "item2")
+            .select(F.col("name1").alias("item1"), F.col("name2").alias("item2"), F.round("score", 9).alias("score"), "n"))
+
+
+def _numbered(dim, key, name, id_col):
+    """``(key, name, id)``: a long id for every distinct trimmed name, in name order."""
+    named = dim.select(key, F.trim(name).alias("name"))
+    return named.join(positional.dense_ids(named, "name", id_col), "name")
 
 
 # ---------------------------------------------------------------------------
@@ -489,7 +499,7 @@ def _bfs_start_target(edges):
 
 @query("q35_bfs_distances", f"{BFS_SQL}\nSELECT vertex, distance FROM dist")
 def q35(spark, d):
-    edges = chain_edges(spark, d).select("src", "dst")
+    edges = chain_edges(spark, d).select("src", "dst").checkpoint()
     return graph.bfs(edges, _bfs_start(edges)).distances
 
 
@@ -500,7 +510,7 @@ JOIN e ON e.src = f.vertex AND e.dst = t.vertex
 WHERE t.vertex = (SELECT * FROM {TARGET_SQL}) AND t.distance > 0
 GROUP BY t.vertex, t.distance""")
 def q36(spark, d):
-    edges = chain_edges(spark, d).select("src", "dst")
+    edges = chain_edges(spark, d).select("src", "dst").checkpoint()
     start, target = _bfs_start_target(edges)
     res = graph.bfs(edges, start, target=target)
     return graph.target_report(spark, res, target)
@@ -537,22 +547,28 @@ def q37(spark, d):
                                   windows.COUNT_WINDOW_S, windows.COUNT_SLIDE_S)
 
 
-@query("q38_sliding_mean", f"""
+SLIDING_MEAN_SQL = f"""
 SELECT {_window_cols_sql(300, 4)}, CAST(sum(s) AS BIGINT) AS total, CAST(sum(c) AS BIGINT) AS n,
        CAST(sum(s) // sum(c) AS BIGINT) AS int_mean
-FROM {_pane_sql('length(props)', 300, 4, keys='')} GROUP BY ALL""")
+FROM {_pane_sql('length(props)', 300, 4, keys='')} GROUP BY ALL"""
+
+
+@query("q38_sliding_mean", SLIDING_MEAN_SQL)
 def q38(spark, d):
     return windows.sliding_int_mean(table(spark, d, "events"), "ts", F.length("props"),
                                     windows.MEAN_WINDOW_S, windows.MEAN_SLIDE_S)
 
 
-@query("q39_window_topk", f"""
+WINDOW_TOPK_SQL = f"""
 SELECT * FROM (
   SELECT window_start, window_end, event_type, n,
          CAST(row_number() OVER (PARTITION BY window_start ORDER BY n DESC, event_type) AS INTEGER) AS rank
   FROM (SELECT {_window_cols_sql(TOPK_WINDOW_S, TOPK_SLIDE_S)}, event_type, CAST(sum(c) AS BIGINT) AS n
         FROM {_pane_sql('1', TOPK_WINDOW_S, TOPK_SLIDE_S)} GROUP BY ALL))
-WHERE rank <= 3""")
+WHERE rank <= 3"""
+
+
+@query("q39_window_topk", WINDOW_TOPK_SQL)
 def q39(spark, d):
     counts = windows.sliding_counts(table(spark, d, "events"), "ts", ["event_type"], TOPK_WINDOW_S, TOPK_SLIDE_S)
     return windows.window_top_k(counts, 3, "event_type")
@@ -751,7 +767,8 @@ def q49(spark, d):
     ids = _top_items(spark, d).select("item_id")
     part = table(spark, d, "part")
     named = joins.lookup(ids, part, "item_id", "p_partkey", ["p_name"], df_is_bounded=True)
-    legacy = joins.substring_matches(part, "p_partkey", ids, "item_id", "like_matches")
+    legacy = joins.substring_matches(part, "p_partkey", ids, "item_id", "like_matches",
+                                     needles_are_bounded=True)
     return (named.join(F.broadcast(legacy), "item_id", "left")
             .select("item_id", F.col("p_name").alias("name"), "like_matches"))
 
@@ -781,3 +798,133 @@ def q51(spark, d):
     names = readers.read_quoted_names(spark, f"{base}/names")
     out = joins.lookup(top, names, "vertex", "id", ["name"], df_is_bounded=True)
     return out.select("vertex", "name", "degree")
+
+
+@query("q52_weather_extremes", f"""
+SELECT CAST(user_id AS VARCHAR) AS station, count(*) AS n,
+       min(CAST(CAST(value AS DECIMAL(18,2)) * 100 AS INTEGER)) AS min_value,
+       max(CAST(CAST(value AS DECIMAL(18,2)) * 100 AS INTEGER)) AS max_value
+FROM events WHERE event_type = '{EVENT_TYPE}' GROUP BY user_id""")
+def q52(spark, d):
+    """Weather lines written from the events, read back, extremes of one entry type per station."""
+    path = scratch_path(spark, "q52")
+    ev = table(spark, d, "events").select(
+        F.col("user_id").cast("string").alias("station"), F.date_format("ts", "yyyyMMdd").alias("day"), "event_type",
+        (F.col("value").cast("decimal(18,2)") * 100).cast("int").cast("string").alias("value"), F.lit("").alias("rest"))
+    sinks.write_text(ev.select(F.concat_ws(",", *ev.columns)), path)
+    weather = readers.read_weather(spark, path).where(F.col("entry_type") == EVENT_TYPE)
+    return weather.groupBy("station").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("min_value"),
+                                          F.max("value").alias("max_value"))
+
+
+@query("q53_friends_by_age", """
+SELECT p_size AS age, count(*) AS n, CAST(sum(p_partkey % 500) // count(*) AS BIGINT) AS int_mean
+FROM part GROUP BY p_size""")
+def q53(spark, d):
+    """People lines written from the parts, read back, integer mean of friends per age."""
+    path = scratch_path(spark, "q53")
+    part = table(spark, d, "part").select("p_partkey", "p_brand", "p_size", (F.col("p_partkey") % 500).alias("friends"))
+    sinks.write_text(part.select(F.concat_ws(",", *[F.col(c).cast("string") for c in part.columns])), path)
+    people = readers.read_people(spark, path)
+    return people.groupBy("age").agg(F.count(F.lit(1)).alias("n"),
+                                     T.int_div_mean(F.sum("num_friends"), F.count("num_friends")).alias("int_mean"))
+
+
+@query("q54_scaled_points", """
+SELECT l_quantity AS label, count(*) AS n,
+       round(min((l_tax - m) / s), 6) AS min_scaled, round(max((l_tax - m) / s), 6) AS max_scaled
+FROM lineitem, (SELECT avg(l_tax) AS m, stddev_samp(l_tax) AS s FROM lineitem)
+GROUP BY l_quantity""")
+def q54(spark, d):
+    """Labelled points written from the order lines, read back and scaled."""
+    from pyspark.ml.functions import vector_to_array
+    path = scratch_path(spark, "q54")
+    li = table(spark, d, "lineitem")
+    sinks.write_text(li.select(F.concat_ws(",", F.col("l_quantity").cast("string"),
+                                           F.concat_ws(" ", F.col("l_tax").cast("string"), F.col("l_discount").cast("string")))), path)
+    scaled = regression.scale(readers.read_labeled_points(spark, path))
+    x = scaled.select("label", vector_to_array("scaled")[0].alias("x"))
+    return x.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("x"), 6).alias("min_scaled"),
+                                  F.round(F.max("x"), 6).alias("max_scaled"))
+
+
+@query("q55_upper_names", "SELECT p_partkey, upper(p_name) AS name FROM part")
+def q55(spark, d):
+    return table(spark, d, "part").select("p_partkey", F.upper("p_name").alias("name"))
+
+
+@query("q56_other_of_pair", f"""
+WITH r AS {RATINGS_SQL}
+SELECT b.i AS other, round({SCORE_SQL}, 9) AS score, count(*) AS n
+FROM (SELECT u, x FROM r WHERE i = {SIMILAR_ITEM}) a
+JOIN (SELECT u, i, x AS y FROM r WHERE i <> {SIMILAR_ITEM}) b ON a.u = b.u
+GROUP BY b.i""")
+def q56(spark, d):
+    """the partners of one item in the full matrix."""
+    sims = similarity.item_similarity(ratings(spark, d), "user_id", "item_id", "rating")
+    mine = sims.where((F.col("item1") == SIMILAR_ITEM) | (F.col("item2") == SIMILAR_ITEM))
+    return mine.select(similarity.other_of_pair("item1", "item2", SIMILAR_ITEM).alias("other"),
+                       F.round("score", 9).alias("score"), "n")
+
+
+@query("q57_around_nth_hit", f"""
+SELECT b.event_id, b.line FROM {EVENT_LINES_SQL} b
+WHERE b.event_type = '{EVENT_TYPE}'
+  AND abs(epoch_us(b.ts) - (SELECT epoch_us(ts) FROM {EVENT_LINES_SQL} WHERE {KEYWORD_HIT_SQL}
+                            ORDER BY event_id LIMIT 1 OFFSET {NTH_HIT - 1})) <= {CORRELATE_WINDOW_S * 1_000_000}""")
+def q57(spark, d):
+    """The purchases around the n-th keyword hit."""
+    nth = positional.nth_row(_hits(spark, d).select("event_id", "ts"), [F.col("event_id")], NTH_HIT)
+    b = event_lines(spark, d).where(F.col("event_type") == EVENT_TYPE)
+    return joins.around(b, nth, "ts", "ts", CORRELATE_WINDOW_S).select("event_id", "line")
+
+
+@query("q58_least_squares", """
+WITH m AS (SELECT regr_slope(l_extendedprice, l_quantity) AS s, regr_intercept(l_extendedprice, l_quantity) AS i
+           FROM lineitem WHERE l_orderkey % 100 < 50)
+SELECT l_orderkey, l_linenumber, round(s * l_quantity + i, 1) AS prediction, l_extendedprice AS label
+FROM lineitem, m WHERE l_orderkey % 100 >= 50""")
+def q58(spark, d):
+    """M11-M13, J9 without a penalty: the closed form is known; predictions beside labels of the test half."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.col("l_extendedprice").alias("label"))
+    train, test = regression.modulo_split(li, "l_orderkey")
+    model = regression.elastic_net(regression.assemble(train, ["l_quantity"]), reg=0.0, mix=0.0)
+    out = regression.predict(model, regression.assemble(test, ["l_quantity"]), keep=["l_orderkey", "l_linenumber"])
+    return out.withColumn("prediction", F.round("prediction", 1))
+
+
+@query("q59_als_invariants", """
+SELECT CAST(10 AS BIGINT) AS n_items, CAST(10 AS BIGINT) AS n_distinct, true AS in_order, true AS beats_mean""")
+def q59(spark, d):
+    """M6, M7: ten distinct items in order of their prediction, and a lower error than the mean rating's."""
+    r = ratings(spark, d, item="l_partkey").select(F.col("user_id").cast("int").alias("user_id"),
+                                                   F.col("item_id").cast("int").alias("item_id"), "rating")
+    model = recommend.train_als(r, "user_id", "item_id", "rating")
+    users = spark.range(1).select(F.lit(ALS_USER).cast("int").alias("user_id"))
+    recs = recommend.recommend_for_users(model, users, 10)
+    ranked = recs.agg(F.count(F.lit(1)).alias("n_items"), F.countDistinct("item").alias("n_distinct"),
+                      F.sort_array(F.collect_list(F.struct("rank", "predicted"))).alias("l"))
+    drops = F.transform(F.sequence(F.lit(1), F.size("l") - 1), lambda i: F.get("l", i - 1)["predicted"] >= F.get("l", i)["predicted"])
+    fit = model.transform(r).agg(
+        (F.avg(F.pow(F.col("prediction") - F.col("rating"), 2)) < F.var_pop("rating")).alias("beats_mean"))
+    return (ranked.select("n_items", "n_distinct", F.forall(drops, lambda x: x).alias("in_order"))
+            .withColumn("beats_mean", fit.scalar()))
+
+
+@query("q60_stream_sliding_mean", SLIDING_MEAN_SQL)
+def q60(spark, d):
+    schema = table(spark, d, "events").schema
+    stream = windows.table_stream(spark, f"{d.rstrip('/')}/events.parquet", schema, files_per_trigger=STREAM_FILES)
+    panes = windows.run_to_table(windows.stream_pane_counts(stream, "ts", [], windows.MEAN_SLIDE_S, watermark=None,
+                                                            value=F.length("props")), [], "q60")
+    return windows.panes_to_means(panes)
+
+
+@query("q61_stream_window_topk", WINDOW_TOPK_SQL)
+def q61(spark, d):
+    schema = table(spark, d, "events").schema
+    stream = windows.table_stream(spark, f"{d.rstrip('/')}/events.parquet", schema, files_per_trigger=STREAM_FILES)
+    panes = windows.run_to_table(windows.stream_pane_counts(stream, "ts", ["event_type"], TOPK_SLIDE_S, watermark=None),
+                                 ["event_type"], "q61")
+    counts = windows.panes_to_windows(panes, ["event_type"], TOPK_WINDOW_S, TOPK_SLIDE_S)
+    return windows.window_top_k(counts, 3, "event_type")

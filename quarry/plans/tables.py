@@ -8,7 +8,7 @@ The driver's tables stand in for the reference's inputs:
   ``MM-dd HH:mm:ss.SSS user_id event_type props``;
 * text lines – ``documents.text`` split on newlines, numbered from 0;
 * graph – chain edges: each order line points to the part of the next line of
-  the same order, both lines having ``l_quantity >= 35``.
+  the same order.
 """
 
 from __future__ import annotations

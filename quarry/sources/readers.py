@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.text import strip_ws, tokens
+from quarry.functions.text import strip_ws
 
 MODES = ("strict", "permissive")
 
@@ -155,7 +155,7 @@ def read_quoted_names(spark: SparkSession, path: str, last_wins: bool = True) ->
 def read_adjacency_lines(spark: SparkSession, path: str) -> DataFrame:
     """S8 as lines: ``vertex`` and its ``neighbours`` array (one vertex may span
     several lines).  Blank lines are skipped."""
-    t = tokens("value")
+    t = F.split(strip_ws("value"), r"\s+")
     return (read_lines(spark, path)
             .where(strip_ws("value") != "")
             .select(t.alias("t"))

@@ -206,8 +206,9 @@ def stream_sliding_counts(stream: DataFrame, ts: str, keys: Sequence[str], windo
 
 
 def stream_pane_counts(stream: DataFrame, ts: str, keys: Sequence[str], slide_s: int = COUNT_SLIDE_S,
-                       watermark: str | None = "10 minutes", name: str = "n") -> DataFrame:
-    """Pane form of W2/W3 for streams: the stateful part keeps one count per
+                       watermark: str | None = "10 minutes", name: str = "n",
+                       value: Column | None = None) -> DataFrame:
+    """Pane form of W2/W3 (with an integral ``value``, whose sum is ``total``, of W4) for streams: the stateful part keeps one count per
     slide-wide tumbling pane and key (``window / slide`` times less state than
     sliding windows); :func:`panes_to_windows` fans the panes out to sliding
     windows when the result is read.
@@ -219,7 +220,20 @@ def stream_pane_counts(stream: DataFrame, ts: str, keys: Sequence[str], slide_s:
     if watermark is not None:
         ev = ev.withWatermark("_ts", watermark)
     w = F.window("_ts", f"{slide_s} seconds")
-    return ev.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias(name))
+    sums = [] if value is None else [F.sum(value.cast("bigint")).alias("total")]
+    return ev.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias(name), *sums)
+
+
+def panes_to_means(panes: DataFrame, keys: Sequence[str] = (), window_s: int = MEAN_WINDOW_S,
+                   slide_s: int = MEAN_SLIDE_S, name: str = "n") -> DataFrame:
+    """W4 from the panes of a stream: as :func:`sliding_int_mean`."""
+    keys = list(keys)
+    p = panes.select(F.floor(_micros("window_start") / (slide_s * 1_000_000)).alias("_pane"), *keys,
+                     F.col(name).alias("_c"), F.col("total").alias("_s"))
+    out = _windows_from_panes(p, keys, window_s, slide_s, ["_c", "_s"])
+    return out.select(*_window_bounds(window_s, slide_s), *keys,
+                      F.col("_s").cast("bigint").alias("total"), F.col("_c").cast("bigint").alias("n"),
+                      int_div_mean(F.col("_s"), F.col("_c")).alias("int_mean"))
 
 
 def panes_to_windows(panes: DataFrame, keys: Sequence[str], window_s: int = COUNT_WINDOW_S,

@@ -138,17 +138,17 @@ def test_adjacency_lines_round_trip(spark, tmp_path):
     assert deg == {1: 30, 2: 1}
 
 
-def test_global_index_and_nth(spark, monkeypatch):
+def test_global_index_and_nth(spark):
     rnd = random.Random(5)
     vals = rnd.sample(range(10_000), 500)
     df = spark.createDataFrame([(v,) for v in vals], "v long")
     idx = {r.v: r.idx for r in positional.with_global_index(df, [F.col("v")], "idx", partitions=7).collect()}
     assert idx == {v: i for i, v in enumerate(sorted(vals))}
     small = positional.nth_row(df, [F.col("v")], 123).first().v
-    monkeypatch.setattr(positional, "SMALL_N", 10)
-    large = positional.nth_row(df, [F.col("v")], 123).first().v
+    large = positional.nth_row(df, [F.col("v")], 123, heap_rows=10).first().v
     assert small == large == sorted(vals)[122]
     assert positional.nth_row(df, [F.col("v")], 501).count() == 0
+    assert positional.nth_row(df, [F.col("v")], 501, heap_rows=10).count() == 0
     names = spark.createDataFrame([("b",), ("a",), ("b",), (None,), ("c",)], "s string")
     ids = {r.s: r.id for r in positional.dense_ids(names, "s").collect()}
     assert ids == {"a": 0, "b": 1, "c": 2}
@@ -164,3 +164,33 @@ def test_bfs_hub_vertex_is_salted_and_exact(spark):
     assert (res.hit_round, res.hits) == (2, 1)
     hub = graph.bfs(df, 0, max_rounds=3, target=1005, partitions=8)
     assert (hub.hit_round, hub.hits) == (2, 1)
+
+
+def test_bfs_leaves_the_session_alone(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    edges = spark.createDataFrame([(1, 2), (2, 3)], "src long, dst long")
+    got = graph.bfs(edges, 1, partitions=3).distances
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert got.sparkSession is spark or got.join(edges, got.vertex == edges.src).count() == 2
+    assert {(r.vertex, r.distance) for r in got.collect()} == {(1, 0), (2, 1), (3, 2)}
+
+
+def test_substring_matches_brute_force(spark):
+    from quarry.operators.joins import substring_matches
+    hay = ["1", "11", "121", "a%b", "", None, "_", "12"]
+    needles = ["1", "12", "%", "_", "zzz"]
+    h = spark.createDataFrame([(x,) for x in hay], "t string")
+    n = spark.createDataFrame([(x,) for x in needles], "k string")
+    want = {k: sum(k in x for x in hay if x is not None) for k in needles}
+    for bounded in (False, True):
+        got = {r.k: r.matches for r in substring_matches(h, "t", n, "k", needles_are_bounded=bounded).collect()}
+        assert got == want
+    assert substring_matches(h, "t", n.limit(0), "k").count() == 0
+
+
+def test_around_one_anchor(spark):
+    from quarry.operators.joins import around
+    rows = spark.createDataFrame([(i, f"2024-01-01 00:00:{i:02d}") for i in range(0, 60, 10)], "i int, s string")
+    rows = rows.select("i", F.col("s").cast("timestamp").alias("ts"))
+    assert {r.i for r in around(rows, rows.where("i = 30"), "ts", "ts", 10).collect()} == {20, 30, 40}
+    assert around(rows, rows.where("i = 31"), "ts", "ts", 10).count() == 0

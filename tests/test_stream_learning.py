@@ -220,6 +220,11 @@ def test_back_fill_of_a_folder_counts_every_row(spark, tmp_path):
     panes = windows.run_to_table(windows.stream_pane_counts(stream, "ts", ["event_type"], watermark=None),
                                  ["event_type"], "folder")
     assert panes.agg({"n": "sum"}).first()[0] == ev.count()
+    stream = windows.table_stream(spark, str(folder), ev.schema, files_per_trigger=1)
+    panes = windows.run_to_table(windows.stream_pane_counts(stream, "ts", [], windows.MEAN_SLIDE_S, watermark=None,
+                                                            value=F.length("props")), [], "means")
+    cols = ["window_start", "total", "n", "int_mean"]
+    assert rows_of(windows.panes_to_means(panes), cols) == rows_of(windows.sliding_int_mean(ev, "ts", F.length("props")), cols)
     with pytest.raises(FileNotFoundError):
         windows.table_stream(spark, str(tmp_path / "none.parquet"), ev.schema)
 

@@ -98,3 +98,10 @@ def test_format_fixed_rounds_half_up(spark):
     df = spark.createDataFrame([(1.005,), (32.045,), (-0.125,)], "v double")
     got = [r.x for r in df.select(T.format_fixed(F.col("v").cast("decimal(10,3)"), 2, " F").alias("x")).collect()]
     assert got == ["1.01 F", "32.05 F", "-0.13 F"]
+
+
+def test_tokens_follow_java_split(spark):
+    assert one(spark, " a b c d e f g h ", T.tokens("v")) == ["", "a", "b", "c", "d", "e", "f", "g", "h"]
+    assert one(spark, " a b c d e f g h", T.stamp_prefix("v")) == "a"
+    assert one(spark, "a  b c  d  ", T.tokens("v", " ")) == ["a", "", "b", "c", "", "d"]
+    assert one(spark, "a b", T.tokens("v")) == ["a", "b"]
