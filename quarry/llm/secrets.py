@@ -10,8 +10,9 @@ The method's kind, ``guess``, looks at the value after a wider set of credential
 (``pwd:``, ``passphrase is``, quoted values with symbols, ...).  A dynamic program finds the
 cheapest way to guess the value: it is cut into dictionary words (plain, capitalised or with
 digits for letters), dates, repeats, keyboard walks and brute-force spans, each with its
-log10 number of guesses, and the sum is least over all cuts (repeats and walks reach as far
-back as they go).  A value that needs
+log10 number of guesses, and the sum is least over all cuts.  A repeat is a block of up to
+``LONGEST_BLOCK`` characters written twice or more (a single one three times); repeats and walks
+reach as far back as they go.  A value that needs
 ``min_log10`` or more is a secret; cheap values (``password: changeme``) are not reported by
 this kind.  The program is linear in the length of the value (pieces are bounded, repeats
 and walks are extended step by step), so a very long value is handled whole.
@@ -55,6 +56,8 @@ WORDS = ("password 123456 qwerty letmein welcome admin monkey dragon master logi
          "white orange purple yellow silver gold tiger eagle lion wolf bear horse house home world star").split()
 #: Rows of a keyboard, and the two sequences people walk along.
 WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "qazwsxedcrfvtgbyhnujmikolp")
+#: Longest block whose repetition is looked for.
+LONGEST_BLOCK = 8
 _LEET = str.maketrans("@431!0$57", "aaeiiosst")
 _DATE = re.compile(r"(?:(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01]))|"
                    r"(?:(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d)|(?:(?:19|20)\d\d)")
@@ -84,7 +87,8 @@ class GuessCost:
                 dates.setdefault(m.end(), []).append((i, 4.0 if m.end() - i > 4 else 2.0))
         best = [0.0] + [math.inf] * n  # cost of the first k characters
         brute = math.inf               # cheapest open brute-force span, one digit of cost a character
-        run = walk = 0                 # starts of the repeat and of the walk that end here
+        walk = 0                       # start of the walk that ends here
+        same = [0] * (LONGEST_BLOCK + 1)  # by block size: characters up to here that equal those one block before
         for k in range(1, n + 1):
             c = low[k - 1]
             brute = min(brute, best[k - 1] + 1.0) + 1.0
@@ -102,10 +106,12 @@ class GuessCost:
                     cost = min(cost, best[k - size] + math.log10(rank + 1) + extra)
             for start, price in dates.get(k, ()):
                 cost = min(cost, best[start] + price)
-            if k > 1 and c != low[k - 2]:
-                run = k - 1
-            if k - run >= 3:
-                cost = min(cost, best[run] + math.log10(95 * (k - run)))
+            for size in range(1, min(LONGEST_BLOCK, k - 1) + 1):
+                same[size] = same[size] + 1 if c == low[k - 1 - size] else 0
+                if same[size] >= max(size, 2):
+                    span = same[size] + size
+                    block = math.log10(95) if size == 1 else size + 1.0
+                    cost = min(cost, best[k - span] + block + math.log10(span / size))
             if k > 1 and c not in self.next.get(low[k - 2], ()):
                 walk = k - 1
             if k - walk >= 3:

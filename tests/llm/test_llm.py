@@ -88,6 +88,8 @@ def test_secret_spans(spark):
     assert got[2]["n_guess"] == 1  # the random value, not the word and not the walk
     cost = secrets.GuessCost()
     assert cost("password1") < 4 < cost("aaaaaaaaaaaa") + 2 and cost("qwertyuiop") < 5 and cost("19991231") < 5 < cost("Zk8#qT!9")
+    assert cost("aaaaaaaaaaaa") == pytest.approx(np.log10(95 * 12)) and cost("k7#k7#k7#k7#") == pytest.approx(4 + np.log10(4))
+    assert cost("k7#k7#k7#k7#x") < cost("k7#q9!z4%m2^x")
     red = secrets.scan(frame(spark, texts), redact=True).where("doc_id = 0").first()["redacted"]
     assert "b7db7aa4a5" not in red and "[assign]" in red
 
