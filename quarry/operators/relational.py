@@ -24,12 +24,6 @@ def count_by(df: DataFrame, keys, name: str = "n") -> DataFrame:
     return df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias(name))
 
 
-def sum_by(df: DataFrame, keys, value: str | Column, name: str = "total") -> DataFrame:
-    """A2: sum per key."""
-    v = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(*_cols(keys)).agg(F.sum(v).alias(name))
-
-
 def sum_all_numeric(df: DataFrame, key: str, prefix: str = "sum_") -> DataFrame:
     """A3: ``groupBy(key).sum()`` over every numeric column, key included, with named
     (``sum_<col>``) outputs: bigint for integers, double for float and double,
