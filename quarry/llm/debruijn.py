@@ -144,7 +144,9 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     first = edges.groupBy("e1", "e2").agg(F.count("*").alias("n"), F.min(F.struct("id", "start")).alias("first")).where(F.col("n") > 1)
     later = edges.join(first.select("e1", "e2", "first"), ["e1", "e2"]).where(
         ~((F.col("id") == F.col("first")["id"]) & (F.col("start") == F.col("first")["start"])))
-    spans = copied.unionByName(later.select("id", "start", (F.col("start") + window).alias("end")))
+    later = later.select("id", "start", (F.col("start") + window).alias("end"))
+    # stored one by one, so that the shuffles of both do not use disk at once
+    spans = stored(copied, "copied").unionByName(stored(later, "later"))
     return spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
