@@ -79,13 +79,19 @@ def _release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def written(df: DataFrame, label: str, owner: SparkSession | None = None) -> str:
+    """The path of a table with the rows of ``df`` in the shared scratch folder, which the session
+    ``owner`` names (that of ``df`` by default)."""
+    path = scratch_path(owner or df.sparkSession, label)
+    df.write.parquet(path)
+    _release(df.sparkSession)
+    return path
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage with a table in the shared scratch folder: several times smaller than a
     checkpoint.  ``quarry.session.clean_scratch`` deletes what a session has stored."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    _release(df.sparkSession)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, label))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -117,4 +123,4 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-__all__ = ["SLICE_BYTES", "components", "let", "map_arrow", "mix64", "pinned", "read_table", "slices", "stored", "utf8"]
+__all__ = ["SLICE_BYTES", "components", "let", "map_arrow", "mix64", "pinned", "read_table", "slices", "stored", "utf8", "written"]

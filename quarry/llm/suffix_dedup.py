@@ -44,12 +44,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.anchors import merged, pieces
-from quarry.llm.common import mix64, pinned, slices, stored, utf8
+from quarry.llm.common import mix64, pinned, slices, stored, utf8, written
 
 #: Bytes of an anchor.
 GRAM = 16
 #: Contexts sorted by one task; each has at most twice ``length`` bytes, each byte a hash of eight.
 ROWS_PER_TASK = 8192
+#: Whole contexts, times three, that Spark samples on the driver for a task's range.
+SAMPLE_PER_TASK = 16
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -227,13 +229,17 @@ def _distinct(table: pa.Table) -> list[int]:
     return out
 
 
-def _neighbours(contexts: DataFrame, side: str) -> DataFrame:
-    """Pairs of neighbours in the order by ``side``: ``(id, at, anchor, l, r)`` for both ends of each pair.
+def _neighbours(contexts: DataFrame, path: str, side: str) -> DataFrame:
+    """``contexts`` are stored at ``path``.  Pairs of neighbours in the order by ``side``: ``(id, at, anchor, l, r)`` for both ends of each pair.
 
     The last columns (``edge``, ``right``, ``left``) are set on copies of the first and last row of a partition."""
     other = "left" if side == "right" else "right"
-    tasks = max(contexts.count() // ROWS_PER_TASK + 1, int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = contexts.repartitionByRange(tasks, "anchor", side, other, "id", "at")
+    caller = contexts.sparkSession
+    tasks = max(contexts.count() // ROWS_PER_TASK + 1, int(caller.conf.get("spark.sql.shuffle.partitions")))
+    # read in a session of its own, whose range sample is small: the setting of the caller stays
+    sampling = caller.newSession()
+    sampling.conf.set("spark.sql.execution.rangeExchange.sampleSizePerPartition", SAMPLE_PER_TASK)
+    dealt = sampling.read.schema(contexts.schema).parquet(path).repartitionByRange(tasks, "anchor", side, other, "id", "at")
 
     def run(batches):
         batches = [b for b in batches if b.num_rows]
@@ -267,7 +273,8 @@ def _neighbours(contexts: DataFrame, side: str) -> DataFrame:
 
     names = ["id", "at", "anchor", "l", "r", "edge", "right", "left"]
     kind = contexts.schema["id"].dataType.simpleString()
-    found = pinned(dealt.mapInArrow(run, f"id {kind}, at bigint, anchor bigint, l bigint, r bigint, edge bigint, right binary, left binary"))
+    pairs = dealt.mapInArrow(run, f"id {kind}, at bigint, anchor bigint, l bigint, r bigint, edge bigint, right binary, left binary")
+    found = caller.read.schema(pairs.schema).parquet(written(pairs, "neighbours", caller))
 
     def across(table):
         """Last row of a partition against the first of the next one that has rows."""
@@ -284,9 +291,9 @@ def _neighbours(contexts: DataFrame, side: str) -> DataFrame:
     return found.where("edge is null").select("id", "at", "anchor", "l", "r").unionByName(more)
 
 
-def _branch_spans(contexts: DataFrame, length: int) -> DataFrame:
-    """``(id, start, end)`` of what representatives at branches share with each other."""
-    pairs = _neighbours(contexts, "right").unionByName(_neighbours(contexts, "left"))
+def _branch_spans(contexts: DataFrame, path: str, length: int) -> DataFrame:
+    """``(id, start, end)`` of what representatives at branches share; ``contexts`` are stored at ``path``."""
+    pairs = _neighbours(contexts, path, "right").unionByName(_neighbours(contexts, path, "left"))
     hits = F.collect_list(F.when(F.col("l") + F.col("r") >= length, F.struct("l", "r")))
     reach = pinned(pairs.groupBy("id", "at", "anchor").agg(F.max("l").alias("l"), F.max("r").alias("r"), hits.alias("hits")).where(
         F.col("l") + F.col("r") >= length))
@@ -341,8 +348,10 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     branch = source.groupBy("anchor").agg(F.count("*").alias("pieces"), F.max(F.expr("first = last")).alias("any")).where("pieces > 1 AND any").select("anchor")
     wanted = source.join(branch, "anchor").select(F.col("first")["id"].alias("_id"), F.struct("first.at", "first.start", "first.windows", "anchor", F.expr("first = last").alias("single")).alias("w"))
     asked = docs.join(wanted.groupBy("_id").agg(F.collect_list("w").alias("wanted")), F.col("id") == F.col("_id")).select("id", "text", "wanted")
-    contexts = stored(_contexts(asked, length), "contexts")
-    spans = copied.unionByName(stored(_branch_spans(contexts, length), "spans"))
+    made = _contexts(asked, length)
+    path = written(made, "contexts")
+    contexts = docs.sparkSession.read.schema(made.schema).parquet(path)
+    spans = copied.unionByName(stored(_branch_spans(contexts, path, length), "spans"))
     return spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
