@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.anchors import merged, pieces
-from quarry.llm.common import mix64, pinned, slices, stored, utf8, written
+from quarry.llm.common import mix64, slices, stored, utf8, written
 
 #: Bytes of an anchor.
 GRAM = 16
@@ -295,8 +295,8 @@ def _branch_spans(contexts: DataFrame, path: str, length: int) -> DataFrame:
     """``(id, start, end)`` of what representatives at branches share; ``contexts`` are stored at ``path``."""
     pairs = _neighbours(contexts, path, "right").unionByName(_neighbours(contexts, path, "left"))
     hits = F.collect_list(F.when(F.col("l") + F.col("r") >= length, F.struct("l", "r")))
-    reach = pinned(pairs.groupBy("id", "at", "anchor").agg(F.max("l").alias("l"), F.max("r").alias("r"), hits.alias("hits")).where(
-        F.col("l") + F.col("r") >= length))
+    reach = stored(pairs.groupBy("id", "at", "anchor").agg(F.max("l").alias("l"), F.max("r").alias("r"), hits.alias("hits")).where(
+        F.col("l") + F.col("r") >= length), "reach")
     single = contexts.where("single").select(F.col("id").alias("_id"), F.col("at").alias("_at")).distinct()
     # bytes -l..r are settled when the windows of the pairs follow one another without a gap
     inside = F.aggregate(
@@ -351,7 +351,8 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     made = _contexts(asked, length)
     path = written(made, "contexts")
     contexts = docs.sparkSession.read.schema(made.schema).parquet(path)
-    spans = copied.unionByName(stored(_branch_spans(contexts, path, length), "spans"))
+    # stored one by one, so that their shuffles do not use disk at once
+    spans = stored(copied, "copied").unionByName(stored(_branch_spans(contexts, path, length), "branches"))
     return spans.groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
@@ -361,7 +362,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
         raise ValueError(f"length must be {2 * GRAM} bytes or more")
     cut = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     known = cut.where("id is not null")
-    spans = repeated_spans(known, length).select(F.col("id").alias("_id"), "spans")
+    spans = stored(repeated_spans(known, length).select(F.col("id").alias("_id"), "spans"), "spans")
     joined = known.join(spans, F.col("id") == F.col("_id"), "left").select("id", "text", "spans")
     joined = joined.unionByName(cut.where("id is null"), allowMissingColumns=True)
 
