@@ -2,9 +2,11 @@
 
 Every page is read once, element by element (unclosed and stray tags as browsers treat them,
 truncated pages up to their end).  The scope is the ``article`` elements, else ``main``, else
-the body.  Inside it, elements whose tag, role or class names a menu, header, footer, sidebar,
-notice, advert, form, widget or comments are left out, as are scripts, styles and hidden
-elements.
+the body.  Inside it, elements whose tag, role or whole class name or id is that of a menu,
+header, footer, sidebar, notice, advert, form, widget or comments are left out, as are scripts,
+styles and hidden elements.  Parts of a compound name decide nothing, and neither do the ids of
+headings, of sections and of elements inside an article or main.  If every article (else main)
+is inside elements so left out, these are read after all, unless the text outside is longer.
 
 What is left of a site's template is found by recurrence: each container element in scope
 (``div``, ``section``, lists, tables; outside an article every block) is hashed as a subtree
@@ -24,6 +26,7 @@ very long page is read whole.  An empty table gives no rows; only id, url and ht
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 
 import pyarrow as pa
@@ -37,7 +40,6 @@ from quarry.llm.url_rules import host_of
 _TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))|<[!?/][^>]*(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.S)
-_NAMES = re.compile(r"[a-z0-9]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -52,52 +54,79 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
 
 SKIPPED = frozenset("nav footer aside form button select dialog menu template svg object canvas audio video datalist".split()) | RAW
 SKIPPED_OUTSIDE = frozenset({"header"})
+#: Never shown as text, even around an article.
+HARD = frozenset("button select template svg object canvas audio video datalist head".split()) | RAW
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
+#: Whole class names and ids, as a supplement of the recurrence counts.
 CLASSES = frozenset((
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices "
     "popup modal overlay newsletter subscribe subscription signup paywall sidebar sidenav menu nav navbar navigation breadcrumb breadcrumbs "
     "pagination pager footer comment comments commentlist reply replies respond disqus related recommended share sharing social widget "
-    "toolbar masthead login search skip toc").split())
-CLASSES_OUTSIDE = frozenset({"header"})
+    "toolbar masthead login search skip toc "
+    "ad-banner ad-box ad-container ad-slot ad-unit banner-ad cookie-banner cookie-bar cookie-consent cookie-notice comment-list comment-respond "
+    "comments-area disqus_thread main-menu main-nav main-navigation nav-links nav-menu newsletter-signup page-footer post-navigation "
+    "related-articles related-posts share-buttons side-bar site-footer site-nav site-navigation site-sidebar skip-link social-links "
+    "social-share widget-area").split())
+CLASSES_OUTSIDE = frozenset("header page-header site-header".split())
 
 
-def _is_side(tag: str, attrs: str, in_article: bool) -> bool:
+def _is_side(tag: str, attrs: str, in_article: bool, in_main: bool = False) -> bool:
     """Whether an element is not part of the main text by its role."""
     if tag in SKIPPED or (tag in SKIPPED_OUTSIDE and not in_article):
         return True
     if tag in ("html", "body", "article", "main") or "=" not in attrs and "hidden" not in attrs.lower():
         return False
+    by_id, section = False, in_article or in_main or tag == "section" or tag in HEADINGS
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id"):
-            names = set(_NAMES.findall(value))
-            if names & CLASSES or (not in_article and names & CLASSES_OUTSIDE):
+            names = set(value.split())
+            listed = bool(names & CLASSES or (not in_article and names & CLASSES_OUTSIDE))
+            if name == "id":  # ids of headings and sections are made from their titles
+                by_id |= listed
+            elif listed:
                 return True
+            else:
+                section |= "section" in names
         elif name == "role" and value.strip() in ROLES:
             return True
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-    return False
+    return by_id and not section
+
+
+def _chars(blocks: list[tuple[str, list[int]]]) -> int:
+    return sum(len(line) for line, _ in blocks)
 
 
 class Page:
     """Blocks of the main text and, per block, the hashes of the containers around it."""
 
     def __init__(self, source: str):
-        found = self._read(source)
+        found, wrappers = self._read(source, frozenset())
+        if wrappers:  # every article is inside an element left out: is it the page's text?
+            more, _ = self._read(source, wrappers)
+            if _chars(more["article"] or more["main"]) >= _chars(found["main"] or found["body"]):
+                found = more
         scope = "article" if found["article"] else "main" if found["main"] else "body"
         chosen = found[scope]
         self.blocks = [b for b, _ in chosen]
         self.under = [u for _, u in chosen]
 
-    def _read(self, source: str) -> dict[str, list[tuple[str, list[int]]]]:
+    def _read(self, source: str, exempt: frozenset[int]) -> tuple[dict[str, list[tuple[str, list[int]]]], frozenset[int]]:
+        """Blocks by scope, and the left-out elements around the articles (or mains) if none is outside such
+        elements; ``exempt`` elements (by number) are not left out."""
         out: dict[str, list] = {"article": [], "main": [], "body": []}
-        stack: list[list] = []  # tag, side, articles open, mains open, first token, first block (None: no container)
+        stack: list[list] = []  # tag, side, articles open, mains open, first token, first block (None: no container), number
         tokens: list = []
         blocks: list[tuple[str, list[int], bool, bool]] = []
         text: list[str] = []
         side = articles = mains = 0
         has_article = has_main = False
+        number = 0
+        held: dict[str, list[list[int]]] = {"article": [], "main": []}  # left-out elements around articles and mains
+        level = {"article": math.inf, "main": math.inf}
 
         def flush():
             if text:
@@ -109,7 +138,7 @@ class Page:
 
         def close():
             nonlocal side, articles, mains
-            tag, was_side, token, first = stack.pop()
+            tag, was_side, token, first, _ = stack.pop()
             if tag in BLOCKS:
                 flush()
             side -= was_side
@@ -158,9 +187,10 @@ class Page:
                 end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(source, at)
                 at = n if not end else (source.find(">", end.start()) + 1 or n)
                 continue
-            if tag == "head":  # nothing in it is text
-                pass
-            own = _is_side(tag, m[3], articles > 0) or tag == "head"
+            own = _is_side(tag, m[3], articles > 0, mains > 0) or tag == "head"  # nothing in a head is text
+            number += 1
+            if number in exempt:
+                own = False
             if tag == "body" and any(e[0] == "head" for e in stack):
                 while any(e[0] == "head" for e in stack):
                     close()
@@ -169,9 +199,13 @@ class Page:
             if not side:
                 has_article |= tag == "article" and not own
                 has_main |= tag == "main" and not own
+            elif tag in held and not any(e[1] and e[0] in HARD for e in stack):
+                around = [e[4] for e in stack if e[1]]
+                level[tag] = min(level[tag], len(around))
+                held[tag].append(around[:level[tag]])
             counted = not side and not own and tag in BLOCKS and (tag in CONTAINERS or not articles and tag not in ("html", "body", "main"))
             side += own
-            stack.append([tag, own, len(tokens) if not side else None, len(blocks) if counted else None])
+            stack.append([tag, own, len(tokens) if not side else None, len(blocks) if counted else None, number])
         while stack:
             close()
         flush()
@@ -183,7 +217,10 @@ class Page:
                 out["main"].append((line, under))
         if has_article and not out["article"]:
             out["body"] = out["main"] = []
-        return out
+        if has_article or has_main and not held["article"]:
+            return out, frozenset()
+        tag = "article" if held["article"] else "main"
+        return out, frozenset(e for around in held[tag] for e in around[:level[tag]])
 
     @staticmethod
     def _close_implied(stack, tag, closes, scope, close):

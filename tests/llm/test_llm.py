@@ -283,6 +283,18 @@ def test_main_text(spark):
     assert [got[k] for k in range(200, 207)] == ["", "", "a\nb <c>\nd", "cut &am", "plain & text", "kept", "m"]
 
 
+def test_main_text_keeps_compound_names_and_wrappers():
+    def text(source):
+        return "\n".join(site_template.Page(source).blocks)
+    assert text('<article><section id="social-history"><h2 id="related-work">R</h2><p>a</p></section><h2 id="search">S</h2></article>') == "R\na\nS"
+    assert text('<main><section id="comments"><h2 id="toc">S</h2></section></main><div id="sidebar">x</div>') == "S"
+    for wrapper in ('div class="layout has-sidebar"', 'div class="page no-comments"', 'div class="overlay"', 'form id="form1"'):
+        assert text(f'<body><nav>n</nav><{wrapper}><article><p>a</p><div class="ad">b</div></article><div class="comments"><article>c</article></div>') == "a"
+    assert text('<main><div class="sidebar"><article><p>a</p></article></div></main>') == "a"
+    assert text('<p>long prose of the page</p><div class="related"><article>short</article></div>') == "long prose of the page"
+    assert text('<article><p>a</p><div class="site-footer">f</div></article>') == "a"
+
+
 def test_pipeline_stages(spark, docs):
     kept = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
