@@ -8,13 +8,19 @@ styles and hidden elements.  Parts of a compound name decide nothing, and neithe
 headings, of sections and of elements inside an article or main.  If every article (else main)
 is inside elements so left out, these are read after all, unless the text outside is longer.
 
-What is left of a site's template is found by recurrence: each container element in scope
-(``div``, ``section``, lists, tables; outside an article every block) is hashed as a subtree
-(tags and text), the subtrees are counted per host in Spark, once per distinct page, and a
-subtree that recurs on ``min_pages`` distinct pages and on ``min_share`` of the host's
-distinct pages is deleted.  Distinct means different main text, so a group of copies of one
-page counts once and copied articles survive.  Headings and paragraphs of an article are
-prose and are never deleted by recurrence, only with a container around them.
+What is left of a site's template is found by recurrence: each block element in scope is
+hashed as a subtree (tags and text), and the subtrees are counted per host in Spark, once per
+distinct page.  Distinct means different main text, so a group of copies of one page counts once
+and copied articles survive.  A subtree that recurs on ``min_pages`` distinct pages and on
+``min_share`` of the host's distinct pages is a template candidate.  Then
+
+* containers (``div``, ``section``, lists, tables, ...) are deleted;
+* paragraphs and the other blocks are deleted if the rest of their pages differs: there are
+  ``min_pages`` different rests among pages where the blocks that do not recur are most of the
+  other blocks or most of the text.  So paragraphs of copies with small edits survive;
+* a heading is deleted if so is all text up to the next heading;
+* parts of a list or table inside an article or main (``li``, ``td``, ... and what is in them)
+  go only with a container: equal cells and items are common in different tables.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks
 are trimmed, empty ones dropped, and the rest joined by one line feed in page order.
@@ -28,6 +34,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 import xxhash
@@ -47,6 +54,9 @@ BLOCKS = frozenset(("address article aside blockquote body caption center dd det
                     "form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot "
                     "th thead tr ul").split())
 CONTAINERS = frozenset("aside details div dl figure ol section table ul".split())
+PARTS = frozenset("caption dd dt legend li option summary tbody td tfoot th thead tr".split())
+#: The kinds of counted subtrees, the lowest two bits of their hashes.
+CONTAINER, PROSE, HEADING = 0, 1, 2
 #: What a start tag closes, up to the given scope.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -101,7 +111,7 @@ def _chars(blocks: list[tuple[str, list[int]]]) -> int:
 
 
 class Page:
-    """Blocks of the main text and, per block, the hashes of the containers around it."""
+    """Blocks of the main text and, per block, the hashes of the counted subtrees around it."""
 
     def __init__(self, source: str):
         found, wrappers = self._read(source, frozenset())
@@ -118,11 +128,11 @@ class Page:
         """Blocks by scope, and the left-out elements around the articles (or mains) if none is outside such
         elements; ``exempt`` elements (by number) are not left out."""
         out: dict[str, list] = {"article": [], "main": [], "body": []}
-        stack: list[list] = []  # tag, side, articles open, mains open, first token, first block (None: no container), number
+        stack: list[list] = []  # tag, side, articles open, mains open, first token, first block (None: not counted), kind, part, number
         tokens: list = []
         blocks: list[tuple[str, list[int], bool, bool]] = []
         text: list[str] = []
-        side = articles = mains = 0
+        side = articles = mains = parts = 0
         has_article = has_main = False
         number = 0
         held: dict[str, list[list[int]]] = {"article": [], "main": []}  # left-out elements around articles and mains
@@ -137,11 +147,12 @@ class Page:
                     tokens.append(line)
 
         def close():
-            nonlocal side, articles, mains
-            tag, was_side, token, first, _ = stack.pop()
+            nonlocal side, articles, mains, parts
+            tag, was_side, token, first, kind, was_part, _ = stack.pop()
             if tag in BLOCKS:
                 flush()
             side -= was_side
+            parts -= was_part
             articles -= tag == "article"
             mains -= tag == "main"
             if not side and token is not None:
@@ -150,7 +161,7 @@ class Page:
                 tokens.append(digest)
                 if first is not None:
                     for b in blocks[first:]:
-                        b[1].append(digest)
+                        b[1].append(digest >> 2 << 2 | kind)
 
         at, n = 0, len(source)
         while at < n:
@@ -200,12 +211,15 @@ class Page:
                 has_article |= tag == "article" and not own
                 has_main |= tag == "main" and not own
             elif tag in held and not any(e[1] and e[0] in HARD for e in stack):
-                around = [e[4] for e in stack if e[1]]
+                around = [e[-1] for e in stack if e[1]]
                 level[tag] = min(level[tag], len(around))
                 held[tag].append(around[:level[tag]])
-            counted = not side and not own and tag in BLOCKS and (tag in CONTAINERS or not articles and tag not in ("html", "body", "main"))
+            part = tag in PARTS and (articles > 0 or mains > 0)
+            parts += part
+            counted = not side and not own and tag in BLOCKS and (tag in CONTAINERS or not parts and tag not in ("html", "body", "main", "article"))
+            kind = CONTAINER if tag in CONTAINERS else HEADING if tag in HEADINGS else PROSE
             side += own
-            stack.append([tag, own, len(tokens) if not side else None, len(blocks) if counted else None, number])
+            stack.append([tag, own, len(tokens) if not side else None, len(blocks) if counted else None, kind, part, number])
         while stack:
             close()
         flush()
@@ -235,7 +249,7 @@ class Page:
 
 
 def parse(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``(id, url, host, blocks, under, sig)``; ``under`` has the container hashes of each block,
+    """``(id, url, host, blocks, under, sig)``; ``under`` has the hashes of the counted subtrees of each block,
     ``sig`` hashes the whole text."""
     cut = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
 
@@ -255,28 +269,86 @@ def parse(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
 
 
 def recurring(seen: DataFrame, min_pages: int = 10, min_share: float = 0.02) -> DataFrame:
-    """``(host, subtree)`` that recur on many distinct pages of their host, from ``(host, sig, subtrees)`` rows."""
-    distinct = seen.groupBy("host", "sig").agg(F.first("subtrees").alias("subtrees"))
-    pages = distinct.groupBy("host").agg(F.count("*").alias("pages"))
-    counted = distinct.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    """``(host, subtree)`` that recur on many distinct pages of their host, from distinct ``(host, sig, under)`` rows."""
+    pages = seen.groupBy("host").agg(F.count("*").alias("pages"))
+    counted = _subtrees(seen).groupBy("host", "subtree").agg(F.count("*").alias("n"))
     return counted.where(F.col("n") >= min_pages).join(pages, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "subtree")
 
 
+def _subtrees(seen: DataFrame) -> DataFrame:
+    return seen.select("host", "sig", F.explode(F.array_distinct(F.flatten("under"))).alias("subtree"))
+
+
+def _of_pages(seen: DataFrame, subtrees: DataFrame, name: str) -> DataFrame:
+    """``(host, sig, name)``: which of the ``subtrees`` a page has, for pages that have any."""
+    return _subtrees(seen).join(subtrees, ["host", "subtree"]).groupBy("host", "sig").agg(F.collect_set("subtree").alias(name))
+
+
+def rests(under: list[list[int]], sizes: list[int], prints: list[int], often: set[int]) -> tuple[list[int], int]:
+    """Subtrees of a page, no containers, beside which most of the page does not recur, and the hash of what does not."""
+    live = [k for k, u in enumerate(under) if not any(h & 3 == CONTAINER and h in often for h in u)]
+    held = {k: [h for h in under[k] if h in often] for k in live}
+    own = [k for k in live if not held[k]]
+    chars, most = sum(sizes[k] for k in own), sum(sizes[k] for k in live)
+    n = Counter(h for k in live for h in set(held[k]))
+    out = [h for h, blocks in n.items() if own and (2 * len(own) > len(live) - blocks or 2 * chars > most)]
+    return out, xxhash.xxh64_intdigest(" ".join(str(prints[k]) for k in own)) >> 1
+
+
+def differing(seen: DataFrame, often: DataFrame, min_pages: int = 10) -> DataFrame:
+    """``(host, subtree)`` of the recurring paragraphs, headings, ... whose pages differ in the rest."""
+    some = seen.join(_of_pages(seen, often, "often"), ["host", "sig"]).where(F.exists("often", lambda h: h.bitwiseAND(F.lit(3)) != CONTAINER))
+
+    def run(batches):
+        for batch in batches:
+            rows = [(host, h, rest) for host, under, sizes, prints, often in zip(*[batch.column(c).to_pylist() for c in names])
+                    for found, rest in [rests(under, sizes, prints, set(often))] for h in found]
+            cols = list(zip(*rows)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64()))], names=["host", "subtree", "rest"])
+
+    names = ["host", "under", "sizes", "prints", "often"]
+    found = some.select(*names).mapInArrow(run, "host string, subtree bigint, rest bigint")
+    return found.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "subtree")
+
+
+def kept_blocks(under: list[list[int]], bad: set[int]) -> list[bool]:
+    """Which blocks stay when the subtrees ``bad`` are deleted."""
+    keep = [not any(h & 3 != HEADING and h in bad for h in u) for u in under]
+    k = len(under)
+    text = stays = False  # of the section after block k: whether it has text, and any that stays
+    while k:
+        k -= 1
+        titles = [h for h in under[k] if h & 3 == HEADING]
+        if titles:
+            keep[k] = keep[k] and not (text and not stays and any(h in bad for h in titles))
+            text = stays = False
+        else:
+            text, stays = True, stays or keep[k]
+    return keep
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 10,
               min_share: float = 0.02) -> DataFrame:
     """``(id, url, text, n_chars, n_removed_blocks)`` for every page."""
     parsed = parse(pages, id_col, url_col, html_col)
-    tagged = F.size(F.flatten("under")) > 0
-    whole = parsed.where(~tagged).select("id", "url", F.array_join("blocks", "\n").alias("text"), F.lit(0).cast("long").alias("n_removed_blocks"))
-    # only pages with a container around some of their text need their host's counts
-    open_ = parsed.where(tagged)
-    seen = pinned(parsed.select("host", "sig", F.array_distinct(F.flatten("under")).alias("subtrees")))
-    own = seen.select("host", "sig", F.explode("subtrees").alias("subtree")).distinct()
-    bad = own.join(recurring(seen, min_pages, min_share), ["host", "subtree"]).groupBy("host", "sig").agg(F.collect_set("subtree").alias("bad"))
-    joined = open_.join(bad, ["host", "sig"], "left").withColumn("bad", F.coalesce("bad", F.array().cast("array<bigint>")))
-    kept = F.filter(F.arrays_zip("blocks", "under"), lambda x: ~F.arrays_overlap(x["under"], F.col("bad")))
-    cleaned = joined.withColumn("kept", kept).select(
-        "id", "url", F.array_join(F.col("kept")["blocks"], "\n").alias("text"),
-        (F.size("blocks") - F.size("kept")).cast("long").alias("n_removed_blocks"))
-    out = whole.unionByName(cleaned)
+    read = parsed.where(F.size(F.flatten("under")) > 0).select(
+        "host", "sig", "under", F.transform("blocks", lambda b: F.length(b)).alias("sizes"), F.transform("blocks", lambda b: F.xxhash64(b)).alias("prints"))
+    seen = pinned(read.groupBy("host", "sig").agg(*[F.first(c).alias(c) for c in ("under", "sizes", "prints")]))
+    often = pinned(recurring(seen, min_pages, min_share))
+    containers = often.where(F.col("subtree").bitwiseAND(F.lit(3)) == CONTAINER)
+    bad = pinned(containers.unionByName(differing(seen, often, min_pages)))
+    joined = parsed.join(pinned(_of_pages(seen, bad, "bad")), ["host", "sig"], "left")
+
+    def run(batches):
+        for batch in batches:
+            texts, gone = [], []
+            for blocks, under, bad in zip(*[batch.column(c).to_pylist() for c in ("blocks", "under", "bad")]):
+                left = [b for b, k in zip(blocks, kept_blocks(under, set(bad))) if k] if bad else blocks
+                texts.append("\n".join(left))
+                gone.append(len(blocks) - len(left))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(gone, pa.int64())],
+                                             names=["id", "url", "text", "n_removed_blocks"])
+
+    kind = joined.schema["id"].dataType.simpleString()
+    out = joined.select("id", "url", "blocks", "under", "bad").mapInArrow(run, f"id {kind}, url string, text string, n_removed_blocks bigint")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"), "n_removed_blocks")

@@ -295,6 +295,20 @@ def test_main_text_keeps_compound_names_and_wrappers():
     assert text('<article><p>a</p><div class="site-footer">f</div></article>') == "a"
 
 
+def test_recurring_paragraphs(spark):
+    notice, cells = "<h2>Terms</h2><p>All our offers end at midnight.</p>", "<table><tr><td><p>0<td>yes</table>"
+    rows = [(i, "http://a.org/x", f"<article><h1>Title {i}</h1><p>News {i} of the day<h2>More</h2>{notice}{cells[:-8]}<td>{i}</table></article>")
+            for i in range(12)]
+    rows += [(100 + i, "http://b.org/x", f"<article><h1>One story</h1><p>It is told again and again.<p>By many.<p>{i}</article>") for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    got = {r["page_id"]: (r["text"], r["n_removed_blocks"]) for r in site_template.main_text(pages).collect()}
+    assert got[3] == ("Title 3\nNews 3 of the day\nMore\nTerms\n0\nyes\n3", 1)  # the notice; Terms has a table under it
+    assert got[105] == ("One story\nIt is told again and again.\nBy many.\n5", 0)  # copies with a small change
+    rows = [(i, "http://a.org/x", f"<article><h1>Title {i}</h1><p>News {i} of the day<h2>More</h2><p>Text {i}{notice}</article>") for i in range(12)]
+    got = {r["page_id"]: r["text"] for r in site_template.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got[3] == "Title 3\nNews 3 of the day\nMore\nText 3"
+
+
 def test_pipeline_stages(spark, docs):
     kept = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
