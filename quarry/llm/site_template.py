@@ -11,8 +11,8 @@ is inside elements so left out, these are read after all, unless the text outsid
 What is left of a site's template is found by recurrence: each block element in scope is
 hashed as a subtree (tags and text), and the subtrees are counted per host in Spark, once per
 distinct page.  Distinct means different main text, so a group of copies of one page counts once
-and copied articles survive.  A subtree that recurs on ``min_pages`` distinct pages and on
-``min_share`` of the host's distinct pages is a template candidate.  Then
+and copied articles survive.  A subtree that recurs on ``min_pages`` distinct pages is a template
+candidate, however many other pages the host has.  Then
 
 * containers (``div``, ``section``, lists, tables, ...) are deleted;
 * paragraphs and the other blocks are deleted if the rest of their pages differs: there are
@@ -268,11 +268,9 @@ def parse(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     return cut.mapInArrow(run, f"id {kind}, url string, host string, blocks array<string>, under array<array<bigint>>, sig bigint")
 
 
-def recurring(seen: DataFrame, min_pages: int = 10, min_share: float = 0.02) -> DataFrame:
+def recurring(seen: DataFrame, min_pages: int = 10) -> DataFrame:
     """``(host, subtree)`` that recur on many distinct pages of their host, from distinct ``(host, sig, under)`` rows."""
-    pages = seen.groupBy("host").agg(F.count("*").alias("pages"))
-    counted = _subtrees(seen).groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    return counted.where(F.col("n") >= min_pages).join(pages, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "subtree")
+    return _subtrees(seen).groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "subtree")
 
 
 def _subtrees(seen: DataFrame) -> DataFrame:
@@ -327,14 +325,13 @@ def kept_blocks(under: list[list[int]], bad: set[int]) -> list[bool]:
     return keep
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 10,
-              min_share: float = 0.02) -> DataFrame:
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = 10) -> DataFrame:
     """``(id, url, text, n_chars, n_removed_blocks)`` for every page."""
     parsed = parse(pages, id_col, url_col, html_col)
     read = parsed.where(F.size(F.flatten("under")) > 0).select(
         "host", "sig", "under", F.transform("blocks", lambda b: F.length(b)).alias("sizes"), F.transform("blocks", lambda b: F.xxhash64(b)).alias("prints"))
     seen = pinned(read.groupBy("host", "sig").agg(*[F.first(c).alias(c) for c in ("under", "sizes", "prints")]))
-    often = pinned(recurring(seen, min_pages, min_share))
+    often = pinned(recurring(seen, min_pages))
     containers = often.where(F.col("subtree").bitwiseAND(F.lit(3)) == CONTAINER)
     bad = pinned(containers.unionByName(differing(seen, often, min_pages)))
     joined = parsed.join(pinned(_of_pages(seen, bad, "bad")), ["host", "sig"], "left")

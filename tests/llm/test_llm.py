@@ -309,6 +309,16 @@ def test_recurring_paragraphs(spark):
     assert got[3] == "Title 3\nNews 3 of the day\nMore\nText 3"
 
 
+def test_recurrence_is_independent_of_the_size_of_the_host(spark):
+    def page(i, box):
+        return (i, "http://a.org/x", f"<article><h1>Title {i}</h1><p>News {i}{box}</article>")
+    rows = [page(i, "<div><p>Read our section</div>") for i in range(10)] + [page(i, "") for i in range(10, 700)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for some in (pages.where("page_id < 20"), pages):
+        got = {r["page_id"]: r["text"] for r in site_template.main_text(some).collect()}
+        assert got[3] == "Title 3\nNews 3"
+
+
 def test_pipeline_stages(spark, docs):
     kept = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
