@@ -6,8 +6,9 @@ Base kinds (white space is not part of any value):
 * ``access``: ``AKIA`` key ids of twenty characters or more;
 * ``hex``: runs of 24 lower-case hexadecimal digits or more.
 
-The method's kind, ``guess``, looks at the value after a wider set of credential names
-(``pwd:``, ``passphrase is``, quoted values with symbols, ...).  A dynamic program finds the
+The method's kind, ``guess``, looks at the value after any name that holds a credential word
+(``pwd:``, ``passphrase is``, ``DB_PASS=``, ``AWS_SECRET_ACCESS_KEY =``, quoted values with symbols,
+...), with any run of spaces and tabs around the separator.  A dynamic program finds the
 cheapest way to guess the value: it is cut into dictionary words (plain, capitalised or with
 digits for letters), dates, repeats, keyboard walks and brute-force spans, each with its
 log10 number of guesses, and the sum is least over all cuts.  A repeat is a block of up to
@@ -26,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,10 +42,14 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 _ASSIGN_NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _IS_HEX = bytes(1 if c in b"0123456789abcdef" else 0 for c in range(256))
 
-#: Contexts of the guess kind: a name, then ``:``, ``=`` or ``is``, then a quoted value or a run.
-CONTEXT = re.compile(
-    r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?|auth)\b"""
-    r"""["']?\x20{0,8}(?:[:=]|\x20is\x20)\x20{0,8}(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"']{6,}))""", re.I | re.A)
+#: Contexts of the guess kind: a name that holds a credential word, then ``:``, ``=`` or ``is``, then a
+#: quoted value or a run.  ``pass``, ``key`` and ``auth`` end a part of the name (not ``passage``, ``keyboard``, ``author``).
+_CORE = re.compile(r"(password|passwd|passphrase|passcode|pwd|secret(?!ar|ion|iv)|token(?!i[sz])|credential)|"
+                   r"(?:pass|keys?|auth)(?:(?![a-z])|(?-i:(?<=[a-z])(?=[A-Z])))", re.I | re.A)
+_NAME_END = re.compile(r"[\w.-]*+", re.A)
+_SEPARATOR = re.compile(r"""["']?\]?(?:[ \t]*+(?::=|=>|={1,3}|:)|[ \t]++(is)(?=[ \t]))[ \t]*+""", re.I)
+_VALUE = re.compile(r""""([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"']{6,})""")
+_KEY_OF = re.compile(r"(?:api|access|private|secret|encryption|signing)[ \t]?\Z", re.I | re.A)
 _CONTEXT_NAMES = (b"pass", b"pwd", b"secret", b"token", b"key", b"credential", b"auth")
 
 #: Common password words, most frequent first (the rank is the cost).
@@ -133,13 +138,34 @@ def base_spans(text: str, raw: bytes | None = None) -> list[tuple[str, int, int]
     return out
 
 
+def contexts(text: str) -> Iterator[re.Match]:
+    """Values after a credential name.  The text is read once from left to right, however long its names are."""
+    at = 0
+    while core := _CORE.search(text, at):
+        start, end = core.span()
+        at = _NAME_END.match(text, end).end()
+        sign = _SEPARATOR.match(text, at)
+        if not sign:
+            continue
+        if sign[1] and not core[1]:  # prose: "the bypass is", "the key is"
+            before, of = text[start - 1] if start else " ", _KEY_OF.search(text, max(0, start - 12), start)
+            if before.isascii() and before.isalpha() and not of and not (before.islower() and text[start].isupper()):
+                continue
+            if core[0].lower() in ("key", "keys") and end == at and not (before in "_.-" or before.isalnum() or of):
+                continue
+        value = _VALUE.match(text, sign.end())
+        if value:
+            yield value
+            at = value.end()
+
+
 def guess_spans(text: str, cost: GuessCost, min_log10: float, raw: bytes | None = None) -> list[tuple[str, int, int]]:
     """Values in a credential context that are dear to guess; closing punctuation is cut off."""
     lower = (text.encode() if raw is None else raw).lower()
     if not any(name in lower for name in _CONTEXT_NAMES):
         return []
     out = []
-    for m in CONTEXT.finditer(text):
+    for m in contexts(text):
         start, end = m.span(m.lastindex)
         if m.lastindex == 3:
             while end > start and text[end - 1] in ".,;:!?)]}>":

@@ -94,6 +94,20 @@ def test_secret_spans(spark):
     assert "b7db7aa4a5" not in red and "[assign]" in red
 
 
+def test_credential_names():
+    def values(text):
+        return [m[m.lastindex] for m in secrets.contexts(text)]
+    found = {"AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG": "wJalrXUtnFEMI/K7MDENG", "SECRET_KEY='a1#b2$c3%'": "a1#b2$c3%", "DB_PASS=x7!Kq2#z": "x7!Kq2#z",
+             'db_password="p@ss#W0rd!9"': "p@ss#W0rd!9", "MY_PWD: Zk8#qT!9": "Zk8#qT!9", "password" + " " * 30 + "=\t\tZk8#qT!9": "Zk8#qT!9",
+             "dbPassword = Zk8#qT!9": "Zk8#qT!9", "PGPASSWORD=Zk8#qT!9": "Zk8#qT!9", "authKey: Zk8#qT!9": "Zk8#qT!9", "token_v2\tis\tZk8#qT!9": "Zk8#qT!9",
+             'os.environ["DB_PASS"] = "Zk8#qT!9"': "Zk8#qT!9", "the api key is Zk8#qT!9": "Zk8#qT!9", "apikey is Zk8#qT!9": "Zk8#qT!9", "passphrase is Zk8#qT!9": "Zk8#qT!9"}
+    assert {t: values(t) for t in found} == {t: [v] for t, v in found.items()}
+    for text in ("author: Johannes", "the key is understanding", "keyboard: mechanical", "a passage is something", "secretary: Johannes", "monkey is something"):
+        assert values(text) == []
+    assert values("keykey" * 100_000) == [] and values("pass_" * 100_000 + "=Zk8#qT!9") == ["Zk8#qT!9"]  # linear
+    assert secrets.guess_spans('db_password="p@ss#W0rd!9"', secrets.GuessCost(), 9.0) == [("guess", 13, 24)]
+
+
 def brute_components(prints, bits):
     parent = {i: i for i in prints}
 
