@@ -11,15 +11,19 @@ The method's kind, ``guess``, looks at the value after any name that holds a cre
 ...), with any run of spaces and tabs around the separator.  A dynamic program finds the
 cheapest way to guess the value: it is cut into dictionary words (plain, capitalised or with
 digits for letters), dates, repeats, keyboard walks and brute-force spans, each with its
-log10 number of guesses, and the sum is least over all cuts.  A repeat is a block of up to
+log10 number of guesses, and the sum is least over all cuts.  The dictionary is a short list of
+password words and, per language, the words of the documents themselves, ranked by a Spark word
+count (``dictionary``: 20,000 words a language at most; values of credential names and words of
+a single text are not counted).  A repeat is a block of up to
 ``LONGEST_BLOCK`` characters written twice or more (a single one three times); repeats and walks
 reach as far back as they go.  A value that needs
 ``min_log10`` or more is a secret; cheap values (``password: changeme``) are not reported by
 this kind.  The program is linear in the length of the value (pieces are bounded, repeats
 and walks are extended step by step), so a very long value is handled whole.
 
-Offsets are code points, ends exclusive.  Null and empty texts have no spans.  Repeated rows
-get equal answers, an empty table none; columns beyond id and text are ignored.
+The answer for a text thus depends on the table it is in.  Offsets are code points, ends
+exclusive.  Null and empty texts have no spans.  Repeated rows
+get equal answers, an empty table none; columns beyond id, text and language are ignored.
 """
 
 from __future__ import annotations
@@ -30,9 +34,12 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.llm.common import stored
+
 KINDS = ("assign", "access", "hex", "guess")
 
 #: Fixed patterns of the base kinds.
@@ -52,7 +59,7 @@ _VALUE = re.compile(r""""([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"']{6,})""")
 _KEY_OF = re.compile(r"(?:api|access|private|secret|encryption|signing)[ \t]?\Z", re.I | re.A)
 _CONTEXT_NAMES = (b"pass", b"pwd", b"secret", b"token", b"key", b"credential", b"auth")
 
-#: Common password words, most frequent first (the rank is the cost).
+#: Common password words, most frequent first (the rank is the cost); beside the counted dictionary.
 WORDS = ("password 123456 qwerty letmein welcome admin monkey dragon master login princess sunshine football baseball "
          "shadow superman michael secret summer winter spring autumn hello freedom whatever trustno1 hunter batman "
          "test guest root user default changeme access love money computer internet service server system manager "
@@ -64,6 +71,10 @@ WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqr
 #: Longest block whose repetition is looked for.
 LONGEST_BLOCK = 8
 _LEET = str.maketrans("@431!0$57", "aaeiiosst")
+#: Longest word of the dictionary.
+LONGEST_WORD = 24
+_WORD = re.compile(r"[^\W\d_]+")
+_TEXT_NAMES = tuple(name.decode() for name in _CONTEXT_NAMES)
 _DATE = re.compile(r"(?:(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01]))|"
                    r"(?:(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d)|(?:(?:19|20)\d\d)")
 
@@ -71,8 +82,12 @@ _DATE = re.compile(r"(?:(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[1
 class GuessCost:
     """log10 guesses of the cheapest segmentation of a value."""
 
-    def __init__(self, words: Sequence[str] = WORDS):
-        self.rank = {w: i + 1 for i, w in reversed(list(enumerate(words)))}
+    def __init__(self, words: Sequence[str] = WORDS, *more: Sequence[str]):
+        """Ranked words, most frequent first; a word of several lists has its best rank."""
+        self.rank: dict[str, int] = {}
+        for ranked in (words, *more):
+            for i, w in enumerate(ranked, 1):
+                self.rank[w] = min(i, self.rank.get(w, i))
         self.longest = max(map(len, self.rank), default=0)
         self.next: dict[str, set[str]] = {}
         for row in WALKS:
@@ -191,18 +206,70 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
     return "".join(out) + text[at:]
 
 
+def _words(text: str) -> set[str]:
+    """Lower-case words of a text, without the values of credential names."""
+    parts, at = [], 0
+    if any(name in text.lower() for name in _TEXT_NAMES):
+        for m in contexts(text):
+            parts.append(text[at:m.start()])
+            at = m.end()
+    parts.append(text[at:])
+    return {w for p in parts for w in map(str.lower, _WORD.findall(p)) if 3 <= len(w) <= LONGEST_WORD}
+
+
+def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", top: int = 20_000, languages: int = 64) -> list[list[str]]:
+    """Ranked words per language, counted from the documents: by how many documents use a word, those
+    of two different texts at least.  At most ``top`` words of each of the ``languages`` with most
+    words reach the driver (a rank whose ties pass the bound is left out whole)."""
+    lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
+
+    def count(batches):
+        for batch in batches:
+            found: dict[tuple, list[int]] = {}
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                sig = xxhash.xxh64_intdigest(text.encode()) >> 1
+                for w in _words(text):
+                    seen = found.setdefault((lang, w), [0, sig, sig])
+                    seen[0] += 1
+                    seen[1], seen[2] = min(seen[1], sig), max(seen[2], sig)
+            keys = list(found)
+            n, low, high = zip(*found.values()) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), *[pa.array(c, pa.int64()) for c in (n, low, high)]],
+                names=["lang", "word", "n", "low", "high"])
+
+    texts = docs.select(lang.alias("lang"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    counted = texts.mapInArrow(count, "lang string, word string, n bigint, low bigint, high bigint")
+    counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    counted = stored(counted.where("low <> high").select("lang", "word", "n"), "words")
+    largest = [r["lang"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()]
+    cells = counted.groupBy("lang", "n").agg(F.count("*").alias("words"))
+    below = F.sum("words").over(Window.partitionBy("lang").orderBy(F.desc("n")))
+    least = {r["lang"]: r["n"] for r in cells.withColumn("upto", below).where(F.col("upto") <= top).groupBy("lang").agg(F.min("n").alias("n")).collect()}
+    bound = F.lit(False)
+    for x in largest:
+        if x in least:
+            bound |= F.col("lang").eqNullSafe(F.lit(x)) & (F.col("n") >= least[x])
+    ranked: dict[str | None, list[str]] = {}
+    for r in sorted(counted.where(bound).collect(), key=lambda r: (-r["n"], r["word"])):
+        ranked.setdefault(r["lang"], []).append(r["word"])
+    return list(ranked.values())
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), min_log10: float = 9.0,
-         words: Sequence[str] = WORDS, redact: bool = False) -> DataFrame:
+         words: Sequence[str] = WORDS, redact: bool = False, lang_col: str = "lang", top: int = 20_000) -> DataFrame:
     """``(id, keep..., n_assign, n_access, n_hex, base_sha256, spans, n_guess)``, and with
-    ``redact`` the ``redacted`` text (null stays null)."""
+    ``redact`` the ``redacted`` text (null stays null).  The dictionary is counted first, per ``lang_col``
+    if there is one."""
+    more = dictionary(docs, text_col, lang_col if lang_col in docs.columns else None, top)
+    held = docs.sparkSession.sparkContext.broadcast([tuple(words), *more])
     kept = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(k) for k in keep])
     names = ["_id", *keep, "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"] + ["redacted"] * redact
     schema = ", ".join([f"`_id` {kept.schema['_id'].dataType.simpleString()}", *[f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in keep],
                         "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_guess bigint"] + ["redacted string"] * redact)
-    words = tuple(words)
 
     def run(batches):
-        cost = GuessCost(words)
+        cost = GuessCost(*held.value)
         for batch in batches:
             rows, clean = [], []
             for text in batch.column("_text").to_pylist():

@@ -108,6 +108,20 @@ def test_credential_names():
     assert secrets.guess_spans('db_password="p@ss#W0rd!9"', secrets.GuessCost(), 9.0) == [("guess", 13, 24)]
 
 
+def test_dictionary_words_are_no_secrets(spark):
+    prose = [f"Text {k}: with patience, an incorrect answer and Geschwindigkeit" for k in range(3)]
+    values = ["patience", "incorrect", "Geschwindigkeit", "incorrectpatience", "Zk8#qT!9vLx2", "qvxzkjwqpf"]
+    texts = prose + [f"the secret is {v}" for v in values] + ["my secret is qvxzkjwqpf"]
+    rows = spark.createDataFrame([(i, t, "de" if i % 2 else "en") for i, t in enumerate(texts * 2)], "doc_id bigint, text string, lang string")
+    words = secrets.dictionary(rows)
+    assert {w for ranked in words for w in ranked} >= {"patience", "incorrect", "geschwindigkeit"} and len(words) == 2
+    assert not any("qvxzkjwqpf" in ranked for ranked in words)
+    assert sum(map(len, secrets.dictionary(rows.drop("lang"), lang_col=None, top=5))) <= 5
+    for table in (rows, rows.drop("lang")):
+        got = {r["doc_id"]: r["n_guess"] for r in secrets.scan(table).collect()}
+        assert [got[k] for k in range(3, 10)] == [0, 0, 0, 0, 1, 1, 1]
+
+
 def brute_components(prints, bits):
     parent = {i: i for i in prints}
 
