@@ -4,12 +4,12 @@ A text is cut before every space that follows a non-space and around line feeds
 of the vocabulary crosses these; that is checked when the vocabulary is read).  Within a
 cut the symbols start as characters, and an agenda holds the adjacent pairs whose
 concatenation is a piece, best score first, leftmost first among equals.  A pair that comes
-up is merged, unless a keyed hash of (seed, variant, piece, position) falls under
-``dropout``: then that candidate is skipped.  ``dropout=0`` gives the plain encoding,
-``dropout=1`` characters.  The variant of a cut is a keyed hash of (seed, row id, ordinal of
-the cut) modulo ``variants``, so equal words are segmented differently from place to place
-while results of a (word, variant) can be kept in a bounded cache.  Nothing depends on
-partitions or attempts: a repeated task gives the same ids.
+up is merged, unless a keyed hash of (seed, row id, ordinal of the cut in the text, piece,
+position in the cut) falls under ``dropout``: then that candidate is skipped.  ``dropout=0``
+gives the plain encoding, ``dropout=1`` characters.  So every candidate of every place is drawn
+for itself.  What is kept in a bounded cache is no outcome of a draw: a word's plain agenda, and
+the agendas that follow from a pattern of skipped candidates; each place looks its own pattern
+up there.  Nothing depends on partitions or attempts: a repeated task gives the same ids.
 
 Characters without a piece fall back to bytes, U+2581 (the vocabulary's space mark) too, so
 every segmentation decodes to the very text; each row is decoded and compared.
@@ -59,9 +59,9 @@ def read_vocabulary(path: str) -> list[tuple[str, float, str]]:
 
 
 class Codec:
-    """Encodes with merge-dropout and decodes; ``cache`` entries per variant bound the memory."""
+    """Encodes with merge-dropout and decodes; ``cache`` agendas bound the memory."""
 
-    def __init__(self, vocabulary: list[tuple[str, float, str]], dropout: float = 0.1, seed: int = 0, variants: int = 4, cache: int = 100_000):
+    def __init__(self, vocabulary: list[tuple[str, float, str]], dropout: float = 0.1, seed: int = 0, cache: int = 200_000):
         self.ids = {p: i for i, (p, _, kind) in enumerate(vocabulary) if kind == "piece"}
         self.rank = {p: (-vocabulary[i][1], i) for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(vocabulary) if kind == "byte"}
@@ -72,9 +72,9 @@ class Codec:
         self.size = np.array([len(p) for p in pieces], np.int64)
         self.start = np.cumsum(self.size) - self.size
         self.splits = not any("\n" in p[:-1] + p[1:] or re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
-        self.seed, self.variants, self.limit = seed, variants, cache
+        self.seed, self.limit = seed, cache
         self.cut_off = int(dropout * 2**32)
-        self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        self._forget()
         # symbol of every code point (negative: bytes), and an open-addressing table of the pairs
         self.symbol = np.full(0x110000, -1, np.int64)
         for p, i in self.ids.items():
@@ -96,7 +96,15 @@ class Codec:
         self.probes = probe
 
     def merged(self, cut: str, variant: int) -> list[int]:
-        """Ids of one cut (spaces as spaces)."""
+        """Ids of one cut (spaces as spaces) under the draws of the key ``variant``."""
+        return self._agenda(cut, self._key(variant), None)[0]
+
+    def _key(self, variant: int) -> int:
+        return (self.seed * 0x9E3779B97F4A7C15 + variant * 0xC2B2AE3D27D4EB4F + 0x165667B19E3779F9) & _MASK
+
+    def _agenda(self, cut: str, key: int, skipped: tuple[int, ...] | None) -> tuple[list[int], list[tuple[int, int]]]:
+        """Ids of one cut, and its candidates (piece, position) in the order they come up.  Skipped are
+        the candidates with the ordinals ``skipped``, or if that is None those drawn under ``key``."""
         symbols = [MARK if c == " " else None if c == MARK else c for c in cut]  # None never joins a pair
         n, rank = len(symbols), self.rank
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -107,12 +115,16 @@ class Codec:
                 if r:
                     agenda.append((r[0], i, i + 1, symbols[i] + symbols[i + 1], r[1]))
         heapify(agenda)
-        key, cut_off = (self.seed * 0x9E3779B97F4A7C15 + variant * 0xC2B2AE3D27D4EB4F + 0x165667B19E3779F9) & _MASK, self.cut_off
+        cut_off, candidates = self.cut_off, []
         while agenda:
             _, i, j, piece, number = heappop(agenda)
             if j >= n or after[i] != j or symbols[i] is None or symbols[j] is None or symbols[i] + symbols[j] != piece:
                 continue
-            if cut_off:
+            candidates.append((number, i))
+            if skipped is not None:
+                if len(candidates) - 1 in skipped:
+                    continue
+            elif cut_off:
                 h = (key ^ (number * _K1) ^ ((i + 1) * _K2)) & _MASK
                 h = ((h ^ (h >> 32)) * _K1) & _MASK
                 if ((h ^ (h >> 29)) >> 16) & 0xFFFFFFFF < cut_off:
@@ -138,7 +150,7 @@ class Codec:
             else:
                 out += [self.bytes[b] for b in cut[i].encode()]
             i = after[i]
-        return out
+        return out, candidates
 
     def _pairs(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged id) of symbol pairs; pairs that are no piece, or are skipped, have rank ``_NEVER``."""
@@ -210,21 +222,83 @@ class Codec:
                         rank[ok, c], into[ok, c] = self._pairs(a[ok, c], a[ok, c + 1], place[ok, c], key[ok])
         return out
 
+    def _forget(self) -> None:
+        self.plain: dict[str, int] = {}               # node of a cut without skipped candidates
+        self.after: dict[tuple[int, int], int] = {}   # node that follows from a node when its k-th candidate is skipped too
+        self.node: list[tuple[str, tuple[int, ...]]] = []
+        self.ids_of: list[bytes] = []
+        self.first = np.zeros(1024, np.int64)         # of a node: its undecided candidates in ``drawn``, and the ordinal of the first one
+        self.count, self.base = self.first.copy(), self.first.copy()
+        self.drawn, self.used = np.zeros((4096, 2), np.uint64), 0
+
+    def _new_node(self, cut: str, skipped: tuple[int, ...]) -> int:
+        ids, candidates = self._agenda(cut, 0, skipped)
+        base = skipped[-1] + 1 if skipped else 0
+        left = candidates[base:] if self.cut_off else []
+        k, n = len(self.node), len(left)
+        if k == len(self.first):
+            self.first, self.count, self.base = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count, self.base))
+        while self.used + n > len(self.drawn):
+            self.drawn = np.concatenate([self.drawn, np.zeros_like(self.drawn)])
+        if n:
+            pairs = np.array(left, np.uint64)
+            self.drawn[self.used:self.used + n, 0] = pairs[:, 0] * np.uint64(_K1)
+            self.drawn[self.used:self.used + n, 1] = (pairs[:, 1] + np.uint64(1)) * np.uint64(_K2)
+        self.first[k], self.count[k], self.base[k] = self.used, n, base
+        self.used += n
+        self.node.append((cut, skipped))
+        self.ids_of.append(np.array(ids, np.int32).tobytes())
+        return k
+
+    def merged_each(self, cuts: list[str], variants: np.ndarray) -> list[bytes]:
+        """Ids (int32 bytes) of every cut under the draws of its key; exactly those of ``merged``."""
+        if len(self.node) > self.limit or self.used > 16 * self.limit:
+            self._forget()
+        at, alone = np.empty(len(cuts), np.int64), {}
+        for i, cut in enumerate(cuts):
+            k = self.plain.get(cut, -1)
+            if k < 0 and len(cut) <= 64:
+                k = self.plain[cut] = self._new_node(cut, ())
+            elif k < 0:  # long cuts rarely come again
+                alone[i] = np.array(self.merged(cut, int(variants[i])), np.int32).tobytes()
+            at[i] = k
+        key = np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MASK) + variants * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9)
+        row = np.flatnonzero(at >= 0)
+        while True:
+            row = row[self.count[at[row]] > 0]
+            if not len(row):
+                break
+            node = at[row]
+            n = self.count[node]
+            start = np.cumsum(n) - n
+            place = np.arange(int(n.sum())) - np.repeat(start, n)
+            drawn = self.drawn[np.repeat(self.first[node], n) + place]
+            h = np.repeat(key[row], n) ^ drawn[:, 0] ^ drawn[:, 1]
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(_K1)
+            skipped = ((h ^ (h >> np.uint64(29))) >> np.uint64(16)) & np.uint64(0xFFFFFFFF) < np.uint64(self.cut_off)
+            first = np.minimum.reduceat(np.where(skipped, place, 1 << 40), start)
+            hit = first < 1 << 40
+            row, node, which = row[hit], node[hit], first[hit]
+            for i, a, j in zip(row.tolist(), node.tolist(), (which + self.base[node]).tolist()):
+                k = self.after.get((a, j))
+                if k is None:
+                    cut, before = self.node[a]
+                    k = self.after[a, j] = self._new_node(cut, (*before, j))
+                at[i] = k
+        ids_of = self.ids_of
+        return [ids_of[k] if k >= 0 else alone[i] for i, k in enumerate(at.tolist())]
+
     def encode_many(self, texts: list[str], keys: list[object]) -> list[np.ndarray]:
-        """Ids of the texts; a text's key (the row id) picks its variants."""
-        if any(len(k) > self.limit for k in self.known):
-            self.known = [{} for _ in range(self.variants)]
-        plans, missing = [], {}
+        """Ids of the texts; a text's key (the row id) and the ordinal of a cut key its draws."""
+        cuts, ends, draws = [], [0], []
         for text, key in zip(texts, keys):
-            cuts = (_CUT.findall(" " + text) if self.splits else [" " + text]) if text else []
-            own = xxhash.xxh64_intdigest(repr(key).encode(), self.seed & _MASK)
-            chosen = (mix64(np.arange(len(cuts), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(own)) % np.uint64(self.variants)).tolist()
-            plans.append((cuts, chosen))
-            missing.update([((c, v), None) for c, v in zip(cuts, chosen) if c not in self.known[v]])
-        todo = list(missing)
-        for (cut, variant), ids in zip(todo, self.merged_many(todo) if todo else ()):
-            self.known[variant][cut] = ids
-        return [np.frombuffer(b"".join([self.known[v][c] for c, v in zip(cuts, chosen)]), np.int32) for cuts, chosen in plans]
+            own = (_CUT.findall(" " + text) if self.splits else [" " + text]) if text else []
+            cuts += own
+            ends.append(len(cuts))
+            of = xxhash.xxh64_intdigest(repr(key).encode(), self.seed & _MASK)
+            draws.append(mix64(np.arange(len(own), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(of)))
+        found = self.merged_each(cuts, np.concatenate(draws)) if cuts else []
+        return [np.frombuffer(b"".join(found[a:b]), np.int32) for a, b in zip(ends, ends[1:])]
 
     def encode(self, text: str, key: object = None) -> np.ndarray:
         return self.encode_many([text], [key])[0]
@@ -240,7 +314,7 @@ class Codec:
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), model_path: str = MODEL_PATH,
-           dropout: float = 0.1, seed: int = 0, variants: int = 4) -> DataFrame:
+           dropout: float = 0.1, seed: int = 0) -> DataFrame:
     """``(id, keep..., ids array<int>, n_tokens, n_bytes, round_trip)`` per row."""
     held = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model_path))
     cut = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(k) for k in keep])
@@ -249,7 +323,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
                         "ids array<int>, n_tokens bigint, n_bytes bigint, round_trip boolean"])
 
     def run(batches):
-        codec = Codec(held.value, dropout, seed, variants)
+        codec = Codec(held.value, dropout, seed)
         for whole in batches:
             for at, end in slices([len(t) if t else 0 for t in whole.column("_text").to_pylist()], 1 << 20):
                 batch = whole.slice(at, end - at)

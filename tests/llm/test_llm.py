@@ -94,6 +94,22 @@ def test_secret_spans(spark):
     assert "b7db7aa4a5" not in red and "[assign]" in red
 
 
+def test_every_place_draws_its_own_merges():
+    vocabulary = sentencepiece_dropout.read_vocabulary(sentencepiece_dropout.MODEL_PATH)
+    codec = sentencepiece_dropout.Codec(vocabulary, dropout=0.1, seed=3, cache=500)
+    cuts = [" segmentation", " internationalisation", " x", "é", " the", " " + "long" * 40, " ▁odd"] * 300
+    keys = np.random.default_rng(0).integers(0, 1 << 63, len(cuts), dtype=np.uint64)
+    for part in range(0, len(cuts), 700):
+        some, own = cuts[part:part + 700], keys[part:part + 700]
+        assert [np.frombuffer(b, np.int32).tolist() for b in codec.merged_each(some, own)] == [codec.merged(c, int(k)) for c, k in zip(some, own)]
+    got = codec.merged_each([" internationalisation"] * 2000, np.arange(2000, dtype=np.uint64))
+    assert len(set(got)) > 4
+    found = codec.merged_each(["of"] * 20_000, sentencepiece_dropout.mix64(np.arange(20_000, dtype=np.uint64)))
+    assert abs(np.mean([len(b) > 4 for b in found]) - 0.1) < 0.02  # one merge: skipped at the rate, not in one of four variants or none
+    for key in range(3):
+        assert codec.encode("to be or not to be " * 50, key).tolist() == codec.encode("to be or not to be " * 50, key).tolist()
+
+
 def test_credential_names():
     def values(text):
         return [m[m.lastindex] for m in secrets.contexts(text)]
