@@ -7,9 +7,8 @@ concatenation is a piece, best score first, leftmost first among equals.  A pair
 up is merged, unless a keyed hash of (seed, row id, ordinal of the cut in the text, piece,
 position in the cut) falls under ``dropout``: then that candidate is skipped.  ``dropout=0``
 gives the plain encoding, ``dropout=1`` characters.  So every candidate of every place is drawn
-for itself.  What is kept in a bounded cache is no outcome of a draw: a word's plain agenda, and
-the agendas that follow from a pattern of skipped candidates; each place looks its own pattern
-up there.  Nothing depends on partitions or attempts: a repeated task gives the same ids.
+for itself.  What is kept in a bounded cache is no outcome of a draw but a word's plain agenda: a
+place that skips none of its candidates has the plain ids, any other is merged anew.  Nothing depends on partitions or attempts: a repeated task gives the same ids.
 
 Characters without a piece fall back to bytes, U+2581 (the vocabulary's space mark) too, so
 every segmentation decodes to the very text; each row is decoded and compared.
@@ -97,14 +96,14 @@ class Codec:
 
     def merged(self, cut: str, variant: int) -> list[int]:
         """Ids of one cut (spaces as spaces) under the draws of the key ``variant``."""
-        return self._agenda(cut, self._key(variant), None)[0]
+        return self._agenda(cut, self._key(variant))[0]
 
     def _key(self, variant: int) -> int:
         return (self.seed * 0x9E3779B97F4A7C15 + variant * 0xC2B2AE3D27D4EB4F + 0x165667B19E3779F9) & _MASK
 
-    def _agenda(self, cut: str, key: int, skipped: tuple[int, ...] | None) -> tuple[list[int], list[tuple[int, int]]]:
-        """Ids of one cut, and its candidates (piece, position) in the order they come up.  Skipped are
-        the candidates with the ordinals ``skipped``, or if that is None those drawn under ``key``."""
+    def _agenda(self, cut: str, key: int | None) -> tuple[list[int], list[tuple[int, int]]]:
+        """Ids of one cut, and its candidates (piece, position) in the order they come up.  Those
+        drawn under ``key`` are skipped, without a key none."""
         symbols = [MARK if c == " " else None if c == MARK else c for c in cut]  # None never joins a pair
         n, rank = len(symbols), self.rank
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -121,10 +120,7 @@ class Codec:
             if j >= n or after[i] != j or symbols[i] is None or symbols[j] is None or symbols[i] + symbols[j] != piece:
                 continue
             candidates.append((number, i))
-            if skipped is not None:
-                if len(candidates) - 1 in skipped:
-                    continue
-            elif cut_off:
+            if cut_off and key is not None:
                 h = (key ^ (number * _K1) ^ ((i + 1) * _K2)) & _MASK
                 h = ((h ^ (h >> 32)) * _K1) & _MASK
                 if ((h ^ (h >> 29)) >> 16) & 0xFFFFFFFF < cut_off:
@@ -223,70 +219,56 @@ class Codec:
         return out
 
     def _forget(self) -> None:
-        self.plain: dict[str, int] = {}               # node of a cut without skipped candidates
-        self.after: dict[tuple[int, int], int] = {}   # node that follows from a node when its k-th candidate is skipped too
-        self.node: list[tuple[str, tuple[int, ...]]] = []
+        self.plain: dict[str, int] = {}        # number of a cut whose plain agenda is kept
         self.ids_of: list[bytes] = []
-        self.first = np.zeros(1024, np.int64)         # of a node: its undecided candidates in ``drawn``, and the ordinal of the first one
-        self.count, self.base = self.first.copy(), self.first.copy()
+        self.first = np.zeros(1024, np.int64)  # of a cut: its candidates in ``drawn``
+        self.count = self.first.copy()
         self.drawn, self.used = np.zeros((4096, 2), np.uint64), 0
 
-    def _new_node(self, cut: str, skipped: tuple[int, ...]) -> int:
-        ids, candidates = self._agenda(cut, 0, skipped)
-        base = skipped[-1] + 1 if skipped else 0
-        left = candidates[base:] if self.cut_off else []
-        k, n = len(self.node), len(left)
+    def _keep(self, cut: str) -> int:
+        ids, candidates = self._agenda(cut, None)
+        k, n = len(self.ids_of), len(candidates) if self.cut_off else 0
         if k == len(self.first):
-            self.first, self.count, self.base = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count, self.base))
+            self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
         while self.used + n > len(self.drawn):
             self.drawn = np.concatenate([self.drawn, np.zeros_like(self.drawn)])
         if n:
-            pairs = np.array(left, np.uint64)
-            self.drawn[self.used:self.used + n, 0] = pairs[:, 0] * np.uint64(_K1)
-            self.drawn[self.used:self.used + n, 1] = (pairs[:, 1] + np.uint64(1)) * np.uint64(_K2)
-        self.first[k], self.count[k], self.base[k] = self.used, n, base
+            pairs = np.array(candidates, np.uint64)
+            self.drawn[self.used:self.used + n] = (pairs + np.array([0, 1], np.uint64)) * np.array([_K1, _K2], np.uint64)
+        self.first[k], self.count[k] = self.used, n
         self.used += n
-        self.node.append((cut, skipped))
         self.ids_of.append(np.array(ids, np.int32).tobytes())
         return k
 
     def merged_each(self, cuts: list[str], variants: np.ndarray) -> list[bytes]:
-        """Ids (int32 bytes) of every cut under the draws of its key; exactly those of ``merged``."""
-        if len(self.node) > self.limit or self.used > 16 * self.limit:
+        """Ids (int32 bytes) of every cut under the draws of its key; exactly those of ``merged``.  A cut
+        none of whose plain candidates is skipped has its plain ids; the others are merged anew."""
+        if len(self.ids_of) > self.limit:
             self._forget()
-        at, alone = np.empty(len(cuts), np.int64), {}
+        at = np.empty(len(cuts), np.int64)
         for i, cut in enumerate(cuts):
             k = self.plain.get(cut, -1)
-            if k < 0 and len(cut) <= 64:
-                k = self.plain[cut] = self._new_node(cut, ())
-            elif k < 0:  # long cuts rarely come again
-                alone[i] = np.array(self.merged(cut, int(variants[i])), np.int32).tobytes()
+            if k < 0 and len(cut) <= 64:  # longer cuts rarely come again
+                k = self.plain[cut] = self._keep(cut)
             at[i] = k
         key = np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MASK) + variants * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9)
-        row = np.flatnonzero(at >= 0)
-        while True:
-            row = row[self.count[at[row]] > 0]
-            if not len(row):
-                break
-            node = at[row]
-            n = self.count[node]
+        anew = at < 0
+        row = np.flatnonzero(~anew)
+        row = row[self.count[at[row]] > 0]
+        if len(row):
+            n = self.count[at[row]]
             start = np.cumsum(n) - n
-            place = np.arange(int(n.sum())) - np.repeat(start, n)
-            drawn = self.drawn[np.repeat(self.first[node], n) + place]
+            drawn = self.drawn[np.repeat(self.first[at[row]] - start, n) + np.arange(int(n.sum()))]
             h = np.repeat(key[row], n) ^ drawn[:, 0] ^ drawn[:, 1]
             h = (h ^ (h >> np.uint64(32))) * np.uint64(_K1)
             skipped = ((h ^ (h >> np.uint64(29))) >> np.uint64(16)) & np.uint64(0xFFFFFFFF) < np.uint64(self.cut_off)
-            first = np.minimum.reduceat(np.where(skipped, place, 1 << 40), start)
-            hit = first < 1 << 40
-            row, node, which = row[hit], node[hit], first[hit]
-            for i, a, j in zip(row.tolist(), node.tolist(), (which + self.base[node]).tolist()):
-                k = self.after.get((a, j))
-                if k is None:
-                    cut, before = self.node[a]
-                    k = self.after[a, j] = self._new_node(cut, (*before, j))
-                at[i] = k
-        ids_of = self.ids_of
-        return [ids_of[k] if k >= 0 else alone[i] for i, k in enumerate(at.tolist())]
+            anew[row] = np.logical_or.reduceat(skipped, start)
+        out = [self.ids_of[k] if k >= 0 else b"" for k in at.tolist()]
+        for part in np.array_split(np.flatnonzero(anew), int(anew.sum()) // 32768 + 1):
+            if len(part):
+                for i, ids in zip(part.tolist(), self.merged_many([(cuts[i], v) for i, v in zip(part.tolist(), variants[part].tolist())])):
+                    out[i] = ids
+        return out
 
     def encode_many(self, texts: list[str], keys: list[object]) -> list[np.ndarray]:
         """Ids of the texts; a text's key (the row id) and the ordinal of a cut key its draws."""
