@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (debruijn, decontam, ppm_langid, quality_rules, secrets, sentencepiece_dropout, simhash_vptree, site_template,
-                        suffix_dedup, url_rules)
+from quarry.llm import (conversation_repair, debruijn, decontam, ppm_langid, quality_rules, radix_dedup, secrets, sentencepiece_dropout,
+                        simhash_vptree, site_template, suffix_dedup, url_rules, whitening)
 from quarry.llm.common import read_table
 
 #: Fixed rules of op8: host, path, action.
@@ -62,10 +62,27 @@ def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=400).drop("kept")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=8)
+
+
+def op13_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return radix_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secrets, op3_simhash, op4_decontamination, op5_repeated_words, op6_language, op7_quality,
-                                   op8_url_rules, op9_main_text, op10_repeated_bytes)}
+                                   op8_url_rules, op9_main_text, op10_repeated_bytes, op11_conversation_repair, op12_whitening, op13_exact_duplicates)}
 
 ORACLE = {
+    "op13_exact_duplicates": r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
+g AS (SELECT norm, min(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM t GROUP BY norm)
+SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.norm) AS text_sha256
+FROM t JOIN g ON t.norm = g.norm""",
     "op8_url_rules": r"""
 WITH cut AS (
   SELECT page_id,
