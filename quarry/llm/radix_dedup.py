@@ -49,9 +49,11 @@ def _head(text: Column, size: int) -> Column:
 
 
 def _split(rows: DataFrame, groups: DataFrame, rest: Column) -> DataFrame:
-    """Rows with the size, the smallest id and the number of their group; none of them for a single row."""
+    """Rows with the size, the smallest id and the number of their group; none of them for a single row.
+
+    Always a shuffled join, which Spark can split by rows; the groups have no size bound."""
     keys = ["parent", "digit", "ended"]
-    return rows.join(groups, keys, "left").select(
+    return rows.join(groups.hint("merge"), keys, "left").select(
         "row", "doc_id", "sha", "n", "first", "stays", "child", F.when(F.col("child").isNotNull(), rest).alias("rest"))
 
 
