@@ -9,14 +9,15 @@ Rows whose vector is null or holds null or non-finite entries are dropped, and s
 length is not the most common one (of equally common ones the shorter).  Components whose
 eigenvalue is zero (below ``1e-12`` of the trace), and so all of a table without rows, with one
 distinct row or with empty vectors, are left out: nothing can be brought to unit variance there.
-Rows with one id are kept apart; a null id is an id like any other.  Integers stop at the ends of a
-long; a deviation that does not fit one is null.
+Rows with one id are kept apart; a null id is an id like any other.  Scaled entries stop
+at 2^62; a deviation that does not fit a long is null.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,42 +25,77 @@ from pyspark.sql import functions as F
 BLOCK = 4096
 
 SCALE, SHIFT = 1024, 100_000
+#: Scaled entries stop here, so that an integer fits a long.
+LARGEST = float(1 << 62)
 
 
-def integer_vectors(rows: DataFrame, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
-    """``(vec_id, x)`` of the rows that can be used; an entry c becomes ``floor(1024 c) + 100000``."""
-    c = F.col(vector).cast("array<double>")
-    usable = F.col(vector).isNotNull() & F.forall(c, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf")))
-    entries = F.transform(c, lambda e: F.least(F.floor(e * SCALE), F.lit((1 << 63) - 1 - SHIFT)) + SHIFT).cast("array<long>")
-    return rows.where(usable).select(F.col(key).alias("vec_id"), entries.alias("x"))
+def _lengths(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Length of every usable vector, -1 for the others; and all entries as doubles."""
+    column = batch.column(1)
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    entries = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    odd = np.repeat(np.arange(len(lengths)), lengths)[~np.isfinite(entries)]
+    usable = column.is_valid().to_numpy(zero_copy_only=False)
+    usable[odd] = False
+    return np.where(usable, lengths, -1), entries
 
 
-def _matrix(column: pa.ListArray, d: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), d)
+def _integers(batch: pa.RecordBatch, d: int) -> tuple[pa.Array, np.ndarray]:
+    """Ids and integer vectors of the usable rows with ``d`` entries: ``floor(1024 c) + 100000``."""
+    lengths, entries = _lengths(batch)
+    column = batch.column(1)
+    every = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    picked = lengths == d
+    c = entries[np.repeat(picked, every)].reshape(-1, d)
+    x = np.clip(np.floor(c * SCALE), -LARGEST, LARGEST).astype(np.int64) + SHIFT
+    return batch.column(0).filter(pa.array(picked)), x
 
 
-def _added(rows: DataFrame, fn, schema: str) -> DataFrame:
-    """Numbered doubles that ``fn`` makes of a block, added up in each task and then by Spark."""
-    def run(batches):
-        total = None
-        for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                part = fn(batch.slice(start, BLOCK))
-                total = part if total is None else total + part
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["k", "v"])
-
-    return rows.mapInArrow(run, schema).groupBy("k").agg(F.sum("v").alias("v"))
+def _blocks(batches, fn):
+    for batch in batches:
+        for start in range(0, batch.num_rows, BLOCK):
+            yield fn(batch.slice(start, BLOCK))
 
 
 def _sums(rows: DataFrame, size: int, fn) -> np.ndarray:
-    """The ``size`` doubles of ``_added`` on the driver."""
+    """``size`` doubles that ``fn`` makes of a block, added up in each task and then by Spark."""
+    def run(batches):
+        total = np.zeros(size)
+        for part in _blocks(batches, fn):
+            total += part.ravel()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(total)], names=["k", "v"])
+
     out = np.zeros(size)
-    for k, v in _added(rows, fn, "k long, v double").collect():
+    for k, v in rows.mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v")).collect():
         out[k] = v
     return out
 
 
+def _common_length(rows: DataFrame) -> tuple[int, int]:
+    """The most common length of usable vectors and their number."""
+    def run(batches):
+        for lengths in _blocks(batches, lambda b: _lengths(b)[0]):
+            d, n = np.unique(lengths[lengths >= 0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(n)], names=["d", "n"])
+
+    found = rows.mapInArrow(run, "d long, n long").groupBy("d").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "d").first()
+    return (found["d"], found["n"]) if found else (0, 0)
+
+
+def _exact_sums(rows: DataFrame, d: int) -> list[int]:
+    """Sums of the integer vectors by dimension; halves of 32 bits keep them exact."""
+    def run(batches):
+        for x in _blocks(batches, lambda b: _integers(b, d)[1]):
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(d)), pa.array((x >> 32).sum(0)), pa.array((x & 0xFFFFFFFF).sum(0))],
+                                             names=["k", "high", "low"])
+
+    total = [F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in ("high", "low")]
+    out = [0] * d
+    for k, high, low in rows.mapInArrow(run, "k long, high long, low long").groupBy("k").agg(*total).collect():
+        out[k] = (int(high) << 32) + int(low)
+    return out
+
+
 def pivoted_cholesky(a: np.ndarray, relative: float = 1e-14) -> np.ndarray:
     """``L`` (d x rank, its rows in the order of ``a``) with ``L L' = a``, greatest pivot first."""
     d = len(a)
@@ -130,24 +166,19 @@ def whiten(rows: DataFrame, components: int = 8, vector: str = "embedding", key:
     eigenvalue), ``n``, ``deviation``, ``whitened``, ``explained`` and ``identity_error``."""
     id_type = rows.schema[key].dataType.simpleString()
     schema = f"vec_id {id_type}, component int, n long, deviation long, whitened double, explained double, identity_error double"
-    vectors = integer_vectors(rows, vector, key)
-    common = vectors.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    d = common["d"] if common else 0
+    vectors = rows.select(key, vector)
+    d, n = _common_length(vectors)
     if not d:
         return rows.sparkSession.createDataFrame([], schema)
-    vectors = vectors.where(F.size("x") == d)
-    n = common["count"]
-    exact = vectors.select(F.posexplode("x").alias("k", "v")).groupBy("k").agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("s")).collect()
-    s = np.zeros(d, object)
-    for k, v in exact:
-        s[k] = int(v)
-    mean_whole, mean_part = np.array([int(v) // n for v in s], float), np.array([int(v) % n / n for v in s])
+    total = _exact_sums(vectors, d)
+    mean_whole, mean_part = np.array([v // n for v in total], float), np.array([v % n / n for v in total])
+    total = np.array(total, np.int64 if max(map(abs, total)) < 2 ** 62 else object)
 
-    def centred(batch):
-        return _matrix(batch.column(1), d).astype(float) - mean_whole - mean_part
+    def centred(x):
+        return x.astype(float) - mean_whole - mean_part
 
     def scattered(batch):
-        y = centred(batch)
+        y = centred(_integers(batch, d)[1])
         return y.T @ y
 
     scatter = _sums(vectors, d * d, scattered).reshape(d, d)
@@ -156,25 +187,25 @@ def whiten(rows: DataFrame, components: int = 8, vector: str = "embedding", key:
     if not m:
         return rows.sparkSession.createDataFrame([], schema)
     axes = axes / np.sqrt(values / n)
-    mean = _sums(vectors, m, lambda batch: (centred(batch) @ axes).sum(0)) / n
+
+    def projected(batch):
+        return centred(_integers(batch, d)[1]) @ axes
+
+    mean = _sums(vectors, m, lambda batch: projected(batch).sum(0)) / n
 
     def squared(batch):
-        w = centred(batch) @ axes - mean
+        w = projected(batch) - mean
         return w.T @ w
 
     error = float(np.abs(_sums(vectors, m * m, squared).reshape(m, m) / n - np.eye(m)).max())
     explained = values / np.trace(scatter)
-    total = s.astype(np.int64) if max(abs(int(v)) for v in s) < 2 ** 62 else s
-
-    def projected(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(start, BLOCK)
-                rows_in, w = len(part), centred(part) @ axes
-                of = pa.array(np.repeat(np.arange(rows_in), m))
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0).take(of), pa.array(np.tile(np.arange(1, m + 1, dtype=np.int32), rows_in)), pa.array(np.full(rows_in * m, n)),
-                    _deviations(_matrix(part.column(1), d), n, total).take(of), pa.array(w.ravel()), pa.array(np.tile(explained, rows_in)),
-                    pa.array(np.full(rows_in * m, error))], names=[p.split(" ")[0] for p in schema.split(", ")])
-
-    return vectors.mapInArrow(projected, schema)
+
+    def result(batch):
+        ids, x = _integers(batch, d)
+        of = pa.array(np.repeat(np.arange(len(x)), m))
+        return pa.RecordBatch.from_arrays([
+            ids.take(of), pa.array(np.tile(np.arange(1, m + 1, dtype=np.int32), len(x))), pa.array(np.full(len(of), n)),
+            _deviations(x, n, total).take(of), pa.array((centred(x) @ axes).ravel()), pa.array(np.tile(explained, len(x))),
+            pa.array(np.full(len(of), error))], names=[p.split(" ")[0] for p in schema.split(", ")])
+
+    return vectors.mapInArrow(lambda batches: _blocks(batches, result), schema)
