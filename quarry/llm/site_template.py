@@ -2,11 +2,14 @@
 
 Every page is read once, element by element (unclosed and stray tags as browsers treat them,
 truncated pages up to their end).  The scope is the ``article`` elements, else ``main``, else
-the body.  Inside it, elements whose tag, role or whole class name or id is that of a menu,
+the body; articles that hold less than half of the text around them are teasers and decide nothing.
+Inside it, elements whose tag, role or whole class name or id is that of a menu,
 header, footer, sidebar, notice, advert, form, widget or comments are left out, as are scripts,
 styles and hidden elements.  Parts of a compound name decide nothing, and neither do the ids of
 headings, of sections and of elements inside an article or main.  If every article (else main)
-is inside elements so left out, these are read after all, unless the text outside is longer.
+is inside elements so left out, these are read after all, unless the text outside is longer.  On a
+page without article and main, forms are read if they hold most of the text.  A header in an article
+or main part belongs to it.
 
 What is left of a site's template is found by recurrence: each block element in scope is
 hashed as a subtree (tags and text), and the subtrees are counted per host in Spark, once per
@@ -17,7 +20,10 @@ candidate, however many other pages the host has.  Then
 * containers (``div``, ``section``, lists, tables, ...) are deleted;
 * paragraphs and the other blocks are deleted if the rest of their pages differs: there are
   ``min_pages`` different rests among pages where the blocks that do not recur are most of the
-  other blocks or most of the text.  So paragraphs of copies with small edits survive;
+  other blocks or most of the text.  So paragraphs of copies with small edits survive.  They must
+  also look like a template's: found on this host only, or on three hosts at most and in nine of
+  ten pages at one place, counted from the first or the last block.  A sentence that many hosts
+  have is common prose and stays;
 * a heading is deleted if so is all text up to the next heading;
 * parts of a list or table inside an article or main (``li``, ``td``, ... and what is in them)
   go only with a container: equal cells and items are common in different tables.
@@ -83,7 +89,7 @@ CLASSES_OUTSIDE = frozenset("header page-header site-header".split())
 
 def _is_side(tag: str, attrs: str, in_article: bool, in_main: bool = False) -> bool:
     """Whether an element is not part of the main text by its role."""
-    if tag in SKIPPED or (tag in SKIPPED_OUTSIDE and not in_article):
+    if tag in SKIPPED or (tag in SKIPPED_OUTSIDE and not in_article and not in_main):
         return True
     if tag in ("html", "body", "article", "main") or "=" not in attrs and "hidden" not in attrs.lower():
         return False
@@ -92,7 +98,7 @@ def _is_side(tag: str, attrs: str, in_article: bool, in_main: bool = False) -> b
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id"):
             names = set(value.split())
-            listed = bool(names & CLASSES or (not in_article and names & CLASSES_OUTSIDE))
+            listed = bool(names & CLASSES or (not in_article and not in_main and names & CLASSES_OUTSIDE))
             if name == "id":  # ids of headings and sections are made from their titles
                 by_id |= listed
             elif listed:
@@ -119,11 +125,22 @@ class Page:
             more, _ = self._read(source, wrappers)
             if _chars(more["article"] or more["main"]) >= _chars(found["main"] or found["body"]):
                 found = more
-        scope = "article" if found["article"] else "main" if found["main"] else "body"
-        chosen = found[scope]
+        chosen = self._scope(found)
+        if self.forms and not found["article"] and not found["main"]:  # a form around the page, or one on it?
+            more, _ = self._read(source, frozenset(self.forms))
+            if _chars(whole := self._scope(more)) > 2 * _chars(chosen):
+                chosen = whole
         self.blocks = [b for b, _ in chosen]
         self.under = [u for _, u in chosen]
 
+    @staticmethod
+    def _scope(found: dict) -> list:
+        """The articles, unless most text of the main part (or the body) is outside them: then they are teasers."""
+        around = found["main"] or found["body"]
+        if found["article"] and 2 * _chars(found["article"]) >= _chars(around):
+            return found["article"]
+        return around
+
     def _read(self, source: str, exempt: frozenset[int]) -> tuple[dict[str, list[tuple[str, list[int]]]], frozenset[int]]:
         """Blocks by scope, and the left-out elements around the articles (or mains) if none is outside such
         elements; ``exempt`` elements (by number) are not left out."""
@@ -135,6 +152,7 @@ class Page:
         side = articles = mains = parts = 0
         has_article = has_main = False
         number = 0
+        self.forms: list[int] = []  # forms left out for their tag alone
         held: dict[str, list[list[int]]] = {"article": [], "main": []}  # left-out elements around articles and mains
         level = {"article": math.inf, "main": math.inf}
 
@@ -202,6 +220,8 @@ class Page:
             number += 1
             if number in exempt:
                 own = False
+            elif own and tag == "form" and not side and not _is_side("div", m[3], articles > 0, mains > 0):
+                self.forms.append(number)
             if tag == "body" and any(e[0] == "head" for e in stack):
                 while any(e[0] == "head" for e in stack):
                     close()
@@ -282,31 +302,53 @@ def _of_pages(seen: DataFrame, subtrees: DataFrame, name: str) -> DataFrame:
     return _subtrees(seen).join(subtrees, ["host", "subtree"]).groupBy("host", "sig").agg(F.collect_set("subtree").alias(name))
 
 
-def rests(under: list[list[int]], sizes: list[int], prints: list[int], often: set[int]) -> tuple[list[int], int]:
-    """Subtrees of a page, no containers, beside which most of the page does not recur, and the hash of what does not."""
+def rests(under: list[list[int]], sizes: list[int], prints: list[int], often: set[int]) -> tuple[list[tuple[int, int, int]], int]:
+    """Subtrees of a page, no containers, beside which most of the page does not recur, each with the number of
+    blocks before it and after it; and the hash of what does not recur."""
     live = [k for k, u in enumerate(under) if not any(h & 3 == CONTAINER and h in often for h in u)]
     held = {k: [h for h in under[k] if h in often] for k in live}
     own = [k for k in live if not held[k]]
     chars, most = sum(sizes[k] for k in own), sum(sizes[k] for k in live)
     n = Counter(h for k in live for h in set(held[k]))
-    out = [h for h, blocks in n.items() if own and (2 * len(own) > len(live) - blocks or 2 * chars > most)]
+    place: dict[int, list[int]] = {}
+    for at, k in enumerate(live):
+        for h in held[k]:
+            place.setdefault(h, [at, at])[1] = at
+    out = [(h, place[h][0], len(live) - 1 - place[h][1]) for h, blocks in n.items()
+           if own and (2 * len(own) > len(live) - blocks or 2 * chars > most)]
     return out, xxhash.xxh64_intdigest(" ".join(str(prints[k]) for k in own)) >> 1
 
 
+#: Share of a host's pages that have a template's paragraph at one place, and the hosts that may share it.
+FIXED_PLACE, FEW_HOSTS = 0.9, 3
+
+
 def differing(seen: DataFrame, often: DataFrame, min_pages: int = 10) -> DataFrame:
-    """``(host, subtree)`` of the recurring paragraphs, headings, ... whose pages differ in the rest."""
+    """``(host, subtree)`` of the recurring paragraphs, headings, ... whose pages differ in the rest and that
+    are on one host only, or on few and at a fixed place."""
     some = seen.join(_of_pages(seen, often, "often"), ["host", "sig"]).where(F.exists("often", lambda h: h.bitwiseAND(F.lit(3)) != CONTAINER))
 
     def run(batches):
         for batch in batches:
-            rows = [(host, h, rest) for host, under, sizes, prints, often in zip(*[batch.column(c).to_pylist() for c in names])
-                    for found, rest in [rests(under, sizes, prints, set(often))] for h in found]
-            cols = list(zip(*rows)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64()))], names=["host", "subtree", "rest"])
+            rows = [(host, *found, rest) for host, under, sizes, prints, often in zip(*[batch.column(c).to_pylist() for c in names])
+                    for page, rest in [rests(under, sizes, prints, set(often))] for found in page]
+            cols = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == 0 else pa.int64()) for k, c in enumerate(cols)],
+                                             names=["host", "subtree", "before", "after", "rest"])
 
     names = ["host", "under", "sizes", "prints", "often"]
-    found = some.select(*names).mapInArrow(run, "host string, subtree bigint, rest bigint")
-    return found.distinct().groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("host", "subtree")
+    found = pinned(some.select(*names).mapInArrow(run, "host string, subtree bigint, before bigint, after bigint, rest bigint"))
+    key = ["host", "subtree"]
+    wanted = found.select(*key, "rest").distinct().groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select(*key)
+
+    def most(place):
+        return found.groupBy(*key, place).agg(F.count("*").alias("c")).groupBy(*key).agg((F.max("c") / F.sum("c")).alias(place))
+
+    places = most("before").join(most("after"), key).where(F.greatest("before", "after") >= FIXED_PLACE).select(*key)
+    hosts = _subtrees(seen).select(*key).distinct().join(wanted.select("subtree").distinct(), "subtree", "left_semi")
+    few = pinned(hosts.groupBy("subtree").agg(F.count("*").alias("hosts")).where(F.col("hosts") <= FEW_HOSTS))
+    alone = wanted.join(few.where("hosts = 1"), "subtree", "left_semi").select(*key)
+    return wanted.join(few, "subtree", "left_semi").select(*key).join(places, key, "left_semi").unionByName(alone).distinct()
 
 
 def kept_blocks(under: list[list[int]], bad: set[int]) -> list[bool]:
