@@ -48,6 +48,22 @@ def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> np.uint64(29))) >> np.uint64(12)).astype(np.int64) & _SLOTS
 
 
+def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The indices ``start, start + 1, ...`` of runs, ``count`` of each."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
+def _parted(ids: np.ndarray, count: np.ndarray) -> list[np.ndarray]:
+    return np.split(ids, np.cumsum(count)[:-1]) if len(count) else []
+
+
+class _Numbers(dict):
+    """Numbers of known cuts, -1 for others."""
+
+    def __missing__(self, cut):
+        return -1
+
+
 def read_vocabulary(path: str) -> list[tuple[str, float, str]]:
     """(piece, score, kind) by id; kind is ``piece``, ``byte`` or ``other`` (controls, unknown)."""
     import sentencepiece
@@ -60,7 +76,7 @@ def read_vocabulary(path: str) -> list[tuple[str, float, str]]:
 class Codec:
     """Encodes with merge-dropout and decodes; ``cache`` agendas bound the memory."""
 
-    def __init__(self, vocabulary: list[tuple[str, float, str]], dropout: float = 0.1, seed: int = 0, cache: int = 200_000):
+    def __init__(self, vocabulary: list[tuple[str, float, str]], dropout: float = 0.1, seed: int = 0, cache: int = 400_000):
         self.ids = {p: i for i, (p, _, kind) in enumerate(vocabulary) if kind == "piece"}
         self.rank = {p: (-vocabulary[i][1], i) for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(vocabulary) if kind == "byte"}
@@ -148,7 +164,7 @@ class Codec:
             i = after[i]
         return out, candidates
 
-    def _pairs(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _pairs(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, key: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged id) of symbol pairs; pairs that are no piece, or are skipped, have rank ``_NEVER``."""
         slot = _slot(left, right)
         want = np.where((left >= 0) & (right >= 0), (left.astype(np.int64) << 32) | right, -2)  # -1 is a free slot
@@ -158,7 +174,7 @@ class Codec:
             at = np.where(self.pair_key[s] == want, s, at)
         merged_id = self.pair_id[at]
         rank = np.where(at >= 0, self.pair_rank[at], _NEVER)
-        if self.cut_off:
+        if self.cut_off and key is not None:
             h = key ^ (merged_id.astype(np.uint64) * np.uint64(_K1)) ^ ((place + 1).astype(np.uint64) * np.uint64(_K2))
             h = (h ^ (h >> np.uint64(32))) * np.uint64(_K1)
             skipped = ((h ^ (h >> np.uint64(29))) >> np.uint64(16)) & np.uint64(0xFFFFFFFF) < np.uint64(self.cut_off)
@@ -168,18 +184,32 @@ class Codec:
     def merged_many(self, cuts: list[tuple[str, int]]) -> list[bytes]:
         """Ids (int32 bytes) of many (cut, variant): the agendas of all cuts advance together, one
         merge each per step; gives exactly what ``merged`` gives one by one."""
-        out: list[bytes] = [b""] * len(cuts)
-        size = np.array([len(c) for c, _ in cuts], np.int64)
-        codes = np.frombuffer("".join([c for c, _ in cuts]).encode("utf-32-le"), np.uint32)
+        variant = np.array([v for _, v in cuts], np.uint64)
+        keys = np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MASK) + variant * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9)
+        ids, count, _ = self._advance([c for c, _ in cuts], keys)
+        return [x.tobytes() for x in _parted(ids, count)]
+
+    def _advance(self, cuts: list[str], keys: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """Ids of the cuts, one after another, and their number under the draws of their keys.  Without keys
+        nothing is skipped, and the merges are listed: (cuts, pieces, positions) of every step, those of
+        one cut in the order they come up."""
+        done_row, done_count, done_ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        merges: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = np.array([len(c) for c in cuts], np.int64)
+        codes = np.frombuffer("".join(cuts).encode("utf-32-le"), np.uint32)
         symbols = self.symbol[codes]
         start = np.cumsum(size) - size
         odd = np.zeros(len(cuts), bool)
         odd[np.repeat(np.arange(len(cuts)), size)[symbols < 0]] = True
         odd |= size > 64
         for i in np.flatnonzero(odd):
-            out[i] = np.array(self.merged(*cuts[i]), np.int32).tobytes()
-        variant = np.array([v for _, v in cuts], np.uint64)
-        keys = np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MASK) + variant * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9)
+            ids, candidates = self._agenda(cuts[i], None if keys is None else int(keys[i]))
+            done_row.append(np.array([i]))
+            done_count.append(np.array([len(ids)]))
+            done_ids.append(np.array(ids, np.int32))
+            if keys is None and candidates:
+                piece, at = np.array(candidates, np.int64).T
+                merges.append((np.full(len(piece), i), piece, at))
         for low, high in ((0, 4), (4, 8), (8, 12), (12, 20), (20, 64)):
             row = np.flatnonzero(~odd & (size > low) & (size <= high))
             if not len(row):
@@ -189,21 +219,25 @@ class Codec:
             inside = column < size[row][:, None]
             a = np.where(inside, symbols[np.minimum(start[row][:, None] + column, len(symbols) - 1)], -1)
             place = np.broadcast_to(column, a.shape)
-            key = keys[row]
-            rank, into = self._pairs(a[:, :-1], a[:, 1:], place[:, :-1], key[:, None]) if width > 1 else (np.zeros((len(row), 0), np.int64),) * 2
+            key = None if keys is None else keys[row]
+            rank, into = self._pairs(a[:, :-1], a[:, 1:], place[:, :-1], None if key is None else key[:, None]) if width > 1 else (np.zeros((len(row), 0), np.int64),) * 2
             while True:
                 best = rank.argmin(1) if rank.shape[1] else np.zeros(len(row), np.int64)
                 every = np.arange(len(row))
                 going = rank[every, best] < _NEVER if rank.shape[1] else np.zeros(len(row), bool)
                 done = np.flatnonzero(~going)
                 if len(done):
-                    left, count = a[done].astype(np.int32), (a[done] >= 0).sum(1).tolist()
-                    for i, r, n in zip(row[done].tolist(), left, count):
-                        out[i] = r[:n].tobytes()
+                    left = a[done]
+                    done_row.append(row[done])
+                    done_count.append((left >= 0).sum(1))
+                    done_ids.append(left[left >= 0].astype(np.int32))
                     if len(done) == len(row):
                         break
-                    row, key, best, a, place, rank, into = (x[going] for x in (row, key, best, a, place, rank, into))
+                    row, best, a, place, rank, into = (x[going] for x in (row, best, a, place, rank, into))
+                    key = None if key is None else key[going]
                     every = np.arange(len(row))
+                if key is None:
+                    merges.append((row, into[every, best], place[every, best]))
                 a[every, best] = into[every, best]
                 here, cols = best[:, None], np.arange(a.shape[1] - 1)[None, :]
                 shift = cols + (cols > here)
@@ -215,42 +249,49 @@ class Codec:
                     ok = np.flatnonzero((k >= 0) & (k < rank.shape[1]))
                     if len(ok):
                         c = k[ok]
-                        rank[ok, c], into[ok, c] = self._pairs(a[ok, c], a[ok, c + 1], place[ok, c], key[ok])
-        return out
+                        rank[ok, c], into[ok, c] = self._pairs(a[ok, c], a[ok, c + 1], place[ok, c], None if key is None else key[ok])
+        row, found = np.concatenate(done_row), np.concatenate(done_count)
+        count = np.zeros(len(cuts), np.int64)
+        count[row] = found
+        ids = np.empty(int(count.sum()), np.int32)
+        ids[_spread((np.cumsum(count) - count)[row], found)] = np.concatenate(done_ids)
+        return ids, count, merges
 
     def _forget(self) -> None:
-        self.plain: dict[str, int] = {}        # number of a cut whose plain agenda is kept
-        self.ids_of: list[bytes] = []
-        self.first = np.zeros(1024, np.int64)  # of a cut: its candidates in ``drawn``
+        self.plain = _Numbers()                # number of a cut whose plain agenda is kept
+        self.ids_first, self.ids_count, self.ids_held = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.first = np.zeros(0, np.int64)  # of a cut: its candidates in ``drawn``
         self.count = self.first.copy()
-        self.drawn, self.used = np.zeros((4096, 2), np.uint64), 0
-
-    def _keep(self, cut: str) -> int:
-        ids, candidates = self._agenda(cut, None)
-        k, n = len(self.ids_of), len(candidates) if self.cut_off else 0
-        if k == len(self.first):
-            self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
-        while self.used + n > len(self.drawn):
-            self.drawn = np.concatenate([self.drawn, np.zeros_like(self.drawn)])
-        if n:
-            pairs = np.array(candidates, np.uint64)
-            self.drawn[self.used:self.used + n] = (pairs + np.array([0, 1], np.uint64)) * np.array([_K1, _K2], np.uint64)
-        self.first[k], self.count[k] = self.used, n
-        self.used += n
-        self.ids_of.append(np.array(ids, np.int32).tobytes())
-        return k
+        self.drawn = np.zeros((0, 2), np.uint64)
+
+    def _keep(self, cuts: list[str]) -> None:
+        """Keep the plain agendas of new cuts: their ids, and the draws that may skip one of their merges."""
+        ids, n_ids, merges = self._advance(cuts, None)
+        first = len(self.ids_first)
+        self.ids_first = np.concatenate([self.ids_first, len(self.ids_held) + np.cumsum(n_ids) - n_ids])
+        self.ids_count, self.ids_held = np.concatenate([self.ids_count, n_ids]), np.concatenate([self.ids_held, ids])
+        self.plain.update(zip(cuts, range(first, first + len(cuts))))
+        row, piece, at = (np.concatenate(x) for x in zip(*merges)) if merges and self.cut_off else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(row, kind="stable")
+        drawn = np.stack([piece[order].astype(np.uint64) * np.uint64(_K1), (at[order] + 1).astype(np.uint64) * np.uint64(_K2)], axis=1)
+        count = np.bincount(row, minlength=len(cuts))
+        self.first = np.concatenate([self.first, len(self.drawn) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.drawn = np.concatenate([self.drawn, drawn])
 
     def merged_each(self, cuts: list[str], variants: np.ndarray) -> list[bytes]:
-        """Ids (int32 bytes) of every cut under the draws of its key; exactly those of ``merged``.  A cut
-        none of whose plain candidates is skipped has its plain ids; the others are merged anew."""
-        if len(self.ids_of) > self.limit:
+        """Ids (int32 bytes) of every cut under the draws of its key; exactly those of ``merged``."""
+        return [x.tobytes() for x in _parted(*self._each(cuts, variants))]
+
+    def _each(self, cuts: list[str], variants: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same one after another, and their numbers.  A cut none of whose plain candidates is skipped
+        has its plain ids; the others are merged anew."""
+        if len(self.ids_first) > self.limit:
             self._forget()
-        at = np.empty(len(cuts), np.int64)
-        for i, cut in enumerate(cuts):
-            k = self.plain.get(cut, -1)
-            if k < 0 and len(cut) <= 64:  # longer cuts rarely come again
-                k = self.plain[cut] = self._keep(cut)
-            at[i] = k
+        new = [cut for cut in set(cuts).difference(self.plain) if len(cut) <= 64]  # longer cuts rarely come again
+        for k in range(0, len(new), 32768):
+            self._keep(new[k:k + 32768])
+        at = np.fromiter(map(self.plain.__getitem__, cuts), np.int64, len(cuts))
         key = np.uint64(self.seed * 0x9E3779B97F4A7C15 & _MASK) + variants * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(0x165667B19E3779F9)
         anew = at < 0
         row = np.flatnonzero(~anew)
@@ -258,17 +299,26 @@ class Codec:
         if len(row):
             n = self.count[at[row]]
             start = np.cumsum(n) - n
-            drawn = self.drawn[np.repeat(self.first[at[row]] - start, n) + np.arange(int(n.sum()))]
+            drawn = self.drawn[_spread(self.first[at[row]], n)]
             h = np.repeat(key[row], n) ^ drawn[:, 0] ^ drawn[:, 1]
             h = (h ^ (h >> np.uint64(32))) * np.uint64(_K1)
             skipped = ((h ^ (h >> np.uint64(29))) >> np.uint64(16)) & np.uint64(0xFFFFFFFF) < np.uint64(self.cut_off)
             anew[row] = np.logical_or.reduceat(skipped, start)
-        out = [self.ids_of[k] if k >= 0 else b"" for k in at.tolist()]
+        count = np.zeros(len(cuts), np.int64)
+        same = np.flatnonzero(~anew)
+        count[same] = self.ids_count[at[same]]
+        parts = []
         for part in np.array_split(np.flatnonzero(anew), int(anew.sum()) // 32768 + 1):
             if len(part):
-                for i, ids in zip(part.tolist(), self.merged_many([(cuts[i], v) for i, v in zip(part.tolist(), variants[part].tolist())])):
-                    out[i] = ids
-        return out
+                ids, n, _ = self._advance([cuts[i] for i in part.tolist()], key[part])
+                count[part] = n
+                parts.append((part, n, ids))
+        out = np.empty(int(count.sum()), np.int32)
+        start = np.cumsum(count) - count
+        out[_spread(start[same], count[same])] = self.ids_held[_spread(self.ids_first[at[same]], count[same])]
+        for part, n, ids in parts:
+            out[_spread(start[part], n)] = ids
+        return out, count
 
     def encode_many(self, texts: list[str], keys: list[object]) -> list[np.ndarray]:
         """Ids of the texts; a text's key (the row id) and the ordinal of a cut key its draws."""
@@ -279,8 +329,9 @@ class Codec:
             ends.append(len(cuts))
             of = xxhash.xxh64_intdigest(repr(key).encode(), self.seed & _MASK)
             draws.append(mix64(np.arange(len(own), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(of)))
-        found = self.merged_each(cuts, np.concatenate(draws)) if cuts else []
-        return [np.frombuffer(b"".join(found[a:b]), np.int32) for a, b in zip(ends, ends[1:])]
+        ids, count = self._each(cuts, np.concatenate(draws)) if cuts else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        at = np.concatenate([[0], np.cumsum(count)])[ends].tolist()
+        return [ids[a:b] for a, b in zip(at, at[1:])]
 
     def encode(self, text: str, key: object = None) -> np.ndarray:
         return self.encode_many([text], [key])[0]
@@ -295,6 +346,18 @@ class Codec:
         return self.blob[at].tobytes()[1:]
 
 
+#: The last codec of this process, with what it was made of: tasks that follow one another share it.
+_last: list = []
+
+
+def _codec(held, dropout: float = 0.1, seed: int = 0) -> Codec:
+    """The codec of a broadcast vocabulary.  What it remembers decides nothing but the time."""
+    vocabulary = held.value
+    if not _last or _last[0] != (dropout, seed) or _last[1] != vocabulary:
+        _last[:] = [(dropout, seed), vocabulary, Codec(vocabulary, dropout, seed)]
+    return _last[2]
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), model_path: str = MODEL_PATH,
            dropout: float = 0.1, seed: int = 0) -> DataFrame:
     """``(id, keep..., ids array<int>, n_tokens, n_bytes, round_trip)`` per row."""
@@ -305,7 +368,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
                         "ids array<int>, n_tokens bigint, n_bytes bigint, round_trip boolean"])
 
     def run(batches):
-        codec = Codec(held.value, dropout, seed)
+        codec = _codec(held, dropout, seed)
         for whole in batches:
             for at, end in slices([len(t) if t else 0 for t in whole.column("_text").to_pylist()], 1 << 20):
                 batch = whole.slice(at, end - at)
@@ -329,7 +392,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", model_path: str = MODEL_PAT
 
     @F.pandas_udf("string")
     def text(ids):
-        codec = Codec(held.value)
+        codec = _codec(held)
         return ids.map(lambda x: None if x is None else codec.decode(x).decode())
 
     return encoded.withColumn("decoded", text(F.col(ids_col)))
