@@ -39,7 +39,7 @@ MARK = "▁"
 _CUT = re.compile(r" *[^ \n]+| +|\n")
 _MASK = (1 << 64) - 1
 _SLOTS = (1 << 20) - 1
-_NEVER = np.int64(1 << 60)
+_NEVER = np.int32(1 << 30)
 _K1, _K2 = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 
 
@@ -91,7 +91,7 @@ class Codec:
         self.cut_off = int(dropout * 2**32)
         self._forget()
         # symbol of every code point (negative: bytes), and an open-addressing table of the pairs
-        self.symbol = np.full(0x110000, -1, np.int64)
+        self.symbol = np.full(0x110000, -1, np.int32)
         for p, i in self.ids.items():
             if len(p) == 1:
                 self.symbol[ord(p)] = i
@@ -100,7 +100,7 @@ class Codec:
         pairs = [(self.ids[p[:k]], self.ids[p[k:]], scores[self.rank[p][0]], i) for p, i in self.ids.items()
                  for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids]
         left, right, rank, into = (np.array(x, np.int64) for x in zip(*pairs))
-        self.pair_key, self.pair_rank, self.pair_id = np.full(_SLOTS + 1, -1, np.int64), np.zeros(_SLOTS + 1, np.int64), np.zeros(_SLOTS + 1, np.int64)
+        self.pair_key, self.pair_rank, self.pair_id = np.full(_SLOTS + 1, -1, np.int64), np.zeros(_SLOTS + 1, np.int32), np.zeros(_SLOTS + 1, np.int32)
         key, slot, probe, rows = (left << 32) | right, _slot(left, right), 0, np.arange(len(left))
         while len(rows):  # of the pairs that want a free slot the first gets it, the others probe on
             s = (slot[rows] + probe) & _SLOTS
@@ -215,12 +215,12 @@ class Codec:
             if not len(row):
                 continue
             width = int(size[row].max())
-            column = np.arange(width)
+            column = np.arange(width, dtype=np.int32)
             inside = column < size[row][:, None]
-            a = np.where(inside, symbols[np.minimum(start[row][:, None] + column, len(symbols) - 1)], -1)
+            a = np.where(inside, symbols[np.minimum(start[row][:, None] + column, len(symbols) - 1)], np.int32(-1))
             place = np.broadcast_to(column, a.shape)
             key = None if keys is None else keys[row]
-            rank, into = self._pairs(a[:, :-1], a[:, 1:], place[:, :-1], None if key is None else key[:, None]) if width > 1 else (np.zeros((len(row), 0), np.int64),) * 2
+            rank, into = self._pairs(a[:, :-1], a[:, 1:], place[:, :-1], None if key is None else key[:, None]) if width > 1 else (np.zeros((len(row), 0), np.int32),) * 2
             while True:
                 best = rank.argmin(1) if rank.shape[1] else np.zeros(len(row), np.int64)
                 every = np.arange(len(row))
