@@ -1,7 +1,7 @@
 """Benchmark decontamination: item-sized SimHash windows, multi-index Hamming blocks, exact check.
 
 An item of ``m`` words is compared with every window of ``m`` consecutive words of a
-document.  Words are runs without white space, A-Z lower-cased; shingles are five words
+document, and with a document of fewer words as a whole.  Words are runs without white space, A-Z lower-cased; shingles are five words
 (the whole sequence when there are fewer).
 
 1. A window that shares no shingle with any item has similarity 0, so only windows that
@@ -19,7 +19,7 @@ task; a larger benchmark takes more passes over the documents, whose matches are
 no broadcast grows beyond that.
 
 Null and empty texts and items have no words: they match nothing.  Items with equal text
-are all reported.  Very long documents are scanned whole, in slices of whole documents.
+are all reported; a match of an item whose id is null is reported with a null id.  Very long documents are scanned whole, in slices of whole documents.
 An empty table gives no rows; an empty benchmark leaves every document clean.  Only the
 named columns are read.
 """
@@ -123,8 +123,9 @@ class Index:
         for m, (ids, counts, prints, near) in self.groups.items():
             size = min(SHINGLE, m)
             at = hits[size]
-            if not len(at) or m > len(words):
+            if not len(at):
                 continue
+            m = min(m, len(words))
             starts = np.unique((at[:, None] - np.arange(m - size + 1)[None, :]).ravel())
             starts = starts[(starts >= 0) & (starts <= len(words) - m)]
             for part in np.array_split(starts, len(starts) // 65536 + 1):
@@ -175,8 +176,8 @@ def matches(docs: DataFrame, items: list[tuple[int, str | None]], keep: tuple[st
                     mine = {size: p[(p >= lo) & (p + size <= hi)] - lo for size, p in touched.items()}
                     best = index.matches(split[d], h[lo:hi], mine, similarity)
                     if best:
-                        ids = sorted(best)
-                        out[a + d] = (ids, max(best[i][0] for i in ids), ",".join(f"{i}:{best[i][1]}:{best[i][2]}" for i in ids))
+                        ids = sorted(best, key=lambda i: (i is None, i))
+                        out[a + d] = (ids, max(best[i][0] for i in ids), ",".join(f"{'null' if i is None else i}:{best[i][1]}:{best[i][2]}" for i in ids))
             cols = list(zip(*out)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), *[batch.column(k) for k in keep], pa.array(cols[0], pa.list_(pa.int64())),
@@ -187,7 +188,7 @@ def matches(docs: DataFrame, items: list[tuple[int, str | None]], keep: tuple[st
 
 def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", items_per_block: int = 20_000):
     """The benchmark as blocks of at most ``items_per_block`` ``(id, text)``, in id order."""
-    rows = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
+    rows = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t"))
     block: list[tuple[int, str | None]] = []
     for r in rows.orderBy("i").toLocalIterator():
         block.append((r["i"], r["t"]))
