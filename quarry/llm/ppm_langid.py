@@ -22,7 +22,6 @@ rows equal answers; only the named columns are read.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +32,6 @@ from pyspark.sql import functions as F
 from quarry.llm.common import slices
 
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _SLICE = 1 << 20
 
 
@@ -170,7 +168,7 @@ def predict(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: st
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             lang, score, rate = [UNDETERMINED] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
-            todo = [i for i, t in enumerate(texts) if model and t and _LETTER.search(t)]
+            todo = [i for i, t in enumerate(texts) if model and t and any(map(str.isalpha, t))]
             raw = [texts[i].encode() for i in todo]
             for a, b in slices([len(t) for t in raw], _SLICE):
                 bits = code_lengths(model, raw[a:b])
