@@ -63,6 +63,10 @@ def _bounds(words: list[bytes]) -> tuple[bytes, list[int], list[int]]:
     return b" ".join(words), starts.tolist(), ends.tolist()
 
 
+#: The low half of a packed piece: its number of edges.
+_LOW = (1 << 32) - 1
+
+
 def _cut(raws: list[bytes], window: int):
     """(words, grams, first word per document, pieces) of some documents."""
     split = [r.split() for r in raws]
@@ -86,7 +90,7 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _pieces(docs: DataFrame, window: int) -> DataFrame:
-    """``(anchor, k1, k2, id, at)``: digest of the words, document and ``position * 256 + edges``."""
+    """``(anchor, k1, k2, id, at)``: digest of the words, document and ``position << 32 | edges``."""
     def run(batches):
         for batch in batches:
             raws = utf8(batch.column("text"))
@@ -99,7 +103,7 @@ def _pieces(docs: DataFrame, window: int) -> DataFrame:
                 doc = np.searchsorted(first, start, "right") - 1  # documents without words share a start with the next one
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(grams[at].view(np.int64)), pa.array(keys[:, 0].astype(np.int64)), pa.array((keys[:, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                     batch.column("id").take(pa.array(doc + a)), pa.array((start - first[doc]) * 256 + edges)], names=["anchor", "k1", "k2", "id", "at"])
+                     batch.column("id").take(pa.array(doc + a)), pa.array((start - first[doc]).astype(np.int64) << 32 | edges)], names=["anchor", "k1", "k2", "id", "at"])
 
     return docs.mapInArrow(run, f"anchor bigint, k1 bigint, k2 int, id {docs.schema['id'].dataType.simpleString()}, at bigint")
 
@@ -113,7 +117,7 @@ def _edges(asked: DataFrame, window: int) -> DataFrame:
                 ids, starts, digests = [], [], []
                 for row, (raw, pieces_) in enumerate(zip(utf8(batch.column("text")), batch.column("at").to_pylist())):
                     text, begin, end = _bounds(raw.split())
-                    own = [s for p in sorted(set(pieces_)) for s in range(p >> 8, (p >> 8) + (p & 255)) if s + window <= len(end)]
+                    own = [s for p in sorted(set(pieces_)) for s in range(p >> 32, (p >> 32) + (p & _LOW)) if s + window <= len(end)]
                     digests += [xxhash.xxh3_128_digest(text[begin[s]:end[s + window - 1]]) for s in own]
                     starts += own
                     ids += [row] * len(own)
@@ -132,10 +136,10 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     found = stored(_pieces(docs, window).join(often, "anchor"), "pieces")
     source = found.groupBy("anchor", "k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("id", "at")).alias("first"))
     # occurrences of a piece that are not its source
-    again = source.where(F.col("n") > 1).select("anchor", "k1", "k2", "first")
+    again = stored(source.where(F.col("n") > 1).select("anchor", "k1", "k2", "first"), "again")
     copies = found.join(again, ["anchor", "k1", "k2"]).where(~((F.col("id") == F.col("first")["id"]) & (F.col("at") == F.col("first")["at"])))
-    start = F.shiftright("at", 8)
-    copied = copies.select("id", start.alias("start"), (start + F.col("at").bitwiseAND(255) + (window - 1)).alias("end"))
+    start = F.shiftright("at", 32)
+    copied = copies.select("id", start.alias("start"), (start + F.col("at").bitwiseAND(F.lit(_LOW)) + (window - 1)).alias("end"))
     # sources at branches: anchors with several different pieces
     branch = source.groupBy("anchor").agg(F.count("*").alias("pieces")).where(F.col("pieces") > 1).select("anchor")
     sources = source.join(branch, "anchor").select(F.col("first")["id"].alias("_id"), F.col("first")["at"].alias("at"))
