@@ -276,18 +276,24 @@ def _neighbours(contexts: DataFrame, path: str, side: str) -> DataFrame:
     pairs = dealt.mapInArrow(run, f"id {kind}, at bigint, anchor bigint, l bigint, r bigint, edge bigint, right binary, left binary")
     found = caller.read.schema(pairs.schema).parquet(written(pairs, "neighbours", caller))
 
-    def across(table):
-        """Last row of a partition against the first of the next one that has rows."""
-        rows = sorted(table.to_pylist(), key=lambda x: x["edge"])
-        out = []
-        for x, y in zip(rows[1::2], rows[2::2]):
-            if x["anchor"] == y["anchor"]:
-                l, r = _common(x["left"], y["left"]), _common(x["right"], y["right"])
-                out += [{"id": z["id"], "at": z["at"], "anchor": z["anchor"], "l": l, "r": r} for z in (x, y)]
-        return pa.Table.from_pylist(out, schema=pa.schema([table.schema.field("id"), ("at", pa.int64()), ("anchor", pa.int64()), ("l", pa.int64()), ("r", pa.int64())]))
-
-    edges = found.where("edge is not null").select(F.lit(1).alias("all"), "id", "at", "anchor", "edge", "right", "left")
-    more = edges.groupBy("all").applyInArrow(across, f"id {kind}, at bigint, anchor bigint, l bigint, r bigint")
+    # the last row of a partition against the first of the next one that has rows; the driver links
+    # the numbers of the partitions, the rows meet in a join
+    columns = ["id", "at", "anchor", "edge", "right", "left"]
+    edges = found.where("edge is not null").select(*columns)
+    numbers = sorted(r["n"] for r in edges.select(F.shiftright("edge", 1).alias("n")).distinct().collect())
+    links = caller.createDataFrame([(2 * x + 1, 2 * y) for x, y in zip(numbers, numbers[1:])], "_last bigint, _next bigint")
+    last, following = (edges.select(*[F.col(c).alias(f"{side}_{c}") for c in columns]) for side in "xy")
+    met = last.join(links, F.col("x_edge") == F.col("_last")).join(following, F.col("_next") == F.col("y_edge")).where("x_anchor = y_anchor")
+
+    def across(batches):
+        for batch in batches:
+            x_left, y_left, x_right, y_right = (batch.column(c).to_pylist() for c in ("x_left", "y_left", "x_right", "y_right"))
+            l, r = ([_common(a, b) for a, b in zip(*sides)] for sides in ((x_left, y_left), (x_right, y_right)))
+            for side in "xy":
+                yield pa.RecordBatch.from_arrays([*[batch.column(f"{side}_{c}") for c in ("id", "at", "anchor")], pa.array(l, pa.int64()), pa.array(r, pa.int64())],
+                                                 names=["id", "at", "anchor", "l", "r"])
+
+    more = met.mapInArrow(across, f"id {kind}, at bigint, anchor bigint, l bigint, r bigint")
     return found.where("edge is null").select("id", "at", "anchor", "l", "r").unionByName(more)
 
 
@@ -342,7 +348,7 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     found = stored(_pieces(docs, length).join(often, "anchor"), "pieces")
     place = F.struct("id", "at", "start", "windows")
     source = found.groupBy("anchor", "k1", "k2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    twice = source.where("first <> last").select("anchor", "k1", "k2")
+    twice = stored(source.where("first <> last").select("anchor", "k1", "k2"), "twice")
     copied = found.join(twice, ["anchor", "k1", "k2"]).select("id", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
     # anchors with several pieces, one at least of which occurs once (the others are settled)
     branch = source.groupBy("anchor").agg(F.count("*").alias("pieces"), F.max(F.expr("first = last")).alias("any")).where("pieces > 1 AND any").select("anchor")
