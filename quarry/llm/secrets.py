@@ -174,8 +174,21 @@ def contexts(text: str) -> Iterator[re.Match]:
             at = value.end()
 
 
+#: Values that name something else: ``${NAME}``, ``{{ name }}``, ``<name>``, ``%(name)s``, ``$NAME``; without quotes also
+#: a name in snake case, and a name before a bracket (a type, a call or a lookup).
+_REFERENCE = re.compile(r"\$\{[^}]*+\}|\{\{.*|<[^<>]*+>|%\([^)]*+\)s?|\$[A-Z_]++|%[A-Z_]++%", re.I | re.A)
+_CODE = re.compile(r"[a-z]{2,}(?:_[a-z]{2,})++|[a-z_][a-z_.]*+[\[(].*", re.I | re.A)
+
+
+def is_reference(value: str, quoted: bool) -> bool:
+    """Whether a value stands for one that is elsewhere."""
+    value = value.rstrip(".,;:!?")
+    return bool(_REFERENCE.fullmatch(value) or not quoted and _CODE.fullmatch(value))
+
+
 def guess_spans(text: str, cost: GuessCost, min_log10: float, raw: bytes | None = None) -> list[tuple[str, int, int]]:
-    """Values in a credential context that are dear to guess; closing punctuation is cut off."""
+    """Values in a credential context that are dear to guess; closing punctuation is cut off, references
+    to values elsewhere are left out."""
     lower = (text.encode() if raw is None else raw).lower()
     if not any(name in lower for name in _CONTEXT_NAMES):
         return []
@@ -185,7 +198,7 @@ def guess_spans(text: str, cost: GuessCost, min_log10: float, raw: bytes | None
         if m.lastindex == 3:
             while end > start and text[end - 1] in ".,;:!?)]}>":
                 end -= 1
-        if end - start >= 6 and cost(text[start:end]) >= min_log10:
+        if end - start >= 6 and not is_reference(m[m.lastindex], m.lastindex < 3) and cost(text[start:end]) >= min_log10:
             out.append(("guess", start, end))
     return out
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from quarry.llm import debruijn, decontam, ppm_langid, suffix_dedup
+from quarry.llm import debruijn, decontam, ppm_langid, secrets, suffix_dedup
 from tests.llm.test_llm import brute_bytes, brute_words
 
 
@@ -45,3 +45,12 @@ def test_numerals_are_no_letters(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r["doc_id"]: r["lang_pred"] for r in ppm_langid.predict(docs, docs["doc_id"] < 5).collect()}
     assert got[10] == "und" and got[11] == got[12] == "en"
+
+
+def test_references_and_types_are_no_secrets():
+    cost = secrets.GuessCost()
+    for text in ("def get(key: Optional[Mapping[str, Any]])", "primary key: customer_identifier", "password: ${DB_PASSWORD_PLACEHOLDER}",
+                 "token = os.environ['X']", 'secret: "{{ vault.secret_value }}"', "password=<YOUR-PASSWORD-HERE>", "api_key = $MY_SECRET_API_KEY", "pwd = %(db_password)s"):
+        assert secrets.guess_spans(text, cost, 9.0) == [], text
+    for text in ("password: Zk8#qT!9vLx2", 'key = "wJalrXUtnFEMI/K7MDENG"', "token: x_9fK2_qq7Zt", "secret=a9[Kq(2z!Wm"):
+        assert len(secrets.guess_spans(text, cost, 9.0)) == 1, text
