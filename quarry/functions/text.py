@@ -211,3 +211,11 @@ def format_fixed(c: Column | str, places: int = 2, suffix: str = "") -> Column:
     double instead)."""
     dec = F.round(_c(c).cast("decimal(38,10)"), places).cast(f"decimal(38,{places})")
     return F.concat(dec.cast("string"), F.lit(suffix))
+
+
+def line_timestamp(c: Column | str, year: int, pattern: str = "MM-dd HH:mm:ss.SSS") -> Column:
+    """The stamp a log line begins with as a timestamp (session time zone); NULL when it is not one.
+
+    The stamp has as many characters as ``pattern`` and no year."""
+    line = F.col(c) if isinstance(c, str) else c
+    return F.try_to_timestamp(F.concat(F.lit(f"{year:04d} "), F.substring(line, 1, len(pattern))), F.lit(f"yyyy {pattern}"))

@@ -28,11 +28,12 @@ from quarry.streaming.windows import COUNT_SLIDE_S, COUNT_WINDOW_S, _window_boun
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def state_session(spark: SparkSession) -> SparkSession:
-    """A session beside ``spark`` whose streams keep their state in RocksDB."""
+def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session beside ``spark`` whose streams keep their state in RocksDB, in ``partitions`` stores (as
+    many as ``spark`` has shuffle partitions when not given); a query keeps the number it started with."""
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
-    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.conf.get("spark.sql.shuffle.partitions")))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return session

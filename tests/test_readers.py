@@ -151,3 +151,14 @@ def test_within_seconds_matches_brute_force(spark):
     want = {(i, j) for i, ta in a for j, tb in b if abs((tb - ta).total_seconds()) <= 60}
     assert got == want
     assert (0, 1000) in got and (0, 1001) in got and (0, 1002) not in got
+
+
+def test_publish_text_makes_one_file(spark, tmp_path):
+    from quarry.sources.sinks import publish_text
+    path = tmp_path / "out.txt"
+    for n in (5000, 0, 3):  # replaced each time
+        publish_text(spark.range(n).repartition(4).orderBy("id"), str(path))
+        assert path.is_file() and path.read_text().split() == [str(i) for i in range(n)]
+    publish_text(spark.range(100).repartition(3), str(tmp_path / "out.gz"), compression="gzip")
+    assert spark.read.text(str(tmp_path / "out.gz")).count() == 100
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")) == ["out.gz", "out.txt"]

@@ -105,3 +105,10 @@ def test_tokens_follow_java_split(spark):
     assert one(spark, " a b c d e f g h", T.stamp_prefix("v")) == "a"
     assert one(spark, "a  b c  d  ", T.tokens("v", " ")) == ["a", "", "b", "c", "", "d"]
     assert one(spark, "a b", T.tokens("v")) == ["a", "b"]
+
+
+def test_line_timestamp_is_permissive(spark):
+    rows = [("01-31 23:59:58.123 x",), ("13-45 00:00:00.000 x",), ("02-30 00:00:00.000",), ("short",), (None,), ("",)]
+    df = spark.createDataFrame(rows, "line string")
+    got = [r.t for r in df.select(T.line_timestamp("line", 2024).cast("string").alias("t")).collect()]
+    assert got == ["2024-01-31 23:59:58.123", None, None, None, None, None]
