@@ -157,7 +157,15 @@ class MessageLog(DataSource):
 
 def log_stream(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
     """The messages of a log as a stream."""
-    spark.dataSource.register(MessageLog)
+    # Spark looks for the name in the active session too, and refuses one that only that session knows
+    sessions = spark._jvm.org.apache.spark.sql.classic.SparkSession
+    active = sessions.getActiveSession()
+    sessions.setActiveSession(spark._jsparkSession)
+    try:
+        spark.dataSource.register(MessageLog)
+    finally:
+        if active.isDefined():
+            sessions.setActiveSession(active.get())
     return spark.readStream.format("message_log").schema(schema).options(**options).load(path)
 
 
