@@ -97,7 +97,7 @@ def test_thousand_patterns_equal_like(spark):
     wanted = [(k, [draw.choice(words)[:draw.randrange(1, 5)] for _ in range(draw.randrange(1, 4))]) for k in range(1000)]
     wanted += [(1000, []), (1001, None), (1002, ["", "%b"]), (1003, ["zzzz"]), (1004, ["aa", "aa"])]
     got = patterns.pattern_matches(spark.createDataFrame(lines, "id long, text string"), "id", "text",
-                                   spark.createDataFrame(wanted, "p long, pieces array<string>"), "p", "pieces")
+                                   spark.createDataFrame(wanted, "p long, pieces array<string>"), "p", "pieces", patterns_per_block=300)
     want = []
     for k, pieces in wanted:
         for i, text in lines if any(pieces or []) else []:
