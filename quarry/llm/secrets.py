@@ -12,14 +12,19 @@ The method's kind, ``guess``, looks at the value after any name that holds a cre
 cheapest way to guess the value: it is cut into dictionary words (plain, capitalised or with
 digits for letters), dates, repeats, keyboard walks and brute-force spans, each with its
 log10 number of guesses, and the sum is least over all cuts.  The dictionary is a short list of
-password words and, per language, the words of the documents themselves, ranked by a Spark word
-count (``dictionary``: 20,000 words a language at most; values of credential names and words of
-a single text are not counted).  A repeat is a block of up to
-``LONGEST_BLOCK`` characters written twice or more (a single one three times); repeats and walks
-reach as far back as they go.  A value that needs
-``min_log10`` or more is a secret; cheap values (``password: changeme``) are not reported by
-this kind.  The program is linear in the length of the value (pieces are bounded, repeats
-and walks are extended step by step), so a very long value is handled whole.
+password words and all words of the documents themselves (of ``LONGEST_WORD`` letters at most, in two
+different texts at least, values of credential names left out), ranked per language by how many
+documents use them; equal counts share a rank, and a word of several languages has its best one.
+A repeat is a block of up to ``LONGEST_BLOCK`` characters written twice or more (a single one three
+times).  A value that needs ``min_log10`` or more is a secret; cheap values (``password: changeme``)
+are not reported by this kind.  The program takes a bounded number of steps a character: pieces are
+bounded, of walks and repeats only the starts that can still be best are kept.  A very long value is
+handled whole.
+
+The counted dictionary never leaves the cluster.  Documents with a value that is dear without it
+are stored; the pieces of those values are joined with the counted words, each value is priced with
+the words it holds, and the dear ones are joined back.  All other documents are scanned where they
+are.  What is gathered for one value or document is bounded by its own text.
 
 The answer for a text thus depends on the table it is in.  Offsets are code points, ends
 exclusive.  Null and empty texts have no spans.  Repeated rows
@@ -31,7 +36,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 import xxhash
@@ -76,7 +81,8 @@ LONGEST_WORD = 24
 _WORD = re.compile(r"[^\W\d_]+")
 _TEXT_NAMES = tuple(name.decode() for name in _CONTEXT_NAMES)
 _DATE = re.compile(r"(?:(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01]))|"
-                   r"(?:(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d)|(?:(?:19|20)\d\d)")
+                   r"(?:(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d)")
+_YEAR = re.compile(r"(?:19|20)\d\d")
 
 
 class GuessCost:
@@ -95,30 +101,33 @@ class GuessCost:
                 self.next.setdefault(a, set()).add(b)
                 self.next.setdefault(b, set()).add(a)
 
-    def __call__(self, value: str) -> float:
-        n, low = len(value), value.lower()
-        if len(low) != n:  # lower-casing a few letters changes the length
-            low = value
-        plain = low.translate(_LEET)
+    def __call__(self, value: str, counted: Mapping[str, int] | None = None) -> float:
+        """``counted`` gives the ranks of further words."""
+        n, low, plain = len(value), *_folded(value)
+        more = {w: min(r, self.rank.get(w, r)) for w, r in (counted or {}).items()}
+        longest = max(self.longest, max(map(len, more), default=0))
         dates = {}
-        for i in range(n):
-            m = _DATE.match(value, i)
-            if m:
-                dates.setdefault(m.end(), []).append((i, 4.0 if m.end() - i > 4 else 2.0))
+        for kind, price in ((_DATE, 4.0), (_YEAR, 2.0)):
+            for i in range(n):
+                m = kind.match(value, i)
+                if m:
+                    dates.setdefault(m.end(), []).append((i, price))
         best = [0.0] + [math.inf] * n  # cost of the first k characters
         brute = math.inf               # cheapest open brute-force span, one digit of cost a character
-        walk = 0                       # start of the walk that ends here
+        walk, walks = 0, []            # start of the walk that ends here, and the starts in it that can be best
         same = [0] * (LONGEST_BLOCK + 1)  # by block size: characters up to here that equal those one block before
+        repeats: list[list[int]] = [[] for _ in same]
         for k in range(1, n + 1):
             c = low[k - 1]
             brute = min(brute, best[k - 1] + 1.0) + 1.0
             cost = brute
-            for size in range(3, min(self.longest, k) + 1):
+            for size in range(3, min(longest, k) + 1):
                 piece = low[k - size:k]
-                rank = self.rank.get(piece)
+                rank = more.get(piece) or self.rank.get(piece)
                 extra = 0.0
                 if rank is None:
-                    rank = self.rank.get(plain[k - size:k])
+                    piece_ = plain[k - size:k]
+                    rank = more.get(piece_) or self.rank.get(piece_)
                     extra = math.log10(4)
                 if rank:
                     if value[k - size:k] != piece:
@@ -127,19 +136,48 @@ class GuessCost:
             for start, price in dates.get(k, ()):
                 cost = min(cost, best[start] + price)
             for size in range(1, min(LONGEST_BLOCK, k - 1) + 1):
-                same[size] = same[size] + 1 if c == low[k - 1 - size] else 0
+                if c != low[k - 1 - size]:
+                    same[size], repeats[size] = 0, []
+                    continue
+                same[size] += 1
                 if same[size] >= max(size, 2):
-                    span = same[size] + size
                     block = math.log10(95) if size == 1 else size + 1.0
-                    cost = min(cost, best[k - span] + block + math.log10(span / size))
+                    repeats[size] = _open(repeats[size], k - size - max(size, 2), k, best)
+                    cost = min(cost, _least(repeats[size], k, best) + block - math.log10(size))
             if k > 1 and c not in self.next.get(low[k - 2], ()):
-                walk = k - 1
+                walk, walks = k - 1, []
             if k - walk >= 3:
-                cost = min(cost, best[walk] + math.log10(94 * (k - walk)))
+                walks = _open(walks, k - 3, k, best)
+                cost = min(cost, _least(walks, k, best) + math.log10(94))
             best[k] = cost
         return best[n]
 
 
+def _open(starts: list[int], new: int, k: int, best: list[float]) -> list[int]:
+    """The starts, with a new one, of a span up to ``k`` or beyond whose cost ``best[s] + log10(k - s)`` can be
+    least.  The gap between a later and an earlier start only grows with ``k``: a later one that is no
+    cheaper now never will be, and one whose own ``best`` is lower always is."""
+    out, least = [], math.inf
+    for s in [s for s in starts if best[s] < best[new]] + [new]:
+        cost = best[s] + math.log10(k - s)
+        if cost < least:
+            out.append(s)
+            least = cost
+    return out
+
+
+def _least(starts: list[int], k: int, best: list[float]) -> float:
+    return best[starts[-1]] + math.log10(k - starts[-1])
+
+
+def _folded(value: str) -> tuple[str, str]:
+    """A value in lower case, and that with letters for digits."""
+    low = value.lower()
+    if len(low) != len(value):  # lower-casing a few letters changes the length
+        low = value
+    return low, low.translate(_LEET)
+
+
 def base_spans(text: str, raw: bytes | None = None) -> list[tuple[str, int, int]]:
     """The spans of the base kinds; ``raw`` (UTF-8) lets texts without any name be skipped fast."""
     raw = text.encode() if raw is None else raw
@@ -186,9 +224,9 @@ def is_reference(value: str, quoted: bool) -> bool:
     return bool(_REFERENCE.fullmatch(value) or not quoted and _CODE.fullmatch(value))
 
 
-def guess_spans(text: str, cost: GuessCost, min_log10: float, raw: bytes | None = None) -> list[tuple[str, int, int]]:
-    """Values in a credential context that are dear to guess; closing punctuation is cut off, references
-    to values elsewhere are left out."""
+def candidates(text: str, raw: bytes | None = None) -> list[tuple[int, int]]:
+    """Spans of the values in a credential context; closing punctuation is cut off, references to values
+    elsewhere are left out."""
     lower = (text.encode() if raw is None else raw).lower()
     if not any(name in lower for name in _CONTEXT_NAMES):
         return []
@@ -198,11 +236,16 @@ def guess_spans(text: str, cost: GuessCost, min_log10: float, raw: bytes | None
         if m.lastindex == 3:
             while end > start and text[end - 1] in ".,;:!?)]}>":
                 end -= 1
-        if end - start >= 6 and not is_reference(m[m.lastindex], m.lastindex < 3) and cost(text[start:end]) >= min_log10:
-            out.append(("guess", start, end))
+        if end - start >= 6 and not is_reference(m[m.lastindex], m.lastindex < 3):
+            out.append((start, end))
     return out
 
 
+def guess_spans(text: str, cost: Callable[[str], float], min_log10: float, raw: bytes | None = None) -> list[tuple[str, int, int]]:
+    """Values in a credential context that are dear to guess."""
+    return [("guess", a, b) for a, b in candidates(text, raw) if cost(text[a:b]) >= min_log10]
+
+
 def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2])))
 
@@ -230,10 +273,9 @@ def _words(text: str) -> set[str]:
     return {w for p in parts for w in map(str.lower, _WORD.findall(p)) if 3 <= len(w) <= LONGEST_WORD}
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", top: int = 20_000, languages: int = 64) -> list[list[str]]:
-    """Ranked words per language, counted from the documents: by how many documents use a word, those
-    of two different texts at least.  At most ``top`` words of each of the ``languages`` with most
-    words reach the driver (a rank whose ties pass the bound is left out whole)."""
+def counted_words(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang") -> tuple[DataFrame, DataFrame]:
+    """``(lang, word, n)``: how many documents use a word, those of two different texts at least; and
+    ``(lang, n, rank, upto)``: the rank of the words used ``n`` times and how many words have it or a better one."""
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
 
     def count(batches):
@@ -255,49 +297,108 @@ def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str | None = "
     counted = texts.mapInArrow(count, "lang string, word string, n bigint, low bigint, high bigint")
     counted = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
     counted = stored(counted.where("low <> high").select("lang", "word", "n"), "words")
-    largest = [r["lang"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()]
-    cells = counted.groupBy("lang", "n").agg(F.count("*").alias("words"))
-    below = F.sum("words").over(Window.partitionBy("lang").orderBy(F.desc("n")))
-    least = {r["lang"]: r["n"] for r in cells.withColumn("upto", below).where(F.col("upto") <= top).groupBy("lang").agg(F.min("n").alias("n")).collect()}
-    bound = F.lit(False)
-    for x in largest:
-        if x in least:
-            bound |= F.col("lang").eqNullSafe(F.lit(x)) & (F.col("n") >= least[x])
+    # one row per language and count: as many as there are different counts
+    upto = F.sum("words").over(Window.partitionBy("lang").orderBy(F.desc("n")))
+    ranks = counted.groupBy("lang", "n").agg(F.count("*").alias("words")).withColumn("upto", upto)
+    return counted, ranks.select("lang", "n", (F.col("upto") - F.col("words") + 1).alias("rank"), "upto")
+
+
+def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str | None = "lang", top: int = 20_000) -> list[list[str]]:
+    """The ``top`` most used words per language (ties that pass the bound left out), to look at; ``scan`` uses all."""
+    counted, ranks = counted_words(docs, text_col, lang_col)
+    rows = counted.join(ranks.where(F.col("upto") <= top).withColumnRenamed("lang", "_lang"), F.expr("lang <=> _lang") & (counted["n"] == ranks["n"]))
     ranked: dict[str | None, list[str]] = {}
-    for r in sorted(counted.where(bound).collect(), key=lambda r: (-r["n"], r["word"])):
+    for r in sorted(rows.select("lang", "word", "rank").collect(), key=lambda r: (r["rank"], r["word"])):
         ranked.setdefault(r["lang"], []).append(r["word"])
     return list(ranked.values())
 
 
+def _pieces(value: str) -> set[str]:
+    """What a dictionary word could be in a value."""
+    return {form[i:i + size] for form in set(_folded(value)) for size in range(3, LONGEST_WORD + 1) for i in range(len(form) - size + 1)}
+
+
+def dear_values(values: DataFrame, counted: DataFrame, ranks: DataFrame, min_log10: float, words: Sequence[str]) -> DataFrame:
+    """The rows of ``(vid, value)`` that need ``min_log10`` or more guesses with the counted words, too."""
+    def cut(batches):
+        for batch in batches:
+            for vid, value in zip(batch.column("vid").to_pylist(), batch.column("value").to_pylist()):
+                found = list(_pieces(value))
+                yield pa.RecordBatch.from_arrays([pa.array([vid] * len(found), pa.int64()), pa.array(found, pa.string())], names=["vid", "piece"])
+
+    hits = values.mapInArrow(cut, "vid bigint, piece string").join(counted, F.col("piece") == F.col("word"))
+    hits = hits.select("vid", "word", F.col("lang").alias("_lang"), F.col("n").alias("_n")).join(ranks, F.expr("lang <=> _lang and n = _n"))
+    held = hits.groupBy("vid", "word").agg(F.min("rank").alias("rank")).groupBy("vid").agg(F.collect_list(F.struct("word", "rank")).alias("hits"))
+
+    def price(batches):
+        cost = GuessCost(words)
+        for batch in batches:
+            dear = [cost(value, {h["word"]: h["rank"] for h in hits or ()}) >= min_log10
+                    for value, hits in zip(batch.column("value").to_pylist(), batch.column("hits").to_pylist())]
+            yield batch.select(["vid", "value"]).filter(pa.array(dear, pa.bool_()))
+
+    return values.join(held, "vid", "left").select("vid", "value", "hits").mapInArrow(price, "vid bigint, value string")
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), min_log10: float = 9.0,
-         words: Sequence[str] = WORDS, redact: bool = False, lang_col: str = "lang", top: int = 20_000) -> DataFrame:
+         words: Sequence[str] = WORDS, redact: bool = False, lang_col: str = "lang") -> DataFrame:
     """``(id, keep..., n_assign, n_access, n_hex, base_sha256, spans, n_guess)``, and with
     ``redact`` the ``redacted`` text (null stays null).  The dictionary is counted first, per ``lang_col``
     if there is one."""
-    more = dictionary(docs, text_col, lang_col if lang_col in docs.columns else None, top)
-    held = docs.sparkSession.sparkContext.broadcast([tuple(words), *more])
+    words = tuple(words)
+    counted, ranks = counted_words(docs, text_col, lang_col if lang_col in docs.columns else None)
     kept = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(k) for k in keep])
+    carried = ", ".join(f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in ["_id", *keep])
     names = ["_id", *keep, "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"] + ["redacted"] * redact
-    schema = ", ".join([f"`_id` {kept.schema['_id'].dataType.simpleString()}", *[f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in keep],
-                        "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_guess bigint"] + ["redacted string"] * redact)
+    schema = ", ".join([carried, "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_guess bigint"] + ["redacted string"] * redact)
+
+    def open_values(text: str, raw: bytes, cost: GuessCost) -> list[str]:
+        """Values that are dear without the counted words; those only make values cheaper."""
+        found = dict.fromkeys(text[a:b] for a, b in candidates(text, raw))
+        return [v for v in found if cost(v) >= min_log10]
 
-    def run(batches):
-        cost = GuessCost(*held.value)
+    def ask(batches):
+        cost = GuessCost(words)
         for batch in batches:
-            rows, clean = [], []
-            for text in batch.column("_text").to_pylist():
-                body = text or ""
-                raw = body.encode()
-                base = base_spans(body, raw)
-                more = guess_spans(body, cost, min_log10, raw)
-                n = [sum(k == kind for k, _, _ in base) for kind in KINDS[:3]]
-                rows.append((*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + more), len(more)))
-                if redact:
-                    clean.append(redacted(text, base + more) if text and (base or more) else text)
-            cols = list(zip(*rows)) or [()] * 6
-            kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), *[batch.column(k) for k in keep], *[pa.array(c, t) for c, t in zip(cols, kinds)],
-                 *([pa.array(clean, pa.string())] if redact else [])], names=names)
+            asked = [open_values(t, t.encode(), cost) if t else [] for t in batch.column("_text").to_pylist()]
+            rows = pa.array([i for i, v in enumerate(asked) if v], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.take(rows).columns, pa.array([v for v in asked if v], pa.list_(pa.string()))], names=[*batch.schema.names, "_values"])
+
+    def judged(batch: pa.RecordBatch, dear: Sequence[Sequence[str] | None]) -> pa.RecordBatch:
+        rows, clean = [], []
+        for text, secret in zip(batch.column("_text").to_pylist(), dear):
+            body = text or ""
+            raw = body.encode()
+            base = base_spans(body, raw)
+            secret = frozenset(secret or ())
+            more = [("guess", a, b) for a, b in candidates(body, raw) if body[a:b] in secret] if secret else []
+            n = [sum(k == kind for k, _, _ in base) for kind in KINDS[:3]]
+            rows.append((*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + more), len(more)))
+            if redact:
+                clean.append(redacted(text, base + more) if text and (base or more) else text)
+        cols = list(zip(*rows)) or [()] * 6
+        kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("_id"), *[batch.column(k) for k in keep], *[pa.array(c, t) for c, t in zip(cols, kinds)],
+             *([pa.array(clean, pa.string())] if redact else [])], names=names)
+
+    def plain(batches):
+        cost = GuessCost(words)
+        for batch in batches:
+            texts = batch.column("_text").to_pylist()
+            rest = batch.take(pa.array([i for i, t in enumerate(texts) if not (t and open_values(t, t.encode(), cost))], pa.int64()))
+            yield judged(rest, [None] * rest.num_rows)
 
-    return kept.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    def settle(batches):
+        for batch in batches:
+            yield judged(batch, batch.column("_dear").to_pylist())
+
+    asked = kept.mapInArrow(ask, f"`_id` {kept.schema['_id'].dataType.simpleString()}, `_text` string, "
+                            + "".join(f"`{k}` {kept.schema[k].dataType.simpleString()}, " for k in keep) + "`_values` array<string>")
+    asked = stored(asked.withColumn("_rid", F.monotonically_increasing_id()), "asked")  # numbers last once they are written
+    values = stored(asked.select(F.explode("_values").alias("value")).distinct().withColumn("vid", F.monotonically_increasing_id()), "values")
+    dear = stored(dear_values(values, counted, ranks, min_log10, words), "dear")
+    own = asked.select("_rid", F.explode("_values").alias("value")).join(dear, "value")
+    own = own.groupBy("_rid").agg(F.collect_list("value").alias("_dear"))
+    settled = asked.drop("_values").join(own, "_rid", "left").mapInArrow(settle, schema)
+    return kept.mapInArrow(plain, schema).unionByName(settled).withColumnRenamed("_id", id_col)
