@@ -326,7 +326,8 @@ def dear_values(values: DataFrame, counted: DataFrame, ranks: DataFrame, min_log
                 found = list(_pieces(value))
                 yield pa.RecordBatch.from_arrays([pa.array([vid] * len(found), pa.int64()), pa.array(found, pa.string())], names=["vid", "piece"])
 
-    hits = values.mapInArrow(cut, "vid bigint, piece string").join(counted, F.col("piece") == F.col("word"))
+    # merged, not broadcast: in memory the counted words are many times their size on disk, and grow
+    hits = values.mapInArrow(cut, "vid bigint, piece string").join(counted.hint("merge"), F.col("piece") == F.col("word"))
     hits = hits.select("vid", "word", F.col("lang").alias("_lang"), F.col("n").alias("_n")).join(ranks, F.expr("lang <=> _lang and n = _n"))
     held = hits.groupBy("vid", "word").agg(F.min("rank").alias("rank")).groupBy("vid").agg(F.collect_list(F.struct("word", "rank")).alias("hits"))
 
