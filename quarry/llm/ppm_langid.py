@@ -151,12 +151,34 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     return np.add.reduceat(costs, edges, axis=0, dtype=np.float64)[::2]
 
 
+def learn(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          order: int = 3, rows_per_lang: int = 400, bytes_per_lang: int = 2_000_000) -> Model | None:
+    """The model of the rows for which ``train`` holds; None if there is no row to learn from."""
+    return fit(sample(docs.where(train), id_col, text_col, lang_col, rows_per_lang, bytes_per_lang), order)
+
+
+def usual_rates(docs: DataFrame, model: Model | None, train: Column, id_col: str = "doc_id", text_col: str = "text",
+                lang_col: str = "lang") -> dict[str, tuple[float, float, float]]:
+    """Mean and deviation of the bits per byte, and mean bytes, of all rows for which ``train`` holds and whose
+    language is predicted as labelled: one row per learned language."""
+    if model is None:
+        return {}
+    rows = docs.where(train).select(id_col, text_col, F.col(lang_col).alias("_lang"), F.octet_length(text_col).alias("_size"))
+    judged = predict(rows, train, id_col, text_col, lang_col, keep=("_lang", "_size"), model=model)
+    found = judged.where("lang_pred = _lang and _size > 0").groupBy("lang_pred").agg(
+        F.avg("bits_per_byte").alias("mean"), F.stddev_pop("bits_per_byte").alias("spread"), F.avg("_size").alias("size"))
+    return {r["lang_pred"]: (r["mean"], r["spread"], r["size"]) for r in found.collect()}
+
+
 def predict(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-            keep: tuple[str, ...] = (), order: int = 3, rows_per_lang: int = 400, bytes_per_lang: int = 2_000_000) -> DataFrame:
+            keep: tuple[str, ...] = (), order: int = 3, rows_per_lang: int = 400, bytes_per_lang: int = 2_000_000,
+            model: Model | None = None) -> DataFrame:
     """``(id, keep..., lang_pred, score, bits_per_byte)``; the rows for which ``train`` holds
-    are learned from, and only ``text`` is used to predict."""
+    are learned from, unless a ``model`` is given, and only ``text`` is used to predict."""
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(fit(sample(docs.where(train), id_col, text_col, lang_col, rows_per_lang, bytes_per_lang), order))
+    if model is None:
+        model = learn(docs, train, id_col, text_col, lang_col, order, rows_per_lang, bytes_per_lang)
+    held = spark.sparkContext.broadcast(model)
     kept = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(k) for k in keep])
     schema = ", ".join([f"`_id` {kept.schema['_id'].dataType.simpleString()}",
                         *[f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in keep],
@@ -184,4 +206,4 @@ def predict(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: st
     return kept.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 
 
-__all__ = ["Model", "UNDETERMINED", "code_lengths", "fit", "predict", "sample"]
+__all__ = ["Model", "UNDETERMINED", "code_lengths", "fit", "learn", "predict", "sample", "usual_rates"]
