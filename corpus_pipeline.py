@@ -19,17 +19,33 @@ from quarry.session import scratch_path
 
 #: A document whose best language has a lower posterior is rejected.
 MIN_LANGUAGE_SCORE = 0.5
+#: A document is rejected if its code is longer per byte than the mean of its language by so many standard
+#: deviations, and at least so large a share of the mean; texts shorter than the mean get more room.
+MAX_DEVIATIONS = 8.0
+MIN_EXCESS = 0.5
 
 
 def _carried(docs: DataFrame) -> DataFrame:
     """What the operators read, with the whole row beside it."""
-    return docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang")
+    return docs.select("doc_id", "text", lang, F.octet_length("text").alias("_size"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents without a letter or without a clear language."""
-    judged = ppm_langid.predict(_carried(docs), ~is_held_out(), keep=("_row",))
-    return judged.where((F.col("lang_pred") != ppm_langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select("_row.*")
+    """Reject documents without a letter, without a clear language, or whose code length per byte is far
+    from that of all learned rows of their language (strings of random letters, languages never learned).
+    With no row to learn from every document is rejected; without a column ``lang`` there is none."""
+    train = ~is_held_out()
+    docs_ = docs if "lang" in docs.columns else docs.withColumn("lang", F.lit(None).cast("string"))
+    model = ppm_langid.learn(docs_, train)
+    rates = ppm_langid.usual_rates(docs_, model, train)
+    judged = ppm_langid.predict(_carried(docs), train, keep=("_row", "_size"), model=model)
+    clear = (F.col("lang_pred") != ppm_langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    usual = F.lit(True)
+    for lang, (mean, spread, size) in rates.items():
+        room = max(MAX_DEVIATIONS * spread, MIN_EXCESS * mean) * F.greatest(F.lit(1.0), F.sqrt(F.lit(size) / F.col("_size")))
+        usual &= (F.col("lang_pred") != lang) | (F.col("bits_per_byte") <= mean + room)
+    return judged.where(clear & usual).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
