@@ -76,6 +76,8 @@ WALKS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqr
 #: Longest block whose repetition is looked for.
 LONGEST_BLOCK = 8
 _LEET = str.maketrans("@431!0$57", "aaeiiosst")
+#: Rows that are judged at once.
+SLICE_ROWS = 512
 #: Longest word of the dictionary.
 LONGEST_WORD = 24
 _WORD = re.compile(r"[^\W\d_]+")
@@ -353,6 +355,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
     names = ["_id", *keep, "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"] + ["redacted"] * redact
     schema = ", ".join([carried, "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_guess bigint"] + ["redacted string"] * redact)
 
+    def parts(batches):
+        """A few rows at a time: texts are held several times over while they are judged."""
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                yield whole.slice(at, SLICE_ROWS)
+
     def open_values(text: str, raw: bytes, cost: GuessCost) -> list[str]:
         """Values that are dear without the counted words; those only make values cheaper."""
         found = dict.fromkeys(text[a:b] for a, b in candidates(text, raw))
@@ -360,7 +368,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
 
     def ask(batches):
         cost = GuessCost(words)
-        for batch in batches:
+        for batch in parts(batches):
             asked = [open_values(t, t.encode(), cost) if t else [] for t in batch.column("_text").to_pylist()]
             rows = pa.array([i for i, v in enumerate(asked) if v], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.take(rows).columns, pa.array([v for v in asked if v], pa.list_(pa.string()))], names=[*batch.schema.names, "_values"])
@@ -385,13 +393,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep:
 
     def plain(batches):
         cost = GuessCost(words)
-        for batch in batches:
+        for batch in parts(batches):
             texts = batch.column("_text").to_pylist()
             rest = batch.take(pa.array([i for i, t in enumerate(texts) if not (t and open_values(t, t.encode(), cost))], pa.int64()))
             yield judged(rest, [None] * rest.num_rows)
 
     def settle(batches):
-        for batch in batches:
+        for batch in parts(batches):
             yield judged(batch, batch.column("_dear").to_pylist())
 
     asked = kept.mapInArrow(ask, f"`_id` {kept.schema['_id'].dataType.simpleString()}, `_text` string, "
