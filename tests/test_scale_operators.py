@@ -134,3 +134,23 @@ def test_first_load_may_be_empty(spark, tmp_path, order):
     for df in [empty, spark.createDataFrame([(7,)], "v long")][::order]:
         ids.load(df)
     assert [(r.v, r.id) for r in ids.read().collect()] == [(7, 0)]
+
+
+def test_patterns_summed_equal_the_matches(spark):
+    draw = random.Random(11)
+    words = ["".join(draw.choice("abé\U0001F600") for _ in range(draw.randrange(1, 5))) for _ in range(40)]
+    lines = [(i, i % 7 if i % 11 else None, " ".join(draw.choice(words) for _ in range(draw.randrange(0, 9)))) for i in range(300)] + [(300, 1, None), (301, 1, "")]
+    wanted = [(k, [draw.choice(words)[:3] for _ in range(draw.randrange(1, 5))]) for k in range(400)]
+    wanted += [(400 + k, p) for k, (_, p) in enumerate(wanted[:50])] + [(900, None), (901, [""])]
+    frames = spark.createDataFrame(lines, "id long, of long, text string"), spark.createDataFrame(wanted, "p long, pieces array<string>")
+    args = frames[0], "id", "text", frames[1], "p", "pieces"
+    want = {}
+    for p, pieces in wanted:
+        hits = [of for _, of, text in lines if pieces and any(pieces) and text is not None and patterns._in_order(text, pieces)]
+        if hits:
+            want[p] = len(hits), min([x for x in hits if x is not None], default=None)
+    for per_block in (64, 200_000):
+        got = patterns.pattern_matches(*args, patterns_per_block=per_block, least="of").collect()
+        assert {r["p"]: (r["n"], r["least"]) for r in got} == want and len(got) == len(want)
+    assert patterns.pattern_matches(frames[0], "id", "text", frames[1].limit(0), "p", "pieces", least="of").collect() == []
+    assert patterns.pattern_matches(*args[:3], frames[1].limit(0), "p", "pieces").collect() == []
