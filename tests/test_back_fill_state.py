@@ -1,9 +1,11 @@
 """Back-fills at size: state outside the heap, neighbouring panes in one state row, panes shuffled once."""
 
+import os
 from collections import Counter
 
 from pyspark.sql import functions as F
 
+from quarry import session
 from quarry.streaming import windows
 
 
@@ -66,3 +68,23 @@ def test_few_windows_per_pane_shuffle_panes_not_copies(spark):
     assert "HashAggregate" in above and "HashAggregate" not in below
     final = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("Exchange hashpartitioning") == 1
+
+
+def test_panes_are_seldom_sent_twice_and_the_checkpoint_goes(spark, tmp_path):
+    panes = [(p, f"w{p % 3}", 1 + p % 4) for p in range(-90, 90)]
+    df = spark.createDataFrame(panes, "_pane long, word string, _c long").repartition(2)
+    got = windows._windows_from_panes(df, ["word"], 10, 2, ["_c"])
+    want = Counter()
+    for p, w, n in panes:
+        for j in range(5):
+            want[p - j, w] += n
+    assert Counter({(r._w, r.word): r._c for r in got.collect()}) == want
+    below = got._jdf.queryExecution().sparkPlan().toString().split("Exchange hashpartitioning")[1]
+    assert "_d#" in below and "_b#" not in below              # copied to their blocks after the shuffle
+    words = _words(spark)
+    words.write.parquet(str(tmp_path / "words.parquet"))
+    stream = windows.table_stream(spark, str(tmp_path / "words.parquet"), words.schema)
+    before = len(session._scratch)
+    table = windows.run_to_table(windows.stream_pane_counts(stream, "ts", ["word"], 2, watermark=None), ["word"], "packed")
+    assert table.count() == len(_expected(words.collect(), 2))
+    assert [os.listdir(p) for p in session._scratch[before:]] == [["out"]]
