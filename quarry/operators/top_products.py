@@ -1,9 +1,11 @@
 """The items with the largest inner products for every user (M7), without scoring every pair.
 
-Items are ordered by their norm and cut into blocks.  By Cauchy-Schwarz no item of a later block scores
-more than ``|user| * largest norm of the block``, so a user stops as soon as the n-th score so far
-exceeds that bound.  Rounds take 1, 2, 4, ... blocks, the largest norms first: there are as many as the
-logarithm of the number of blocks, and each only sees the users that have not stopped.
+Items are ordered by their distance from the mean item and cut into blocks.  By Cauchy-Schwarz no item of a
+later block scores more than ``user * mean + |user| * largest distance of the block``, so a user stops as soon
+as the n-th score so far exceeds that bound.  (What all items have in common says nothing about which is best:
+items of about the same length and direction are told apart by what is left.)  Rounds take 1, 2, 4, ... blocks,
+the farthest items first: there are as many as the logarithm of the number of blocks, and each only sees the
+users that have not stopped.
 
 A round pairs packs of users with panels of its item blocks by an equi-join, multiplies them in numpy and
 keeps n candidates of every user and panel, none below the user's n-th score so far; a ranking window (with
@@ -16,10 +18,12 @@ one round.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.positional import with_global_index
@@ -37,10 +41,19 @@ _SLACK = 1e-9
 
 
 def _vectors(df: DataFrame, id_col: str, vec_col: str, name: str) -> DataFrame:
-    """``(name, vec, norm)`` of the rows whose id and vector have no nulls."""
+    """``(name, vec)`` of the rows whose id and vector have no nulls."""
     out = df.select(F.col(id_col).alias(name), F.col(vec_col).cast("array<double>").alias("vec"))
-    out = out.where(F.col(name).isNotNull() & F.col("vec").isNotNull() & ~F.exists("vec", F.isnull))
-    return out.withColumn("norm", F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)))
+    return out.where(F.col(name).isNotNull() & F.col("vec").isNotNull() & ~F.exists("vec", F.isnull))
+
+
+def _norm(vec) -> Column:
+    return F.sqrt(F.aggregate(vec, F.lit(0.0), lambda s, x: s + x * x))
+
+
+def _mean(vectors: DataFrame) -> list[float]:
+    """The mean vector; zero in a dimension that has none."""
+    each = vectors.select(F.posexplode("vec").alias("k", "x")).groupBy("k").agg(F.avg("x").alias("x")).orderBy("k").collect()
+    return [r["x"] if math.isfinite(r["x"]) else 0.0 for r in each]
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -96,14 +109,21 @@ def top_products(users: DataFrame, items: DataFrame, n: int, user: str, user_vec
         df.write.parquet(f"{base}/{name}")
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
 
-    ordered = with_global_index(_vectors(items, item, item_vec, "item"), [F.col("norm").desc(), F.col("item")], "place")
+    things = kept(_vectors(items, item, item_vec, "item"), "items")
+    mean = _mean(things)
+    length = float(np.linalg.norm(mean))
+    centre = F.lit(mean).cast("array<double>")
+    far = things.withColumn("norm", _norm(F.zip_with("vec", centre, lambda x, m: x - m)))
+    ordered = with_global_index(far, [F.col("norm").desc(), F.col("item")], "place")
     ordered = ordered.withColumn("block", F.floor(F.col("place") / block_items))
     rows = ordered.groupBy("block").agg(F.max("norm").alias("norm"), F.array_sort(F.collect_list(F.struct("item", "vec"))).alias("rows"))
     blocks = kept(rows.select("block", "norm", F.col("rows.item").alias("items"), F.col("rows.vec").alias("vecs")), "blocks")
     # the first block of every round: 0, 1, 3, 7, ...
     starts = blocks.where(F.expr("((block + 1) & block) = 0")).select("block", "norm").orderBy("block").collect()
     n_items, n_blocks = blocks.agg(F.coalesce(F.sum(F.size("items")), F.lit(0)), F.count(F.lit(1))).first()
-    people = kept(_vectors(users, user, user_vec, "user"), "users")
+    people = _vectors(users, user, user_vec, "user").withColumn("norm", _norm("vec"))
+    shared = F.zip_with("vec", centre, lambda x, m: x * m)
+    people = kept(people.withColumn("shared", F.aggregate(shared, F.lit(0.0), lambda s, x: s + x)), "users")
     user_type, item_type = (df.schema[c].dataType for df, c in ((people, "user"), (ordered, "item")))
 
     dim = max(1, (blocks.select(F.size(F.col("vecs")[0])).first() or [1])[0])
@@ -151,9 +171,9 @@ def top_products(users: DataFrame, items: DataFrame, n: int, user: str, user_vec
             found = found.unionByName(before.where("more").select("user", "item", "score"))
         found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
         if r + 1 < len(starts):  # the n-th score, none yet, or below what the next items can reach
-            bound = F.col("norm") * (starts[r + 1]["norm"] * (1 + _SLACK))
+            bound = F.col("shared") + F.col("norm") * (starts[r + 1]["norm"] * (1 + _SLACK) + length * _SLACK)
             found = kept(found, f"best-{r}")
-            state = people.select("user", "norm").join(found.groupBy("user").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("held")), "user")
+            state = people.select("user", "norm", "shared").join(found.groupBy("user").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("held")), "user")
             state = kept(state.select("user", ((F.col("held") < n) | (F.col("least") <= bound)).alias("more"),
                                       F.when(F.col("held") < n, float("-inf")).otherwise(F.col("least")).alias("least")), f"state-{r}")
             before = found.join(state.select("user", "more"), "user")

@@ -63,3 +63,14 @@ def test_equal_to_recommendations_of_als(spark):
     assert got.keys() == want.keys()
     for u in want:
         assert [s for _, s in got[u]] == pytest.approx(want[u], rel=1e-4, abs=1e-4)
+
+
+def test_items_of_about_one_length_are_not_all_compared(spark):
+    rng = np.random.default_rng(8)
+    items = [(f"i{k:04}", [float(x) for x in rng.normal(50, 5, size=6)]) for k in range(900)]
+    users = [(k, [float(x) for x in rng.poisson(1.0, size=6)]) for k in range(80)]
+    out = top_products(*frames(spark, users, items), 3, "u", "a", "i", "b", block_items=8)
+    got, want = found(out), brute(users, items, 3)
+    assert {u: [i for i, _ in rows] for u, rows in got.items()} == {u: [i for i, _ in rows] for u, rows in want.items()}
+    # by their norms alone hardly any user would stop before the last round
+    assert sum(r[1] for r in out.groupBy("user").max("scored").collect()) < 0.7 * len(users) * len(items)
