@@ -593,7 +593,7 @@ def q40(spark, d):
 @query("q41_als_recommend")
 def q41(spark, d):
     r = ratings(spark, d, item="l_partkey")
-    model = recommend.train_als(r, "user_id", "item_id", "rating")
+    model = recommend.train_als(r, "user_id", "item_id", "rating", ratings_per_block=recommend.SMALL_EXECUTOR_RATINGS)
     users = spark.range(1).select(F.lit(ALS_USER).cast("int").alias("user_id"))
     recs = recommend.recommend_for_users(model, users, 10)
     named = joins.lookup(recs, table(spark, d, "part"), "item", "p_partkey", ["p_name"], df_is_bounded=True)
@@ -899,7 +899,7 @@ def q59(spark, d):
     """M6, M7: ten distinct items in order of their prediction, and a lower error than the mean rating's."""
     r = ratings(spark, d, item="l_partkey").select(F.col("user_id").cast("int").alias("user_id"),
                                                    F.col("item_id").cast("int").alias("item_id"), "rating")
-    model = recommend.train_als(r, "user_id", "item_id", "rating")
+    model = recommend.train_als(r, "user_id", "item_id", "rating", ratings_per_block=recommend.SMALL_EXECUTOR_RATINGS)
     users = spark.range(1).select(F.lit(ALS_USER).cast("int").alias("user_id"))
     recs = recommend.recommend_for_users(model, users, 10)
     ranked = recs.agg(F.count(F.lit(1)).alias("n_items"), F.countDistinct("item").alias("n_distinct"),

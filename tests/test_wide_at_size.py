@@ -42,3 +42,21 @@ def test_more_ratings_take_no_more_blocks_than_they_fill(spark, monkeypatch):
         monkeypatch.setattr(type(few), "count", lambda self: n)
         recommend.train_als(few, "u", "i", "r")
     assert used == [(10, 10), (4, 4), (5, 5)]
+
+
+def test_blocks_of_small_executors(spark, monkeypatch):
+    used = []
+
+    class Als:
+        def __init__(self, **args):
+            used.append((args["numUserBlocks"], args["numItemBlocks"], args["checkpointInterval"]))
+
+        def fit(self, ratings):
+            return None
+
+    monkeypatch.setattr(recommend, "ALS", Als)
+    few = spark.range(1).select(F.lit(1).alias("u"), F.lit(1).alias("i"), F.lit(1.0).alias("r"))
+    for n in (1, 6_000_000, 216_000_000):
+        monkeypatch.setattr(type(few), "count", lambda self: n)
+        recommend.train_als(few, "u", "i", "r", ratings_per_block=recommend.SMALL_EXECUTOR_RATINGS)
+    assert used == [(10, 10, 10), (4, 4, 10), (22, 22, 2)]
